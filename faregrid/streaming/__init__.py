@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The system this engine replaces is batch only: it has no stream source,
+watermark, streaming window or stateful operator ("late data" is the batch
+period filter in ``faregrid.operators.cleansing``). Incremental loading is the
+batch landing step, which skips months already present
+(``faregrid.sources.lake.land_raw``). Nothing is built here until a streaming
+feature exists to reproduce.
+"""
