@@ -9,7 +9,7 @@ the period and rule predicates into the Parquet scan where it can.
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -159,12 +159,27 @@ class Cleansed:
     missing: tuple[str, ...] = ()
 
 
-def cleanse(raw: DataFrame, months: Iterable[tuple[int, int]], bound: str = "half_open") -> Cleansed:
-    """The whole cleansing chain in its fixed order."""
+def _identity(stage: str, df: DataFrame) -> DataFrame:
+    return df
+
+
+def cleanse(
+    raw: DataFrame,
+    months: Iterable[tuple[int, int]],
+    bound: str = "half_open",
+    tap: Callable[[str, DataFrame], DataFrame] = _identity,
+) -> Cleansed:
+    """The whole cleansing chain in its fixed order.
+
+    ``tap(stage, df)`` may wrap the frame at each stage boundary (``raw``,
+    ``quarantined``, ``in_period``, ``deduplicated``, ``clean``), e.g. to attach
+    row counters that fill during the write; by default it changes nothing.
+    """
+    raw = tap("raw", raw)
     casted = cast_columns(raw)
     split = quarantine(casted)
     in_period = period_filter(split.good, months, bound) if not split.missing else split.good
-    in_period = in_period.drop(*[c for c in SOURCE_PARTITION if c in in_period.columns])
-    deduped = dedup(in_period)
-    clean = derive(business_rules(deduped))
-    return Cleansed(clean, split.bad, casted, in_period, deduped, split.missing)
+    in_period = tap("in_period", in_period.drop(*[c for c in SOURCE_PARTITION if c in in_period.columns]))
+    deduped = tap("deduplicated", dedup(in_period))
+    clean = tap("clean", derive(business_rules(deduped)))
+    return Cleansed(clean, tap("quarantined", split.bad), casted, in_period, deduped, split.missing)

@@ -42,7 +42,7 @@ class MetricsRecorder:
                 "metric": name,
                 "value": None if value is None else float(value),
                 "ts": time.time(),
-                "tags": {k: str(v) for k, v in tags.items()},
+                "tags": {k: str(v) for k, v in tags.items() if v is not None},
             }
         )
 
