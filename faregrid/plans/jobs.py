@@ -33,17 +33,20 @@ def scratch_layout(spark: SparkSession, name: str | None = None) -> Layout:
     return Layout(f"{checkpoint_dir(spark).rstrip('/')}/{name or 'lake-' + uuid.uuid4().hex[:12]}")
 
 
-def _month_key(y: int, m: int) -> str:
-    return f"m{y:04d}_{m:02d}"
-
-
-def _per_month_counter(df: DataFrame, months: Months, name: str, year_col="year", month_col="month"):
-    """Observation with one conditional count per (year, month) of the run plus the total."""
-    obs = Observation(name)
-    exprs = [F.count(F.lit(1)).alias("total")]
-    for y, m in months:
-        exprs.append(F.count_if((F.col(year_col) == y) & (F.col(month_col) == m)).alias(_month_key(y, m)))
-    return df.observe(obs, *exprs), obs
+def partition_counts(spark: SparkSession, path: str, months: Months) -> dict[tuple[int, int], int]:
+    """Rows per (year, month) partition of a written table.
+
+    Only partition columns are selected, so Parquet answers from row-group
+    metadata without decoding a data column; the result has one row per month.
+    """
+    rows = (
+        spark.read.parquet(path)
+        .filter(lake.months_filter(months))
+        .groupBy("year", "month")
+        .count()
+        .collect()
+    )
+    return {(r["year"], r["month"]): r["count"] for r in rows}
 
 
 def _total_counter(df: DataFrame, name: str):
@@ -82,25 +85,28 @@ def cleanse(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRec
         def tap(stage: str, df: DataFrame) -> DataFrame:
             if stage in ("in_period", "deduplicated"):
                 df, obs[stage] = _total_counter(df, stage)
-            else:  # raw and quarantined carry the source month; clean the pickup month
-                df, obs[stage] = _per_month_counter(df, months, stage)
             return df
 
         c = cleansing.cleanse(raw, months, bound, tap)
         lake.write_partitioned(c.clean, layout.silver_trips, ["year", "month"])
         lake.write_partitioned(c.quarantined, layout.quarantine, ["year", "month"])
 
-        raw_counts, out_counts, bad_counts = obs["raw"].get, obs["clean"].get, obs["quarantined"].get
         remaining = obs["deduplicated"].get["total"]
         rec.record("dedup_removed", obs["in_period"].get["total"] - remaining)
         rec.record("dedup_remaining", remaining)
+        raw_counts = partition_counts(spark, layout.raw_trips, months)
+        out_counts = partition_counts(spark, layout.silver_trips, months)
+        bad_counts = partition_counts(spark, layout.quarantine, months) if bad_written(spark, layout) else {}
         for y, m in months:
-            k = _month_key(y, m)
-            rin, rout = raw_counts[k], out_counts[k]
+            rin, rout = raw_counts.get((y, m), 0), out_counts.get((y, m), 0)
             rec.record("cleansing_records_in", rin, year=y, month=m)
             rec.record("cleansing_records_out", rout, year=y, month=m)
             rec.record("cleansing_drop_rate", drop_rate_value(rin, rout), year=y, month=m)
-            rec.record("quarantined_records", bad_counts[k], year=y, month=m)
+            rec.record("quarantined_records", bad_counts.get((y, m), 0), year=y, month=m)
+
+
+def bad_written(spark: SparkSession, layout: Layout) -> bool:
+    return lake.table_exists(spark, layout.quarantine)
 
 
 def enrich_months(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRecorder) -> None:
@@ -118,14 +124,23 @@ def _years(months: Months) -> list[int]:
 
 
 def aggregate_years(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRecorder) -> None:
-    """Hourly and daily (+ rolling 7 days) statistics over every loaded month of the run's years."""
+    """Hourly and daily (+ rolling 7 days) statistics over every loaded month of the run's years.
+
+    The aggregates are small (days x hours x boroughs), so each year is one
+    partition written as one file; date predicates still prune row groups
+    through Parquet min/max statistics on ``pickup_date``. (A partition per
+    day would create thousands of tiny files and make every reader list them.)
+    """
     with rec.timer("windowed_agg"):
         years = _years(months)
         trips = spark.read.parquet(layout.enriched).filter(F.col("year").isin(years))
-        hourly, h_obs = _total_counter(aggregate.hourly_stats(trips), "hourly")
-        lake.write_partitioned(hourly, layout.hourly_stats, ["pickup_date"], cluster=True)
-        daily, d_obs = _total_counter(aggregate.rolling_revenue(aggregate.daily_stats(trips)), "daily")
-        lake.write_partitioned(daily, layout.daily_stats, ["pickup_date"], cluster=True)
+        by_year = {"year": F.year("pickup_date")}
+        hourly = aggregate.hourly_stats(trips).withColumns(by_year)
+        hourly, h_obs = _total_counter(hourly, "hourly")
+        lake.write_partitioned(hourly, layout.hourly_stats, ["year"], cluster=True, sort_by=["pickup_date"])
+        daily = aggregate.rolling_revenue(aggregate.daily_stats(trips)).withColumns(by_year)
+        daily, d_obs = _total_counter(daily, "daily")
+        lake.write_partitioned(daily, layout.daily_stats, ["year"], cluster=True, sort_by=["pickup_date"])
         rec.record("agg_hourly_rows", h_obs.get["total"])
         rec.record("agg_daily_rows", d_obs.get["total"])
 

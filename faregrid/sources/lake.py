@@ -8,8 +8,8 @@ shared folder, never a machine-local one)::
     silver/yellow_tripdata/year=Y/month=M/     cleansed trips
     silver/quarantine/year=Y/month=M/          rows with a NULL required column
     silver/trips_with_zones/year=Y/month=M/    enriched trips
-    gold/hourly_stats/pickup_date=D/
-    gold/daily_stats/pickup_date=D/            with rolling_7d_revenue
+    gold/hourly_stats/year=Y/                  one file per year, sorted by pickup_date
+    gold/daily_stats/year=Y/                   with rolling_7d_revenue
     gold/dim_location/
     gold/dim_date/year=Y/
     gold/fact_trips/year=Y/month=M/
@@ -36,18 +36,26 @@ from faregrid.schemas import ZONE_RENAMES, ZONE_SCHEMA
 
 @dataclass(frozen=True)
 class Layout:
+    """Paths of the lake. ``raw_root`` places the raw zone elsewhere (default: below ``root``)."""
+
     root: str
+    raw_root: str | None = None
 
     def _p(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
 
+    def _raw(self, *parts: str) -> str:
+        if self.raw_root is None:
+            return self._p("raw", *parts)
+        return "/".join([self.raw_root.rstrip("/"), *parts])
+
     @property
     def raw_trips(self) -> str:
-        return self._p("raw", "yellow_tripdata")
+        return self._raw("yellow_tripdata")
 
     @property
     def raw_zones(self) -> str:
-        return self._p("raw", "taxi_zones")
+        return self._raw("taxi_zones")
 
     @property
     def silver_trips(self) -> str:
@@ -108,6 +116,10 @@ def _try_read(reader, path: str) -> DataFrame | None:
         raise
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    return _try_read(spark.read.parquet, path) is not None
+
+
 def landed_months(spark: SparkSession, layout: Layout) -> set[tuple[int, int]]:
     """(year, month) partitions already committed under raw/.
 
@@ -172,15 +184,24 @@ def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], cluster: bool = False) -> None:
+def write_partitioned(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str],
+    cluster: bool = False,
+    sort_by: Sequence[str] = (),
+) -> None:
     """Overwrite only the partitions present in ``df``.
 
     ``cluster=True`` first hash-partitions on the partition columns so each
     partition directory gets one file; use it for small outputs (aggregates),
     not for trip-level data, where it would funnel a whole month into one task.
+    ``sort_by`` orders rows inside each file (tight min/max statistics).
     """
     if cluster:
         df = df.repartition(*partition_by)
+    if sort_by:
+        df = df.sortWithinPartitions(*partition_by, *sort_by)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
