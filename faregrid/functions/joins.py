@@ -23,14 +23,25 @@ class DuplicateKeyError(ValueError):
     """A lookup key occurs more than once, which would multiply the fact rows."""
 
 
-def checked_broadcast(dim: DataFrame, key: str, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def checked_broadcast(
+    dim: DataFrame,
+    key: str,
+    max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    proven_rows: int | None = None,
+) -> DataFrame:
     """Return ``dim`` marked for broadcast if it has at most ``max_rows`` rows.
 
     One small aggregate measures the row count and the number of distinct keys
     in the same pass; duplicate keys are rejected because a left join against
     them would silently multiply trips. Beyond the limit the dimension is
     returned unmarked and the planner picks a shuffle join.
+
+    ``proven_rows`` is an upper bound the caller guarantees by construction
+    (e.g. a calendar generated from a bounded period, one row per day); within
+    the limit it replaces the measuring job.
     """
+    if proven_rows is not None and proven_rows <= max_rows:
+        return F.broadcast(dim)
     stats = dim.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.col(key)).alias("k"),
                     F.count_if(F.col(key).isNull()).alias("z")).first()
     n, k, z = stats["n"], stats["k"], stats["z"]

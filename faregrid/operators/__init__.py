@@ -13,7 +13,7 @@ from faregrid.operators.cleansing import (
     quarantine,
 )
 from faregrid.operators.enrich import join_zones
-from faregrid.operators.model import dim_date, dim_location, fact_trips
+from faregrid.operators.model import dim_date, dim_date_for, dim_location, fact_trips
 from faregrid.operators.quality import (
     EXPECTATION_SUITE,
     DataQualityFailure,
@@ -38,6 +38,7 @@ __all__ = [
     "dedup",
     "derive",
     "dim_date",
+    "dim_date_for",
     "dim_location",
     "enforce",
     "fact_gate",

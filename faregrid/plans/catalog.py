@@ -92,11 +92,13 @@ class Fixture:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return model.dim_date(self.spark, f"{FIXTURE_FIRST_YEAR}-01-01", f"{FIXTURE_LAST_YEAR}-12-31")
+        return model.dim_date_for(self.cleansed.clean)
 
     @cached_property
     def fact(self) -> DataFrame:
-        return model.fact_trips(self.enriched, self.dim_location, self.dim_date)
+        # the cleansed trips lie in the period, so the calendar spans its years at most
+        years = len({y for y, _ in self.months})
+        return model.fact_trips(self.enriched, self.dim_location, self.dim_date, model.calendar_rows(years))
 
 
 HOURLY_MONEY = ("total_fare", "total_tips")

@@ -165,7 +165,9 @@ def read_dim_date(spark: SparkSession, layout: Layout) -> DataFrame:
 def build_fact(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRecorder) -> None:
     with rec.timer("fact_tables"):
         enriched = spark.read.parquet(layout.enriched).filter(lake.months_filter(months))
-        fact = model.fact_trips(enriched, spark.read.parquet(layout.dim_location), read_dim_date(spark, layout))
+        years = _years(months)
+        dates = read_dim_date(spark, layout).filter(F.col("year").isin(years))  # one partition per year
+        fact = model.fact_trips(enriched, spark.read.parquet(layout.dim_location), dates, model.calendar_rows(len(years)))
         fact, obs = _total_counter(fact, "fact")
         lake.write_partitioned(fact, layout.fact_trips, ["year", "month"])
         rec.record("fact_trips_rows", obs.get["total"])

@@ -163,7 +163,9 @@ dim_date AS (
          CAST(weekofyear(d) AS INTEGER) AS week_of_year,
          dayofweek(d) IN (0, 6) AS is_weekend,
          CAST(quarter(d) AS INTEGER) AS quarter
-  FROM generate_series(DATE '{FIXTURE_FIRST_YEAR}-01-01', DATE '{FIXTURE_LAST_YEAR}-12-31', INTERVAL 1 DAY) t(d))"""
+  FROM (SELECT make_date(year(min(pickup_date)), 1, 1) AS lo, make_date(year(max(pickup_date)), 12, 31) AS hi
+        FROM clean) b,
+       generate_series(b.lo, b.hi, INTERVAL 1 DAY) t(d))"""
 
 TRIP_ID = (
     "sha256(concat_ws('|', CAST(VendorID AS VARCHAR), CAST(tpep_pickup_datetime AS VARCHAR), "
@@ -200,7 +202,7 @@ DEPS = {
     "daily": ["enriched"],
     "rolling": ["daily"],
     "dim_location": ["zones"],
-    "dim_date": [],
+    "dim_date": ["clean"],
     "fact": ["enriched", "dim_location", "dim_date"],
 }
 
