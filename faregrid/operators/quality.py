@@ -175,23 +175,31 @@ def run_checks(df: DataFrame, checks: Sequence[Check], by: Sequence[str] = ()) -
     return agg.select(*by, F.inline(F.array(*rows)))
 
 
+RESULT_COLUMNS = ("check_order", "check", "column", "observed", "threshold", "status")
+
+
 def enforce(results: DataFrame, table: str = "fact_trips") -> list[dict]:
     """Raise on the first failing blocking check (in check order, per group); log warnings.
 
     The results are one row per check and group, so collecting them is bounded.
     """
-    rows = [r.asDict() for r in results.collect()]
-    group_cols = [c for c in results.columns if c not in ("check_order", "check", "column", "observed", "threshold", "status")]
-    rows.sort(key=lambda r: (tuple(r[c] for c in group_cols), r["check_order"]))
+    return enforce_rows([r.asDict() for r in results.collect()], table)
+
+
+def enforce_rows(rows: list[dict], table: str = "fact_trips") -> list[dict]:
+    group_cols = [c for c in (rows[0] if rows else {}) if c not in RESULT_COLUMNS]
+    rows = sorted(rows, key=lambda r: (tuple(r[c] for c in group_cols), r["check_order"]))
+
+    def where(r: dict) -> str:
+        return ", ".join(f"{c}={r[c]}" for c in group_cols)
+
     for r in rows:
-        where = ", ".join(f"{c}={r[c]}" for c in group_cols)
         if r["status"] == "WARN":
-            log.warning("[%s] %s on %s: %s (%s)", table, r["check"], r["column"], r["observed"], where)
+            log.warning("[%s] %s on %s: %s (%s)", table, r["check"], r["column"], r["observed"], where(r))
     for r in rows:
         if r["status"] == "FAIL":
-            where = ", ".join(f"{c}={r[c]}" for c in group_cols)
             raise DataQualityFailure(
                 f"[{table}] {r['check']} on {r['column']} failed: observed {r['observed']}, "
-                f"expected {r['threshold']} ({where})"
+                f"expected {r['threshold']} ({where(r)})"
             )
     return rows

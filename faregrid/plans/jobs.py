@@ -180,14 +180,16 @@ def quality_gate(spark: SparkSession, layout: Layout, months: Months, rec: Metri
         fact = spark.read.parquet(layout.fact_trips).filter(lake.months_filter(months))
         dim = spark.read.parquet(layout.dim_location)
         results = quality.run_checks(fact, quality.fact_gate(dim, min_rows), by=("year", "month"))
-        lake.write_partitioned(results, layout.quality_results, ["year", "month"], cluster=True)
-        stored = spark.read.parquet(layout.quality_results).filter(lake.months_filter(months))
-        rows = [r.asDict() for r in stored.collect()]
+        # one pass over the fact; the answer is checks x months rows, so it is
+        # collected once and the stored table is written from those rows
+        rows = [r.asDict() for r in results.collect()]
+        stored = spark.createDataFrame(rows, schema=results.schema)
+        lake.write_partitioned(stored.coalesce(1), layout.quality_results, ["year", "month"])
         for r in rows:
             rec.record(f"dq_{r['check']}", r["observed"], table="fact_trips", column=r["column"],
                        year=r["year"], month=r["month"], status=r["status"])
         if enforce:
-            quality.enforce(stored)
+            quality.enforce_rows(rows)
         return rows
 
 

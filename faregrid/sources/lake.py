@@ -22,6 +22,7 @@ so re-running one month replaces that month and leaves the others alone.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -120,18 +121,26 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return _try_read(spark.read.parquet, path) is not None
 
 
+_MONTH_DIR = re.compile(r"/year=(\d+)/month=(\d+)/")
+
+
 def landed_months(spark: SparkSession, layout: Layout) -> set[tuple[int, int]]:
     """(year, month) partitions already committed under raw/.
 
     Spark's file commit publishes a partition only when its job commits, so a
     month whose landing failed half way is not listed and is landed again.
-    The distinct runs over partition columns only: no data column is read.
+    The answer comes from the file listing Spark makes when it plans the read
+    (``inputFiles``): no job runs and no file is opened.
     """
     landed = _try_read(spark.read.parquet, layout.raw_trips)
     if landed is None:
         return set()
-    rows = landed.select("year", "month").distinct().collect()
-    return {(r["year"], r["month"]) for r in rows}
+    found = set()
+    for path in landed.inputFiles():
+        m = _MONTH_DIR.search(path)
+        if m:
+            found.add((int(m.group(1)), int(m.group(2))))
+    return found
 
 
 def land_raw(
