@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from faregrid.operators import aggregate, cleansing, enrich, model, quality, reports
 from faregrid.plans import metrics
-from faregrid.functions.columns import trip_id
+from faregrid.functions.columns import any_null, in_months, trip_id
 from faregrid.schemas import DEDUP_KEYS, REQUIRED_COLUMNS, ZONE_RENAMES
 from faregrid.sources import fixture
 
@@ -90,15 +90,26 @@ class Fixture:
     def dim_location(self) -> DataFrame:
         return model.dim_location(self.zones)
 
+    @cached_property
+    def years(self) -> list[int]:
+        return sorted({y for y, _ in self.months})
+
     @cached_property
     def dim_date(self) -> DataFrame:
+        """Calendar of the years the cleansed trips touch (derived from the data)."""
         return model.dim_date_for(self.cleansed.clean)
 
+    @cached_property
+    def period_calendar(self) -> DataFrame:
+        """Calendar of the processing period's years, as a run builds it for its fact."""
+        return model.dim_date(self.spark, f"{self.years[0]}-01-01", f"{self.years[-1]}-12-31")
+
     @cached_property
     def fact(self) -> DataFrame:
-        # the cleansed trips lie in the period, so the calendar spans its years at most
-        years = len({y for y, _ in self.months})
-        return model.fact_trips(self.enriched, self.dim_location, self.dim_date, model.calendar_rows(years))
+        # cleansed trips lie in the period, so its calendar covers every pickup date
+        # and has a proven size (no second pass over the trips to bound it)
+        return model.fact_trips(self.enriched, self.dim_location, self.period_calendar,
+                                model.calendar_rows(len(self.years)))
 
 
 HOURLY_MONEY = ("total_fare", "total_tips")
@@ -263,19 +274,14 @@ def q_report_fare_by_distance(spark, sf):
 
 def q_stage_counts(spark, sf):
     fx = Fixture(spark, sf)
-    c = fx.cleansed
+    casted = cleansing.cast_columns(fx.raw)
+    ts_type = casted.schema["tpep_pickup_datetime"].dataType.simpleString()
     return metrics.stage_counts(
-        {
-            "raw": fx.raw,
-            "quarantined": c.quarantined,
-            "in_period": c.in_period,
-            "deduplicated": c.deduped,
-            "clean": c.clean,
-            "enriched": fx.enriched,
-            "hourly_stats": fx.hourly,
-            "daily_stats": fx.daily,
-            "fact_trips": fx.fact,
-        }
+        casted,
+        bad=any_null(REQUIRED_COLUMNS),
+        in_period=in_months("tpep_pickup_datetime", fx.months, ts_type=ts_type),
+        dedup_keys=list(DEDUP_KEYS),
+        enriched=fx.enriched,
     )
 
 

@@ -10,13 +10,11 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass, field
-from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,15 +84,47 @@ def drop_rate_value(records_in: int | None, records_out: int | None) -> float |
     return round(1 - (records_out or 0) / records_in, 4)
 
 
-def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per stage: ``(stage_order, stage, rows)``."""
-    parts = [
-        df.agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(i + 1).alias("stage_order"), F.lit(name).alias("stage"), "rows"
-        )
-        for i, (name, df) in enumerate(stages.items())
-    ]
-    return reduce(DataFrame.unionByName, parts)
+def _as_rows(agg: DataFrame, stages: list[tuple[int, str, str]]) -> DataFrame:
+    """One-row aggregate -> one ``(stage_order, stage, rows)`` row per stage."""
+    return agg.select(
+        F.inline(F.array(*[
+            F.struct(F.lit(order).alias("stage_order"), F.lit(stage).alias("stage"), F.col(col).alias("rows"))
+            for order, stage, col in stages
+        ]))
+    )
+
+
+def stage_counts(
+    casted: DataFrame,
+    bad: Column,
+    in_period: Column,
+    dedup_keys: list[str],
+    enriched: DataFrame,
+) -> DataFrame:
+    """Rows per pipeline stage in two passes instead of one job per stage.
+
+    Pass 1 over the cast raw rows: raw, quarantined, in period, and the rows
+    left by deduplication (= distinct keys among in-period rows). Pass 2 over
+    the enriched trips: clean = enriched = fact (left joins on unique keys keep
+    the count), hourly and daily rows (= distinct group keys). Distinct counts
+    are two-level aggregates, so hot keys combine map-side.
+    """
+    first = casted.agg(
+        F.count(F.lit(1)).alias("raw"),
+        F.count_if(bad).alias("quarantined"),
+        F.count_if(~bad & in_period).alias("in_period"),
+        F.count_distinct(F.when(~bad & in_period, F.struct(*dedup_keys))).alias("deduplicated"),
+    )
+    second = enriched.agg(
+        F.count(F.lit(1)).alias("clean"),
+        F.count_distinct(F.struct("pickup_date", "pickup_hour", "pickup_borough")).alias("hourly_stats"),
+        F.count_distinct(F.struct("pickup_date", "pickup_borough")).alias("daily_stats"),
+    )
+    return _as_rows(first, [(1, "raw", "raw"), (2, "quarantined", "quarantined"), (3, "in_period", "in_period"),
+                            (4, "deduplicated", "deduplicated")]).unionByName(
+        _as_rows(second, [(5, "clean", "clean"), (6, "enriched", "clean"), (7, "hourly_stats", "hourly_stats"),
+                          (8, "daily_stats", "daily_stats"), (9, "fact_trips", "clean")])
+    )
 
 
 def drop_rate(raw: DataFrame, clean: DataFrame, ts_col: str = "tpep_pickup_datetime") -> DataFrame:
