@@ -9,6 +9,7 @@ per-month counts use one conditional count per month of the run.
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 import uuid
 from collections.abc import Iterable, Sequence
@@ -61,16 +62,17 @@ def land(spark: SparkSession, layout: Layout, feed: DataFrame, zones: DataFrame,
         lake.land_zones(spark, zones, layout)
         written = lake.land_raw(spark, feed, layout, months)
         if written:
-            sizes = (
-                spark.read.parquet(layout.raw_trips)
-                .filter(lake.months_filter(written))
-                .select("year", "month", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"))
-                .distinct()
-                .groupBy("year", "month")
-                .agg(F.sum("s").alias("bytes"))
-                .collect()
+            # sizes from the file listing (binaryFile never reads contents when only
+            # path and length are selected); one row per file of the landed months
+            files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet") \
+                .option("recursiveFileLookup", "true").load(layout.raw_trips).select("path", "length")
+            parsed = files.select(
+                F.regexp_extract("path", r"/year=(\d+)/", 1).cast("int").alias("year"),
+                F.regexp_extract("path", r"/month=(\d+)/", 1).cast("int").alias("month"),
+                "length",
             )
-            for r in sizes:
+            sizes = parsed.filter(lake.months_filter(written)).groupBy("year", "month").agg(F.sum("length").alias("bytes"))
+            for r in sizes.collect():
                 rec.record("ingestion_size_mb", r["bytes"] / (1024 * 1024), year=r["year"], month=r["month"])
     return written
 
@@ -85,6 +87,10 @@ def cleanse(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRec
         def tap(stage: str, df: DataFrame) -> DataFrame:
             if stage in ("in_period", "deduplicated"):
                 df, obs[stage] = _total_counter(df, stage)
+            elif stage == "clean":  # latest pickup rides along for the freshness lag
+                obs[stage] = Observation(stage)
+                df = df.observe(obs[stage], F.count(F.lit(1)).alias("total"),
+                                F.max("tpep_pickup_datetime").alias("last_pickup"))
             return df
 
         c = cleansing.cleanse(raw, months, bound, tap)
@@ -94,6 +100,10 @@ def cleanse(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRec
         remaining = obs["deduplicated"].get["total"]
         rec.record("dedup_removed", obs["in_period"].get["total"] - remaining)
         rec.record("dedup_remaining", remaining)
+        last = obs["clean"].get["last_pickup"]
+        if last is not None:
+            now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) if last.tzinfo is None else dt.datetime.now(last.tzinfo)
+            rec.record("data_freshness_lag_seconds", (now - last).total_seconds(), table="silver_trips")
         raw_counts = partition_counts(spark, layout.raw_trips, months)
         out_counts = partition_counts(spark, layout.silver_trips, months)
         bad_counts = partition_counts(spark, layout.quarantine, months) if bad_written(spark, layout) else {}
