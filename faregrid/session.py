@@ -53,3 +53,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(found)
     return found
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """``checkpoint_dir``, but sets a local scratch folder when the session has none.
+
+    Only for local runs (tests, verification): a cluster names a shared folder
+    in ``spark.checkpoint.dir`` and it is used as is.
+    """
+    sc = spark.sparkContext
+    if not (sc.getCheckpointDir() or sc.getConf().get(CHECKPOINT_CONF, None)):
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="faregrid-ckpt-"))
+    return checkpoint_dir(spark)
