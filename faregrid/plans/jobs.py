@@ -14,12 +14,13 @@ import logging
 import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from faregrid.operators import aggregate, cleansing, enrich, model, quality, reports
-from faregrid.plans.metrics import MetricsRecorder, drop_rate_value
+from faregrid.plans.metrics import MetricsRecorder, drop_rate_value, observed
 from faregrid.session import checkpoint_dir
 from faregrid.sources import lake
 from faregrid.sources.lake import Layout
@@ -34,25 +35,23 @@ def scratch_layout(spark: SparkSession, name: str | None = None) -> Layout:
     return Layout(f"{checkpoint_dir(spark).rstrip('/')}/{name or 'lake-' + uuid.uuid4().hex[:12]}")
 
 
-def partition_counts(spark: SparkSession, path: str, months: Months) -> dict[tuple[int, int], int]:
-    """Rows per (year, month) partition of a written table.
+def partition_counts(spark: SparkSession, paths: dict[str, str], months: Months) -> dict[str, dict[tuple[int, int], int]]:
+    """Rows per (year, month) partition of written tables, in one job.
 
     Only partition columns are selected, so Parquet answers from row-group
-    metadata without decoding a data column; the result has one row per month.
+    metadata without decoding a data column; the result has one row per table
+    and month. Tables that do not exist yet count as empty.
     """
-    rows = (
-        spark.read.parquet(path)
-        .filter(lake.months_filter(months))
-        .groupBy("year", "month")
-        .count()
-        .collect()
-    )
-    return {(r["year"], r["month"]): r["count"] for r in rows}
-
-
-def _total_counter(df: DataFrame, name: str):
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("total")), obs
+    parts = []
+    for name, path in paths.items():
+        if lake.table_exists(spark, path):
+            counted = spark.read.parquet(path).filter(lake.months_filter(months)).groupBy("year", "month").count()
+            parts.append(counted.withColumn("table", F.lit(name)))
+    out: dict[str, dict[tuple[int, int], int]] = {name: {} for name in paths}
+    if parts:
+        for r in reduce(DataFrame.unionByName, parts).collect():
+            out[r["table"]][(r["year"], r["month"])] = r["count"]
+    return out
 
 
 def land(spark: SparkSession, layout: Layout, feed: DataFrame, zones: DataFrame, months: Months,
@@ -86,10 +85,10 @@ def cleanse(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRec
 
         def tap(stage: str, df: DataFrame) -> DataFrame:
             if stage in ("in_period", "deduplicated"):
-                df, obs[stage] = _total_counter(df, stage)
+                df, obs[stage] = observed(df, stage)
             elif stage == "clean":  # latest pickup rides along for the freshness lag
                 obs[stage] = Observation(stage)
-                df = df.observe(obs[stage], F.count(F.lit(1)).alias("total"),
+                df = df.observe(obs[stage], F.count(F.lit(1)).alias("rows"),
                                 F.max("tpep_pickup_datetime").alias("last_pickup"))
             return df
 
@@ -97,16 +96,17 @@ def cleanse(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRec
         lake.write_partitioned(c.clean, layout.silver_trips, ["year", "month"])
         lake.write_partitioned(c.quarantined, layout.quarantine, ["year", "month"])
 
-        remaining = obs["deduplicated"].get["total"]
-        rec.record("dedup_removed", obs["in_period"].get["total"] - remaining)
+        remaining = obs["deduplicated"].get["rows"]
+        rec.record("dedup_removed", obs["in_period"].get["rows"] - remaining)
         rec.record("dedup_remaining", remaining)
         last = obs["clean"].get["last_pickup"]
         if last is not None:
             now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) if last.tzinfo is None else dt.datetime.now(last.tzinfo)
             rec.record("data_freshness_lag_seconds", (now - last).total_seconds(), table="silver_trips")
-        raw_counts = partition_counts(spark, layout.raw_trips, months)
-        out_counts = partition_counts(spark, layout.silver_trips, months)
-        bad_counts = partition_counts(spark, layout.quarantine, months) if bad_written(spark, layout) else {}
+        counts = partition_counts(
+            spark, {"raw": layout.raw_trips, "clean": layout.silver_trips, "bad": layout.quarantine}, months
+        )
+        raw_counts, out_counts, bad_counts = counts["raw"], counts["clean"], counts["bad"]
         for y, m in months:
             rin, rout = raw_counts.get((y, m), 0), out_counts.get((y, m), 0)
             rec.record("cleansing_records_in", rin, year=y, month=m)
@@ -115,18 +115,14 @@ def cleanse(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRec
             rec.record("quarantined_records", bad_counts.get((y, m), 0), year=y, month=m)
 
 
-def bad_written(spark: SparkSession, layout: Layout) -> bool:
-    return lake.table_exists(spark, layout.quarantine)
-
-
 def enrich_months(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRecorder) -> None:
     """Silver trips of the months + zone lookup -> enriched trips (only those months are replaced)."""
     with rec.timer("join"):
         trips = spark.read.parquet(layout.silver_trips).filter(lake.months_filter(months))
         enriched = enrich.join_zones(trips, lake.read_zones(spark, layout))
-        enriched, obs = _total_counter(enriched, "enriched")
+        enriched, obs = observed(enriched, "enriched")
         lake.write_partitioned(enriched, layout.enriched, ["year", "month"])
-        rec.record("join_records_out", obs.get["total"])
+        rec.record("join_records_out", obs.get["rows"])
 
 
 def _years(months: Months) -> list[int]:
@@ -146,26 +142,26 @@ def aggregate_years(spark: SparkSession, layout: Layout, months: Months, rec: Me
         trips = spark.read.parquet(layout.enriched).filter(F.col("year").isin(years))
         by_year = {"year": F.year("pickup_date")}
         hourly = aggregate.hourly_stats(trips).withColumns(by_year)
-        hourly, h_obs = _total_counter(hourly, "hourly")
+        hourly, h_obs = observed(hourly, "hourly")
         lake.write_partitioned(hourly, layout.hourly_stats, ["year"], cluster=True, sort_by=["pickup_date"])
         daily = aggregate.rolling_revenue(aggregate.daily_stats(trips)).withColumns(by_year)
-        daily, d_obs = _total_counter(daily, "daily")
+        daily, d_obs = observed(daily, "daily")
         lake.write_partitioned(daily, layout.daily_stats, ["year"], cluster=True, sort_by=["pickup_date"])
-        rec.record("agg_hourly_rows", h_obs.get["total"])
-        rec.record("agg_daily_rows", d_obs.get["total"])
+        rec.record("agg_hourly_rows", h_obs.get["rows"])
+        rec.record("agg_daily_rows", d_obs.get["rows"])
 
 
 def build_dims(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRecorder) -> None:
     """dim_location from the zone lookup; dim_date for each year of the run."""
     with rec.timer("dim_tables"):
-        loc, l_obs = _total_counter(model.dim_location(lake.read_zones(spark, layout)), "dim_location")
+        loc, l_obs = observed(model.dim_location(lake.read_zones(spark, layout)), "dim_location")
         loc.coalesce(1).write.mode("overwrite").parquet(layout.dim_location)
-        rec.record("dim_location_rows", l_obs.get["total"])
+        rec.record("dim_location_rows", l_obs.get["rows"])
         years = _years(months)
         dates = model.dim_date(spark, f"{years[0]}-01-01", f"{years[-1]}-12-31").filter(F.col("year").isin(years))
-        dates, d_obs = _total_counter(dates, "dim_date")
+        dates, d_obs = observed(dates, "dim_date")
         lake.write_partitioned(dates, layout.dim_date, ["year"], cluster=True)
-        rec.record("dim_date_rows", d_obs.get["total"])
+        rec.record("dim_date_rows", d_obs.get["rows"])
 
 
 def read_dim_date(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -178,9 +174,9 @@ def build_fact(spark: SparkSession, layout: Layout, months: Months, rec: Metrics
         years = _years(months)
         dates = read_dim_date(spark, layout).filter(F.col("year").isin(years))  # one partition per year
         fact = model.fact_trips(enriched, spark.read.parquet(layout.dim_location), dates, model.calendar_rows(len(years)))
-        fact, obs = _total_counter(fact, "fact")
+        fact, obs = observed(fact, "fact")
         lake.write_partitioned(fact, layout.fact_trips, ["year", "month"])
-        rec.record("fact_trips_rows", obs.get["total"])
+        rec.record("fact_trips_rows", obs.get["rows"])
 
 
 def quality_gate(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRecorder,
