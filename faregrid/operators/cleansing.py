@@ -12,7 +12,7 @@ import logging
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faregrid.functions.columns import any_null, in_months, tolerant_double, tolerant_int, trip_duration_minutes
@@ -81,6 +81,21 @@ def quarantine(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> Spl
     return Split(df.filter(~flag), df.filter(flag))
 
 
+def period_predicate(
+    df: DataFrame,
+    months: Iterable[tuple[int, int]],
+    bound: str = "half_open",
+    ts_col: str = PICKUP,
+) -> Column:
+    """The condition of ``period_filter`` as a column (for filters and counters)."""
+    months = list(months)
+    ts_type = df.schema[ts_col].dataType.simpleString()
+    pred = in_months(ts_col, months, bound, ts_type)
+    if all(c in df.columns for c in SOURCE_PARTITION):
+        pred = pred & (F.year(ts_col) == F.col("year")) & (F.month(ts_col) == F.col("month"))
+    return pred
+
+
 def period_filter(
     df: DataFrame,
     months: Iterable[tuple[int, int]],
@@ -96,12 +111,7 @@ def period_filter(
     landed month, each row must also fall in its own file's month (rows that
     arrived in another month's file are late and dropped).
     """
-    months = list(months)
-    ts_type = df.schema[ts_col].dataType.simpleString()
-    pred = in_months(ts_col, months, bound, ts_type)
-    if all(c in df.columns for c in SOURCE_PARTITION):
-        pred = pred & (F.year(ts_col) == F.col("year")) & (F.month(ts_col) == F.col("month"))
-    return df.filter(pred)
+    return df.filter(period_predicate(df, months, bound, ts_col))
 
 
 def dedup(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS) -> DataFrame:

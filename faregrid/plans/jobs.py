@@ -19,6 +19,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from faregrid.functions.columns import any_null
 from faregrid.operators import aggregate, cleansing, enrich, model, quality, reports
 from faregrid.plans.metrics import MetricsRecorder, drop_rate_value, observed
 from faregrid.session import checkpoint_dir
@@ -84,7 +85,9 @@ def cleanse(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRec
         obs: dict[str, Observation] = {}
 
         def tap(stage: str, df: DataFrame) -> DataFrame:
-            if stage in ("in_period", "deduplicated"):
+            # counters sit in result stages only (after the last shuffle, or in a job
+            # without one): a map stage re-run after an executor loss would count twice
+            if stage == "deduplicated":
                 df, obs[stage] = observed(df, stage)
             elif stage == "clean":  # latest pickup rides along for the freshness lag
                 obs[stage] = Observation(stage)
@@ -94,7 +97,13 @@ def cleanse(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRec
 
         c = cleansing.cleanse(raw, months, bound, tap)
         lake.write_partitioned(c.clean, layout.silver_trips, ["year", "month"])
-        lake.write_partitioned(c.quarantined, layout.quarantine, ["year", "month"])
+        # the quarantine job has no shuffle: count the in-period good rows there
+        casted = cleansing.cast_columns(raw)
+        good = ~any_null(cleansing.REQUIRED_COLUMNS)
+        in_period = good & cleansing.period_predicate(casted, months, bound) if not c.missing else F.lit(False)
+        obs["in_period"] = Observation("in_period")
+        casted = casted.observe(obs["in_period"], F.count_if(in_period).alias("rows"))
+        lake.write_partitioned(cleansing.quarantine(casted).bad, layout.quarantine, ["year", "month"])
 
         remaining = obs["deduplicated"].get["rows"]
         rec.record("dedup_removed", obs["in_period"].get["rows"] - remaining)
