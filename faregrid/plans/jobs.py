@@ -2,9 +2,10 @@
 
 Each stage reads what the previous stage wrote, so lineage is cut at every
 stage boundary by a committed table: a lost executor costs at most the
-current stage, never a recomputation from the raw feed. Stage counts are
-collected with ``DataFrame.observe`` on the write itself (no extra action);
-per-month counts use one conditional count per month of the run.
+current stage, never a recomputation from the raw feed. Stage totals are
+collected with ``DataFrame.observe`` on the write itself (no extra action),
+always in a result stage so task retries cannot count twice; per-month
+counts are read back from the written partitions (row-group metadata only).
 """
 
 from __future__ import annotations
