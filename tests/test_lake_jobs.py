@@ -120,3 +120,16 @@ def test_rerun_one_month_leaves_others(spark):
     jobs.run_all(spark, layout, feed, zones, [(1997, 3)], enforce_gate=False)
     assert snapshot(layout.fact_trips) == before
     assert snapshot(layout.silver_trips) == snapshot(layout.fact_trips)
+
+
+def test_command_line_runs_stages(spark, capsys):
+    from faregrid.__main__ import main
+    from tests.conftest import SF_SMALL
+
+    root = jobs.scratch_layout(spark).root
+    assert main(["land-fixture", "--lake", root, "--sf-dir", SF_SMALL, "--year", "1997", "--months", "3"]) == 0
+    assert main(["run", "--lake", root, "--year", "1997", "--months", "3", "--no-enforce"]) == 0
+    out = capsys.readouterr().out
+    assert "cleansing_records_out" in out and "fact_trips_rows" in out
+    assert spark.read.parquet(f"{root}/gold/fact_trips").count() == 32  # 1997-03 at sf0.001 (DuckDB agrees)
+    assert main(["report", "fare-by-distance", "--lake", root]) == 0
