@@ -149,14 +149,21 @@ def aggregate_years(spark: SparkSession, layout: Layout, months: Months, rec: Me
     """
     with rec.timer("windowed_agg"):
         years = _years(months)
-        trips = spark.read.parquet(layout.enriched).filter(F.col("year").isin(years))
+        enriched = spark.read.parquet(layout.enriched)
+        trips = enriched.filter(F.col("year").isin(years))
         by_year = {"year": F.year("pickup_date")}
-        hourly = aggregate.hourly_stats(trips).withColumns(by_year)
+        # counters go after the last exchange (result stage: counted once under retries)
+        hourly = lake.clustered(aggregate.hourly_stats(trips).withColumns(by_year), ["year"], ["pickup_date"])
         hourly, h_obs = observed(hourly, "hourly")
-        lake.write_partitioned(hourly, layout.hourly_stats, ["year"], cluster=True, sort_by=["pickup_date"])
-        daily = aggregate.rolling_revenue(aggregate.daily_stats(trips)).withColumns(by_year)
+        lake.write_partitioned(hourly, layout.hourly_stats, ["year"])
+        # the window looks 6 calendar days back: days before a run's first year come
+        # from the previous December (if loaded), so results do not depend on run scope
+        lead_in = [(y - 1, 12) for y in years if y - 1 not in years]
+        window_input = enriched.filter(F.col("year").isin(years) | lake.months_filter(lead_in)) if lead_in else trips
+        daily = aggregate.rolling_revenue(aggregate.daily_stats(window_input)).withColumns(by_year)
+        daily = lake.clustered(daily.filter(F.col("year").isin(years)), ["year"], ["pickup_date"])
         daily, d_obs = observed(daily, "daily")
-        lake.write_partitioned(daily, layout.daily_stats, ["year"], cluster=True, sort_by=["pickup_date"])
+        lake.write_partitioned(daily, layout.daily_stats, ["year"])
         rec.record("agg_hourly_rows", h_obs.get["rows"])
         rec.record("agg_daily_rows", d_obs.get["rows"])
 
@@ -169,8 +176,8 @@ def build_dims(spark: SparkSession, layout: Layout, months: Months, rec: Metrics
         rec.record("dim_location_rows", l_obs.get["rows"])
         years = _years(months)
         dates = model.dim_date(spark, f"{years[0]}-01-01", f"{years[-1]}-12-31").filter(F.col("year").isin(years))
-        dates, d_obs = observed(dates, "dim_date")
-        lake.write_partitioned(dates, layout.dim_date, ["year"], cluster=True)
+        dates, d_obs = observed(lake.clustered(dates, ["year"], ["full_date"]), "dim_date")
+        lake.write_partitioned(dates, layout.dim_date, ["year"])
         rec.record("dim_date_rows", d_obs.get["rows"])
 
 

@@ -193,6 +193,17 @@ def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path)
 
 
+def clustered(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str] = ()) -> DataFrame:
+    """Hash-partition on the partition columns (one file per partition directory) and
+    order rows inside each file (tight min/max statistics).
+
+    For small outputs (aggregates, dimensions, check results) only: on trip-level
+    data it would funnel a whole month into one task.
+    """
+    out = df.repartition(*partition_by)
+    return out.sortWithinPartitions(*partition_by, *sort_by) if sort_by else out
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,
@@ -200,17 +211,12 @@ def write_partitioned(
     cluster: bool = False,
     sort_by: Sequence[str] = (),
 ) -> None:
-    """Overwrite only the partitions present in ``df``.
+    """Overwrite only the partitions present in ``df`` (dynamic partition overwrite).
 
-    ``cluster=True`` first hash-partitions on the partition columns so each
-    partition directory gets one file; use it for small outputs (aggregates),
-    not for trip-level data, where it would funnel a whole month into one task.
-    ``sort_by`` orders rows inside each file (tight min/max statistics).
+    ``cluster`` / ``sort_by`` apply ``clustered`` first.
     """
-    if cluster:
-        df = df.repartition(*partition_by)
-    if sort_by:
-        df = df.sortWithinPartitions(*partition_by, *sort_by)
+    if cluster or sort_by:
+        df = clustered(df, partition_by, sort_by)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

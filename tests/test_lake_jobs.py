@@ -133,3 +133,22 @@ def test_command_line_runs_stages(spark, capsys):
     assert "cleansing_records_out" in out and "fact_trips_rows" in out
     assert spark.read.parquet(f"{root}/gold/fact_trips").count() == 32  # 1997-03 at sf0.001 (DuckDB agrees)
     assert main(["report", "fare-by-distance", "--lake", root]) == 0
+
+
+def test_rolling_window_crosses_the_year_boundary(spark):
+    from datetime import date
+
+    layout = jobs.scratch_layout(spark)
+    zones = spark.createDataFrame([(10, "Queens", "Q", "Boro Zone"), (20, "Bronx", "B", "Boro Zone")],
+                                  "LocationID int, Borough string, Zone string, service_zone string")
+    feed = spark.createDataFrame(
+        [trip(pickup=datetime(2022, 12, 30, 8), dropoff=datetime(2022, 12, 30, 8, 30), total=5.0),
+         trip(pickup=datetime(2023, 1, 2, 8), dropoff=datetime(2023, 1, 2, 8, 30), total=7.0)],
+        TYPED_TRIP,
+    )
+    jobs.run_all(spark, layout, feed, zones, [(2022, 12)], enforce_gate=False)
+    jobs.run_all(spark, layout, feed, zones, [(2023, 1)], enforce_gate=False)  # a run of 2023 alone
+    daily = lake.read_partitioned(spark, layout.daily_stats)
+    r = daily.filter(F.col("pickup_date") == F.lit(date(2023, 1, 2))).first()
+    assert r["rolling_7d_revenue"] == 12.0  # includes 2022-12-30
+    assert daily.filter("year = 2023").count() == 1 and daily.filter("year = 2022").count() == 1
