@@ -46,8 +46,9 @@ def partition_counts(spark: SparkSession, paths: dict[str, str], months: Months)
     """
     parts = []
     for name, path in paths.items():
-        if lake.table_exists(spark, path):
-            counted = spark.read.parquet(path).filter(lake.months_filter(months)).groupBy("year", "month").count()
+        table = lake.read_if_exists(spark, path)
+        if table is not None:
+            counted = table.filter(lake.months_filter(months)).groupBy("year", "month").count()
             parts.append(counted.withColumn("table", F.lit(name)))
     out: dict[str, dict[tuple[int, int], int]] = {name: {} for name in paths}
     if parts:

@@ -121,6 +121,11 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return _try_read(spark.read.parquet, path) is not None
 
 
+def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None if nothing was written there yet (one listing)."""
+    return _try_read(spark.read.parquet, path)
+
+
 _MONTH_DIR = re.compile(r"/year=(\d+)/month=(\d+)/")
 
 
