@@ -49,6 +49,7 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--bound", default="half_open", choices=["half_open", "reference"])
     run.add_argument("--min-rows", type=int, default=100_000)
     run.add_argument("--no-enforce", action="store_true")
+    run.add_argument("--merge-schema", action="store_true", help="union raw columns across months")
 
     land = sub.add_parser("land-fixture", help="land raw months and zones derived from the test tables")
     land.add_argument("--lake", required=True)
@@ -95,7 +96,7 @@ def main(argv: list[str] | None = None) -> int:
             if stage not in wanted:
                 continue
             if stage == "cleanse":
-                jobs.cleanse(spark, layout, months, rec, a.bound)
+                jobs.cleanse(spark, layout, months, rec, a.bound, a.merge_schema)
             elif stage == "enrich":
                 jobs.enrich_months(spark, layout, months, rec)
             elif stage == "aggregate":

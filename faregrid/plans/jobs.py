@@ -80,10 +80,10 @@ def land(spark: SparkSession, layout: Layout, feed: DataFrame, zones: DataFrame,
 
 
 def cleanse(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRecorder,
-            bound: str = "half_open") -> None:
+            bound: str = "half_open", merge_schema: bool = False) -> None:
     """Cleanse the landed raw months into silver; quarantined rows go to their own table."""
     with rec.timer("cleansing"):
-        raw = lake.read_raw(spark, layout, months)
+        raw = lake.read_raw(spark, layout, months, merge_schema)
         obs: dict[str, Observation] = {}
 
         def tap(stage: str, df: DataFrame) -> DataFrame:

@@ -177,14 +177,19 @@ def land_zones(spark: SparkSession, zones: DataFrame, layout: Layout) -> bool:
     return True
 
 
-def read_raw(spark: SparkSession, layout: Layout, months: Iterable[tuple[int, int]]) -> DataFrame:
+def read_raw(
+    spark: SparkSession, layout: Layout, months: Iterable[tuple[int, int]], merge_schema: bool = False
+) -> DataFrame:
     """Raw trips of the given months; ``year``/``month`` are the source partition.
 
     Column types come from the files, as landed; the partition predicate prunes
     directories and the cleansing casts are no-ops on typed numeric columns, so
-    later predicates still reach the Parquet reader.
+    later predicates still reach the Parquet reader. ``merge_schema`` unions the
+    columns of all files (monthly feeds that gained a column mid-year); it costs
+    a footer read per file, so it is off unless asked for.
     """
-    return spark.read.parquet(layout.raw_trips).filter(months_filter(months))
+    reader = spark.read.option("mergeSchema", "true") if merge_schema else spark.read
+    return reader.parquet(layout.raw_trips).filter(months_filter(months))
 
 
 def read_zones(spark: SparkSession, layout: Layout) -> DataFrame:

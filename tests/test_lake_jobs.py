@@ -152,3 +152,19 @@ def test_rolling_window_crosses_the_year_boundary(spark):
     r = daily.filter(F.col("pickup_date") == F.lit(date(2023, 1, 2))).first()
     assert r["rolling_7d_revenue"] == 12.0  # includes 2022-12-30
     assert daily.filter("year = 2023").count() == 1 and daily.filter("year = 2022").count() == 1
+
+
+def test_raw_months_with_a_new_column(spark):
+    """A month that gained a column: merged read keeps it (NULL for older months) and it
+    passes through silver unchanged."""
+    layout = jobs.scratch_layout(spark)
+    jan = spark.createDataFrame([trip()], TYPED_TRIP)
+    feb = spark.createDataFrame([trip(pickup=datetime(2023, 2, 1, 8), dropoff=datetime(2023, 2, 1, 8, 30))], TYPED_TRIP)
+    lake.land_raw(spark, jan, layout, [(2023, 1)])
+    lake.land_raw(spark, feb.withColumn("airport_fee", F.lit(1.25)), layout, [(2023, 2)])
+    raw = lake.read_raw(spark, layout, [(2023, 1), (2023, 2)], merge_schema=True)
+    assert "airport_fee" in raw.columns
+    from faregrid.operators import cleansing as C
+
+    clean = {r["month"]: r["airport_fee"] for r in C.cleanse(raw, [(2023, 1), (2023, 2)]).clean.collect()}
+    assert clean == {1: None, 2: 1.25}
