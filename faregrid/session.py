@@ -25,7 +25,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         # coalesce shuffle output to the advisory size (64 MB) rather than
         # keeping one partition per core: fewer, larger files per partition dir
-        .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", os.environ.get("FAREGRID_PARALLELISM_FIRST", "false"))
+        .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", os.environ.get("FAREGRID_ADVISORY_BYTES", "64m"))
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
