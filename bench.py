@@ -42,7 +42,7 @@ def one_run(spark, landed: Layout, months) -> dict[str, float]:
     t = {}
     t["cleanse"], _ = timed(lambda: jobs.cleanse(spark, lk, months, rec))
     t["enrich"], _ = timed(lambda: jobs.enrich_months(spark, lk, months, rec))
-    t["aggregate"], _ = timed(lambda: jobs.aggregate_years(spark, lk, months, rec))
+    t["aggregate"], _ = timed(lambda: jobs.aggregate_months(spark, lk, months, rec))
     t["dims"], _ = timed(lambda: jobs.build_dims(spark, lk, months, rec))
     t["fact"], _ = timed(lambda: jobs.build_fact(spark, lk, months, rec))
     t["quality_gate"], _ = timed(lambda: jobs.quality_gate(spark, lk, months, rec, enforce=False))

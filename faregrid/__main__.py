@@ -100,7 +100,7 @@ def main(argv: list[str] | None = None) -> int:
             elif stage == "enrich":
                 jobs.enrich_months(spark, layout, months, rec)
             elif stage == "aggregate":
-                jobs.aggregate_years(spark, layout, months, rec)
+                jobs.aggregate_months(spark, layout, months, rec)
             elif stage == "dims":
                 jobs.build_dims(spark, layout, months, rec)
             elif stage == "fact":

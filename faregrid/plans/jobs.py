@@ -140,33 +140,51 @@ def _years(months: Months) -> list[int]:
     return sorted({y for y, _ in months})
 
 
-def aggregate_years(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRecorder) -> None:
-    """Hourly and daily (+ rolling 7 days) statistics over every loaded month of the run's years.
+def _shift(y: int, m: int, k: int) -> tuple[int, int]:
+    i = y * 12 + (m - 1) + k
+    return i // 12, i % 12 + 1
 
-    The aggregates are small (days x hours x boroughs), so each year is one
-    partition written as one file; date predicates still prune row groups
-    through Parquet min/max statistics on ``pickup_date``. (A partition per
-    day would create thousands of tiny files and make every reader list them.)
+
+def aggregate_months(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRecorder) -> None:
+    """Hourly and daily (+ rolling 7 days) statistics for the run's months only.
+
+    A monthly run scans one month of trips, not the whole year. Gold tables are
+    partitioned by (year, month), one file each, sorted by ``pickup_date``.
+    The window looks six calendar days back, so the daily rows of the month
+    before each run month (the lead-in) and of the month after it (whose first
+    days' rolling values depend on the run month) are read from gold, and the
+    following month is rewritten with refreshed rolling values. Whatever order
+    months are run in, the final tables equal one run over all of them.
     """
     with rec.timer("windowed_agg"):
-        years = _years(months)
-        enriched = spark.read.parquet(layout.enriched)
-        trips = enriched.filter(F.col("year").isin(years))
-        by_year = {"year": F.year("pickup_date")}
+        months = sorted(set(months))
+        trips = spark.read.parquet(layout.enriched).filter(lake.months_filter(months))
+        part = {"year": F.year("pickup_date"), "month": F.month("pickup_date")}
         # counters go after the last exchange (result stage: counted once under retries)
-        hourly = lake.clustered(aggregate.hourly_stats(trips).withColumns(by_year), ["year"], ["pickup_date"])
+        hourly = lake.clustered(aggregate.hourly_stats(trips).withColumns(part), ["year", "month"], ["pickup_date"])
         hourly, h_obs = observed(hourly, "hourly")
-        lake.write_partitioned(hourly, layout.hourly_stats, ["year"])
-        # the window looks 6 calendar days back: days before a run's first year come
-        # from the previous December (if loaded), so results do not depend on run scope
-        lead_in = [(y - 1, 12) for y in years if y - 1 not in years]
-        window_input = enriched.filter(F.col("year").isin(years) | lake.months_filter(lead_in)) if lead_in else trips
-        daily = aggregate.rolling_revenue(aggregate.daily_stats(window_input)).withColumns(by_year)
-        daily = lake.clustered(daily.filter(F.col("year").isin(years)), ["year"], ["pickup_date"])
-        daily, d_obs = observed(daily, "daily")
-        lake.write_partitioned(daily, layout.daily_stats, ["year"])
+        lake.write_partitioned(hourly, layout.hourly_stats, ["year", "month"])
+
+        daily = aggregate.daily_stats(trips).withColumns(part)
+        before = sorted({_shift(y, m, -1) for y, m in months} - set(months))
+        after = sorted({_shift(y, m, 1) for y, m in months} - set(months))
+        stored = lake.read_if_exists(spark, layout.daily_stats)
+        refreshed: list[tuple[int, int]] = []
+        if stored is not None and (before or after):
+            neighbours = stored.filter(lake.months_filter(before + after)).drop("rolling_7d_revenue")
+            # cut lineage: the write below replaces partitions of the table read here
+            checkpoint_dir(spark)  # the cluster's shared folder; raises if none is configured
+            neighbours = neighbours.select(*daily.columns).checkpoint(eager=True)
+            refreshed = [tuple(r) for r in neighbours.filter(lake.months_filter(after))
+                         .select("year", "month").distinct().collect()]
+            daily = daily.unionByName(neighbours)
+        rolled = aggregate.rolling_revenue(daily).filter(lake.months_filter(months + refreshed))
+        rolled = lake.clustered(rolled, ["year", "month"], ["pickup_date"])
+        rolled, d_obs = observed(rolled, "daily")
+        lake.write_partitioned(rolled, layout.daily_stats, ["year", "month"])
         rec.record("agg_hourly_rows", h_obs.get["rows"])
         rec.record("agg_daily_rows", d_obs.get["rows"])
+        rec.record("agg_daily_months_refreshed", len(refreshed))
 
 
 def build_dims(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRecorder) -> None:
@@ -244,7 +262,7 @@ def run_all(
         land(spark, layout, feed, zones, months, rec)
         cleanse(spark, layout, months, rec, bound)
         enrich_months(spark, layout, months, rec)
-        aggregate_years(spark, layout, months, rec)
+        aggregate_months(spark, layout, months, rec)
         build_dims(spark, layout, months, rec)
         build_fact(spark, layout, months, rec)
         dq = quality_gate(spark, layout, months, rec, min_rows, enforce_gate)

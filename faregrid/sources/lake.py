@@ -8,8 +8,8 @@ shared folder, never a machine-local one)::
     silver/yellow_tripdata/year=Y/month=M/     cleansed trips
     silver/quarantine/year=Y/month=M/          rows with a NULL required column
     silver/trips_with_zones/year=Y/month=M/    enriched trips
-    gold/hourly_stats/year=Y/                  one file per year, sorted by pickup_date
-    gold/daily_stats/year=Y/                   with rolling_7d_revenue
+    gold/hourly_stats/year=Y/month=M/          one file per month, sorted by pickup_date
+    gold/daily_stats/year=Y/month=M/           with rolling_7d_revenue
     gold/dim_location/
     gold/dim_date/year=Y/
     gold/fact_trips/year=Y/month=M/
