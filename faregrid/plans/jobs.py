@@ -140,51 +140,57 @@ def _years(months: Months) -> list[int]:
     return sorted({y for y, _ in months})
 
 
-def _shift(y: int, m: int, k: int) -> tuple[int, int]:
-    i = y * 12 + (m - 1) + k
-    return i // 12, i % 12 + 1
+def _stored_rows(spark: SparkSession, path: str, months: list[tuple[int, int]], columns: list[str]) -> DataFrame | None:
+    """Rows of the given months already in a gold table, checkpointed: the caller then
+    overwrites partitions of that same table, so the rows must not be read lazily from it."""
+    stored = lake.read_if_exists(spark, path) if months else None
+    if stored is None:
+        return None
+    checkpoint_dir(spark)  # the cluster's shared folder; raises if none is configured
+    return stored.filter(lake.months_filter(months)).select(*columns).checkpoint(eager=True)
 
 
 def aggregate_months(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRecorder) -> None:
-    """Hourly and daily (+ rolling 7 days) statistics for the run's months only.
-
-    A monthly run scans one month of trips, not the whole year. Gold tables are
-    partitioned by (year, month), one file each, sorted by ``pickup_date``.
-    The window looks six calendar days back, so the daily rows of the month
-    before each run month (the lead-in) and of the month after it (whose first
-    days' rolling values depend on the run month) are read from gold, and the
-    following month is rewritten with refreshed rolling values. Whatever order
-    months are run in, the final tables equal one run over all of them.
+    """Hourly and daily (+ rolling 7 days) statistics; trips are read for the run's months only.
+
+    Gold tables hold one file per year (sorted by ``pickup_date``): a run
+    aggregates its own months from the trips and rewrites each affected year
+    from those rows plus the year's other months read back from gold (small:
+    days x hours x boroughs). The rolling window is recomputed over the whole
+    rewritten year with the previous December as lead-in; a run that contains a
+    December also rewrites the next year, whose first days look back into it.
+    Whatever order months are run in, the tables equal one run over all of them.
     """
     with rec.timer("windowed_agg"):
         months = sorted(set(months))
+        run_years = _years(months)
         trips = spark.read.parquet(layout.enriched).filter(lake.months_filter(months))
         part = {"year": F.year("pickup_date"), "month": F.month("pickup_date")}
+
+        def year_months(ys):
+            return [(y, m) for y in ys for m in range(1, 13) if (y, m) not in months]
+
+        hourly = aggregate.hourly_stats(trips).withColumns(part)
+        kept_h = _stored_rows(spark, layout.hourly_stats, year_months(run_years), hourly.columns)
+        if kept_h is not None:
+            hourly = hourly.unionByName(kept_h)
+        # aggregated rows are few: AQE coalesces the aggregate's shuffle to a handful of
+        # partitions, so a local sort (no second shuffle) gives few, well-ordered files;
         # counters go after the last exchange (result stage: counted once under retries)
-        hourly = lake.clustered(aggregate.hourly_stats(trips).withColumns(part), ["year", "month"], ["pickup_date"])
-        hourly, h_obs = observed(hourly, "hourly")
-        lake.write_partitioned(hourly, layout.hourly_stats, ["year", "month"])
+        hourly, h_obs = observed(hourly.sortWithinPartitions("year", "pickup_date"), "hourly")
+        lake.write_partitioned(hourly, layout.hourly_stats, ["year"])
 
         daily = aggregate.daily_stats(trips).withColumns(part)
-        before = sorted({_shift(y, m, -1) for y, m in months} - set(months))
-        after = sorted({_shift(y, m, 1) for y, m in months} - set(months))
-        stored = lake.read_if_exists(spark, layout.daily_stats)
-        refreshed: list[tuple[int, int]] = []
-        if stored is not None and (before or after):
-            neighbours = stored.filter(lake.months_filter(before + after)).drop("rolling_7d_revenue")
-            # cut lineage: the write below replaces partitions of the table read here
-            checkpoint_dir(spark)  # the cluster's shared folder; raises if none is configured
-            neighbours = neighbours.select(*daily.columns).checkpoint(eager=True)
-            refreshed = [tuple(r) for r in neighbours.filter(lake.months_filter(after))
-                         .select("year", "month").distinct().collect()]
-            daily = daily.unionByName(neighbours)
-        rolled = aggregate.rolling_revenue(daily).filter(lake.months_filter(months + refreshed))
-        rolled = lake.clustered(rolled, ["year", "month"], ["pickup_date"])
-        rolled, d_obs = observed(rolled, "daily")
-        lake.write_partitioned(rolled, layout.daily_stats, ["year", "month"])
+        rewrite = sorted(set(run_years) | {y + 1 for y, m in months if m == 12})
+        lead_in = [(rewrite[0] - 1, 12)]
+        kept_d = _stored_rows(spark, layout.daily_stats, year_months(rewrite) + lead_in, daily.columns)
+        if kept_d is not None:
+            daily = daily.unionByName(kept_d)
+        rolled = aggregate.rolling_revenue(daily).filter(F.col("year").isin(rewrite))
+        rolled, d_obs = observed(rolled.sortWithinPartitions("year", "pickup_date"), "daily")
+        lake.write_partitioned(rolled, layout.daily_stats, ["year"])
         rec.record("agg_hourly_rows", h_obs.get["rows"])
         rec.record("agg_daily_rows", d_obs.get["rows"])
-        rec.record("agg_daily_months_refreshed", len(refreshed))
 
 
 def build_dims(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRecorder) -> None:
