@@ -20,6 +20,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from faregrid import schemas as S
 from faregrid.functions.columns import any_null
 from faregrid.operators import aggregate, cleansing, enrich, model, quality, reports
 from faregrid.plans.metrics import MetricsRecorder, drop_rate_value, observed
@@ -75,14 +76,14 @@ def land(spark: SparkSession, layout: Layout, feed: DataFrame, zones: DataFrame,
             )
             sizes = parsed.filter(lake.months_filter(written)).groupBy("year", "month").agg(F.sum("length").alias("bytes"))
             for r in sizes.collect():
-                rec.record("ingestion_size_mb", r["bytes"] / (1024 * 1024), year=r["year"], month=r["month"])
+                rec.record(S.METRIC_INGESTION_SIZE_MB, r["bytes"] / (1024 * 1024), year=r["year"], month=r["month"])
     return written
 
 
 def cleanse(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRecorder,
             bound: str = "half_open", merge_schema: bool = False) -> None:
     """Cleanse the landed raw months into silver; quarantined rows go to their own table."""
-    with rec.timer("cleansing"):
+    with rec.timer(S.JOB_CLEANSING):
         raw = lake.read_raw(spark, layout, months, merge_schema)
         obs: dict[str, Observation] = {}
 
@@ -113,27 +114,27 @@ def cleanse(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRec
         last = obs["clean"].get["last_pickup"]
         if last is not None:
             now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) if last.tzinfo is None else dt.datetime.now(last.tzinfo)
-            rec.record("data_freshness_lag_seconds", (now - last).total_seconds(), table="silver_trips")
+            rec.record(S.METRIC_FRESHNESS_LAG, (now - last).total_seconds(), table="silver_trips")
         counts = partition_counts(
             spark, {"raw": layout.raw_trips, "clean": layout.silver_trips, "bad": layout.quarantine}, months
         )
         raw_counts, out_counts, bad_counts = counts["raw"], counts["clean"], counts["bad"]
         for y, m in months:
             rin, rout = raw_counts.get((y, m), 0), out_counts.get((y, m), 0)
-            rec.record("cleansing_records_in", rin, year=y, month=m)
-            rec.record("cleansing_records_out", rout, year=y, month=m)
-            rec.record("cleansing_drop_rate", drop_rate_value(rin, rout), year=y, month=m)
+            rec.record(S.METRIC_CLEANSING_IN, rin, year=y, month=m)
+            rec.record(S.METRIC_CLEANSING_OUT, rout, year=y, month=m)
+            rec.record(S.METRIC_CLEANSING_DROP_RATE, drop_rate_value(rin, rout), year=y, month=m)
             rec.record("quarantined_records", bad_counts.get((y, m), 0), year=y, month=m)
 
 
 def enrich_months(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRecorder) -> None:
     """Silver trips of the months + zone lookup -> enriched trips (only those months are replaced)."""
-    with rec.timer("join"):
+    with rec.timer(S.JOB_JOIN):
         trips = spark.read.parquet(layout.silver_trips).filter(lake.months_filter(months))
         enriched = enrich.join_zones(trips, lake.read_zones(spark, layout))
         enriched, obs = observed(enriched, "enriched")
         lake.write_partitioned(enriched, layout.enriched, ["year", "month"])
-        rec.record("join_records_out", obs.get["rows"])
+        rec.record(S.METRIC_JOIN_OUT, obs.get["rows"])
 
 
 def _years(months: Months) -> list[int]:
@@ -161,7 +162,7 @@ def aggregate_months(spark: SparkSession, layout: Layout, months: Months, rec: M
     December also rewrites the next year, whose first days look back into it.
     Whatever order months are run in, the tables equal one run over all of them.
     """
-    with rec.timer("windowed_agg"):
+    with rec.timer(S.JOB_WINDOWED_AGG):
         months = sorted(set(months))
         run_years = _years(months)
         trips = spark.read.parquet(layout.enriched).filter(lake.months_filter(months))
@@ -189,8 +190,8 @@ def aggregate_months(spark: SparkSession, layout: Layout, months: Months, rec: M
         rolled = aggregate.rolling_revenue(daily).filter(F.col("year").isin(rewrite))
         rolled, d_obs = observed(rolled.sortWithinPartitions("year", "pickup_date"), "daily")
         lake.write_partitioned(rolled, layout.daily_stats, ["year"])
-        rec.record("agg_hourly_rows", h_obs.get["rows"])
-        rec.record("agg_daily_rows", d_obs.get["rows"])
+        rec.record(S.METRIC_AGG_HOURLY_ROWS, h_obs.get["rows"])
+        rec.record(S.METRIC_AGG_DAILY_ROWS, d_obs.get["rows"])
 
 
 def build_dims(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRecorder) -> None:
@@ -218,7 +219,7 @@ def build_fact(spark: SparkSession, layout: Layout, months: Months, rec: Metrics
         fact = model.fact_trips(enriched, spark.read.parquet(layout.dim_location), dates, model.calendar_rows(len(years)))
         fact, obs = observed(fact, "fact")
         lake.write_partitioned(fact, layout.fact_trips, ["year", "month"])
-        rec.record("fact_trips_rows", obs.get["rows"])
+        rec.record(S.METRIC_FACT_ROWS, obs.get["rows"])
 
 
 def quality_gate(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRecorder,
@@ -234,7 +235,7 @@ def quality_gate(spark: SparkSession, layout: Layout, months: Months, rec: Metri
         stored = spark.createDataFrame(rows, schema=results.schema)
         lake.write_partitioned(stored.coalesce(1), layout.quality_results, ["year", "month"])
         for r in rows:
-            rec.record(f"dq_{r['check']}", r["observed"], table="fact_trips", column=r["column"],
+            rec.record(S.DQ_METRIC[r["check"]], r["observed"], table="fact_trips", column=r["column"],
                        year=r["year"], month=r["month"], status=r["status"])
         if enforce:
             quality.enforce_rows(rows)

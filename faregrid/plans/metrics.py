@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from faregrid.schemas import METRIC_JOB_DURATION
+
 METRIC_SCHEMA = T.StructType(
     [
         T.StructField("metric", T.StringType(), False),
@@ -51,7 +53,7 @@ class MetricsRecorder:
         try:
             yield
         finally:
-            self.record("job_duration_seconds", round(time.time() - start, 3), job=job, **tags)
+            self.record(METRIC_JOB_DURATION, round(time.time() - start, 3), job=job, **tags)
 
     def get(self, name: str, **tags: Any) -> list[float | None]:
         want = {k: str(v) for k, v in tags.items()}

@@ -1,7 +1,8 @@
 """Table contracts and fixed values.
 
-The constants in the "fixed values" block must equal the source system's
-for results to match; everything else here is our own.
+Everything in the "fixed values" block (rule bounds, keys, metric names,
+column contracts) must equal the source system's for results and outputs to
+match; the code that uses them is our own.
 """
 
 from __future__ import annotations
@@ -50,8 +51,32 @@ REPORT_DISTANCE_BINS = 10
 
 # Rolling revenue window: the current day and the six calendar days before.
 ROLLING_DAYS = 7
-# ---------------------------------------------------------------------------
 
+# Metric names (records {metric, value, ts, tags}).
+METRIC_INGESTION_SIZE_MB = "ingestion_size_mb"
+METRIC_JOB_DURATION = "job_duration_seconds"
+METRIC_CLEANSING_IN = "cleansing_records_in"
+METRIC_CLEANSING_OUT = "cleansing_records_out"
+METRIC_CLEANSING_DROP_RATE = "cleansing_drop_rate"
+METRIC_JOIN_OUT = "join_records_out"
+METRIC_AGG_HOURLY_ROWS = "agg_hourly_rows"
+METRIC_AGG_DAILY_ROWS = "agg_daily_rows"
+METRIC_FACT_ROWS = "fact_trips_rows"
+METRIC_FRESHNESS_LAG = "data_freshness_lag_seconds"
+# Data-quality metric per check kind.
+DQ_METRIC = {
+    "not_null": "dq_null_count",
+    "unique": "dq_duplicate_count",
+    "between": "dq_out_of_range",
+    "foreign_key": "dq_referential_orphans",
+    "row_count": "dq_row_count",
+}
+# Job names of the timed stages.
+JOB_CLEANSING = "cleansing_job"
+JOB_JOIN = "join_job"
+JOB_WINDOWED_AGG = "windowed_agg_job"
+
+# Table contracts: column names, types and order of the raw input and outputs.
 RAW_TRIP_SCHEMA = T.StructType(
     [
         T.StructField("VendorID", T.IntegerType()),
@@ -115,3 +140,4 @@ DIM_DATE_COLUMNS = (
     "is_weekend",
     "quarter",
 )
+# ---------------------------------------------------------------------------

@@ -65,7 +65,10 @@ def test_metrics_recorded_and_written(lake_run):
     assert rec.get("dedup_removed") == [1.0]
     assert rec.get("fact_trips_rows") == [2.0]
     jobs_timed = {r["tags"]["job"] for r in rec.records if r["metric"] == "job_duration_seconds"}
-    assert {"ingestion", "cleansing", "join", "windowed_agg", "dim_tables", "fact_tables", "data_quality"} <= jobs_timed
+    assert {"ingestion", "cleansing_job", "join_job", "windowed_agg_job", "dim_tables", "fact_tables",
+            "data_quality"} <= jobs_timed
+    assert rec.get("dq_duplicate_count", column="trip_id", year=2023, month=1) == [0.0]
+    assert rec.get("dq_referential_orphans", column="pickup_location_sk", year=2023, month=1) == [0.0]
     assert spark.read.json(layout.metrics).count() >= len(rec.records)
 
 
