@@ -265,6 +265,8 @@ def run_all(
     months = sorted(set(months))
     rec = rec or MetricsRecorder()
     dq: list[dict] = []
+    if not months:
+        return RunReport(layout, months, rec, dq)
     try:
         land(spark, layout, feed, zones, months, rec)
         cleanse(spark, layout, months, rec, bound)

@@ -196,3 +196,12 @@ def test_month_runs_in_any_order_equal_one_run(spark):
     for m in [(1997, 5), (1997, 3), (1997, 4)] + months + [(1997, 3)]:
         jobs.run_all(spark, one_by_one, feed, zones, [m], enforce_gate=False)
     assert gold(one_by_one) == gold(together)
+
+
+def test_run_with_no_months_does_nothing(spark):
+    layout = jobs.scratch_layout(spark)
+    feed = spark.createDataFrame([trip()], TYPED_TRIP)
+    zones = spark.createDataFrame([(10, "Queens", "Q", "Boro Zone")], "LocationID int, Borough string, Zone string, service_zone string")
+    report = jobs.run_all(spark, layout, feed, zones, [])
+    assert report.dq == [] and report.metrics.records == []
+    assert lake.landed_months(spark, layout) == set()
