@@ -114,19 +114,26 @@ def period_filter(
     return df.filter(period_predicate(df, months, bound, ts_col))
 
 
-def dedup(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS) -> DataFrame:
+COPIES = "_copies"
+
+
+def dedup(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS, copies: str | None = None) -> DataFrame:
     """One row per key; the survivor is the smallest row by all other columns.
 
     ``min(struct(rest))`` gives a total order (NULLs first, column by column),
     so the surviving copy no longer depends on task scheduling. As an
     aggregate it combines map-side before the shuffle: a key that holds a
-    third of all rows still sends at most one row per map task.
+    third of all rows still sends at most one row per map task. ``copies``
+    names an optional extra column with the number of input rows per key
+    (their sum is the input count, known after the shuffle at no extra pass).
     """
     rest = [c for c in df.columns if c not in keys]
-    if not rest:
-        return df.dropDuplicates(list(keys))
-    kept = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_kept"))
-    return kept.select(*[F.col(c) if c in keys else F.col("_kept")[c].alias(c) for c in df.columns])
+    aggs = [F.min(F.struct(*rest)).alias("_kept")] if rest else [F.lit(None).alias("_kept")]
+    if copies:
+        aggs.append(F.count(F.lit(1)).alias(copies))
+    kept = df.groupBy(*keys).agg(*aggs)
+    cols = [F.col(c) if c in keys else F.col("_kept")[c].alias(c) for c in df.columns]
+    return kept.select(*cols, *([F.col(copies)] if copies else []))
 
 
 def business_rules(df: DataFrame) -> DataFrame:
@@ -178,18 +185,23 @@ def cleanse(
     months: Iterable[tuple[int, int]],
     bound: str = "half_open",
     tap: Callable[[str, DataFrame], DataFrame] = _identity,
+    count_copies: bool = False,
 ) -> Cleansed:
     """The whole cleansing chain in its fixed order.
 
     ``tap(stage, df)`` may wrap the frame at each stage boundary (``raw``,
     ``quarantined``, ``in_period``, ``deduplicated``, ``clean``), e.g. to attach
     row counters that fill during the write; by default it changes nothing.
+    With ``count_copies`` the ``deduplicated`` frame handed to ``tap`` carries
+    ``COPIES`` (input rows per key), dropped right after.
     """
     raw = tap("raw", raw)
     casted = cast_columns(raw)
     split = quarantine(casted)
     in_period = period_filter(split.good, months, bound) if not split.missing else split.good
     in_period = tap("in_period", in_period.drop(*[c for c in SOURCE_PARTITION if c in in_period.columns]))
-    deduped = tap("deduplicated", dedup(in_period))
+    deduped = tap("deduplicated", dedup(in_period, copies=COPIES if count_copies else None))
+    if count_copies:
+        deduped = deduped.drop(COPIES)
     clean = tap("clean", derive(business_rules(deduped)))
     return Cleansed(clean, tap("quarantined", split.bad), casted, in_period, deduped, split.missing)

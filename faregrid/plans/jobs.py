@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from faregrid import schemas as S
-from faregrid.functions.columns import any_null
 from faregrid.operators import aggregate, cleansing, enrich, model, quality, reports
 from faregrid.plans.metrics import MetricsRecorder, drop_rate_value, observed
 from faregrid.session import checkpoint_dir
@@ -88,28 +87,25 @@ def cleanse(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRec
         obs: dict[str, Observation] = {}
 
         def tap(stage: str, df: DataFrame) -> DataFrame:
-            # counters sit in result stages only (after the last shuffle, or in a job
-            # without one): a map stage re-run after an executor loss would count twice
-            if stage == "deduplicated":
-                df, obs[stage] = observed(df, stage)
+            # counters sit in result stages only (after the last shuffle): a map stage
+            # re-run after an executor loss would count twice
+            if stage == "deduplicated":  # rows left, and rows before (sum of copies per key)
+                obs[stage] = Observation(stage)
+                df = df.observe(obs[stage], F.count(F.lit(1)).alias("rows"),
+                                F.sum(cleansing.COPIES).alias("in_period"))
             elif stage == "clean":  # latest pickup rides along for the freshness lag
                 obs[stage] = Observation(stage)
                 df = df.observe(obs[stage], F.count(F.lit(1)).alias("rows"),
                                 F.max("tpep_pickup_datetime").alias("last_pickup"))
             return df
 
-        c = cleansing.cleanse(raw, months, bound, tap)
+        c = cleansing.cleanse(raw, months, bound, tap, count_copies=True)
         lake.write_partitioned(c.clean, layout.silver_trips, ["year", "month"])
-        # the quarantine job has no shuffle: count the in-period good rows there
-        casted = cleansing.cast_columns(raw)
-        good = ~any_null(cleansing.REQUIRED_COLUMNS)
-        in_period = good & cleansing.period_predicate(casted, months, bound) if not c.missing else F.lit(False)
-        obs["in_period"] = Observation("in_period")
-        casted = casted.observe(obs["in_period"], F.count_if(in_period).alias("rows"))
-        lake.write_partitioned(cleansing.quarantine(casted).bad, layout.quarantine, ["year", "month"])
+        # no shuffle and no counter here, so the NULL filter reaches the Parquet reader
+        lake.write_partitioned(c.quarantined, layout.quarantine, ["year", "month"])
 
         remaining = obs["deduplicated"].get["rows"]
-        rec.record("dedup_removed", obs["in_period"].get["rows"] - remaining)
+        rec.record("dedup_removed", (obs["deduplicated"].get["in_period"] or 0) - remaining)
         rec.record("dedup_remaining", remaining)
         last = obs["clean"].get["last_pickup"]
         if last is not None:

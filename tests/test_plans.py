@@ -80,3 +80,10 @@ def test_rolling_window_runs_on_daily_rows(fx):
     window_at = tree.index("Window")
     agg_at = tree.index("HashAggregate")
     assert window_at < agg_at  # in the printed tree the window sits above (after) the daily aggregate
+
+
+def test_quarantine_scan_pushes_null_filters(spark, landed):
+    raw = lake.read_raw(spark, landed, [(1997, 3)])
+    plan = plan_text(C.cleanse(raw, [(1997, 3)]).quarantined)
+    pushed = re.search(r"PushedFilters: \[(.*)\]", plan).group(1)
+    assert "IsNull(VendorID)" in pushed and "IsNull(fare_amount)" in pushed
