@@ -101,7 +101,7 @@ def cleanse(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRec
 
         c = cleansing.cleanse(raw, months, bound, tap, count_copies=True)
         lake.write_partitioned(c.clean, layout.silver_trips, ["year", "month"])
-        # no shuffle and no counter here, so the NULL filter reaches the Parquet reader
+        # shuffle-free: one scan of the run's months, bad rows written as they arrived
         lake.write_partitioned(c.quarantined, layout.quarantine, ["year", "month"])
 
         remaining = obs["deduplicated"].get["rows"]
