@@ -179,7 +179,7 @@ def aggregate_months(spark: SparkSession, layout: Layout, months: Months, rec: M
 
         daily = aggregate.daily_stats(trips).withColumns(part)
         rewrite = sorted(set(run_years) | {y + 1 for y, m in months if m == 12})
-        lead_in = [(rewrite[0] - 1, 12)]
+        lead_in = [(y - 1, 12) for y in rewrite if y - 1 not in rewrite]  # each gap's previous December
         kept_d = _stored_rows(spark, layout.daily_stats, year_months(rewrite) + lead_in, daily.columns)
         if kept_d is not None:
             daily = daily.unionByName(kept_d)

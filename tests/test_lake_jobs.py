@@ -205,3 +205,22 @@ def test_run_with_no_months_does_nothing(spark):
     report = jobs.run_all(spark, layout, feed, zones, [])
     assert report.dq == [] and report.metrics.records == []
     assert lake.landed_months(spark, layout) == set()
+
+
+def test_rolling_lead_in_for_every_rewritten_year(spark):
+    """A run over two non-adjacent years takes each year's previous December as lead-in."""
+    from datetime import date
+
+    layout = jobs.scratch_layout(spark)
+    zones = spark.createDataFrame([(10, "Queens", "Q", "Boro Zone")], "LocationID int, Borough string, Zone string, service_zone string")
+    feed = spark.createDataFrame(
+        [trip(pickup=datetime(2020, 12, 30, 8), dropoff=datetime(2020, 12, 30, 8, 30), total=5.0),
+         trip(pickup=datetime(2021, 1, 2, 8), dropoff=datetime(2021, 1, 2, 8, 30), total=7.0),
+         trip(pickup=datetime(2022, 12, 31, 8), dropoff=datetime(2022, 12, 31, 8, 30), total=3.0),
+         trip(pickup=datetime(2023, 1, 1, 8), dropoff=datetime(2023, 1, 1, 8, 30), total=2.0)],
+        TYPED_TRIP,
+    )
+    jobs.run_all(spark, layout, feed, zones, [(2020, 12), (2022, 12)], enforce_gate=False)
+    jobs.run_all(spark, layout, feed, zones, [(2021, 1), (2023, 1)], enforce_gate=False)
+    daily = {r["pickup_date"]: r["rolling_7d_revenue"] for r in lake.read_partitioned(spark, layout.daily_stats).collect()}
+    assert daily[date(2021, 1, 2)] == 12.0 and daily[date(2023, 1, 1)] == 5.0
