@@ -224,10 +224,17 @@ def quality_gate(spark: SparkSession, layout: Layout, months: Months, rec: Metri
     with rec.timer("data_quality"):
         fact = spark.read.parquet(layout.fact_trips).filter(lake.months_filter(months))
         dim = spark.read.parquet(layout.dim_location)
-        results = quality.run_checks(fact, quality.fact_gate(dim, min_rows), by=("year", "month"))
+        checks = quality.fact_gate(dim, min_rows)
+        results = quality.run_checks(fact, checks, by=("year", "month"))
         # one pass over the fact; the answer is checks x months rows, so it is
         # collected once and the stored table is written from those rows
         rows = [r.asDict() for r in results.collect()]
+        # a month without fact rows has no group: check it as an empty table (row count 0)
+        seen = {(r["year"], r["month"]) for r in rows}
+        for y, m in months:
+            if (y, m) not in seen:
+                empty = quality.run_checks(fact.filter(F.lit(False)), checks)
+                rows.extend({"year": y, "month": m, **r.asDict()} for r in empty.collect())
         stored = spark.createDataFrame(rows, schema=results.schema)
         lake.write_partitioned(stored.coalesce(1), layout.quality_results, ["year", "month"])
         for r in rows:

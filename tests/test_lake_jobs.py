@@ -224,3 +224,14 @@ def test_rolling_lead_in_for_every_rewritten_year(spark):
     jobs.run_all(spark, layout, feed, zones, [(2021, 1), (2023, 1)], enforce_gate=False)
     daily = {r["pickup_date"]: r["rolling_7d_revenue"] for r in lake.read_partitioned(spark, layout.daily_stats).collect()}
     assert daily[date(2021, 1, 2)] == 12.0 and daily[date(2023, 1, 1)] == 5.0
+
+
+def test_gate_fails_an_empty_month(spark):
+    layout = jobs.scratch_layout(spark)
+    feed = spark.createDataFrame([trip()], TYPED_TRIP)  # January only
+    zones = spark.createDataFrame([(10, "Queens", "Q", "Boro Zone")], "LocationID int, Borough string, Zone string, service_zone string")
+    report = jobs.run_all(spark, layout, feed, zones, [(2023, 1), (2023, 2)], min_rows=1, enforce_gate=False)
+    feb = {r["check"]: (r["observed"], r["status"]) for r in report.dq if r["month"] == 2}
+    assert feb["row_count"] == (0, "FAIL") and feb["not_null"] == (0, "PASS")
+    assert {r["status"] for r in report.dq if r["month"] == 1} == {"PASS"}
+    assert spark.read.parquet(layout.quality_results).filter("month = 2").count() == 7
