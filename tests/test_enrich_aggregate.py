@@ -85,3 +85,21 @@ def test_rolling_counts_calendar_days_with_gaps(spark):
     assert out[(date(2023, 1, 8), "Q")] == 6.0  # Jan 1 has left the window
     assert out[(date(2023, 1, 2), None)] == 11.0  # NULL borough is its own partition
     assert out[(date(2023, 1, 2), "M")] == 7.0
+
+
+def test_checked_broadcast_falls_back_to_a_shuffle_join_above_the_limit(spark, small_trips, zones):
+    from faregrid.functions.joins import checked_broadcast
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # leave the choice to the check
+    try:
+        big = checked_broadcast(zones, "location_id", max_rows=2)  # 4 rows > 2: not marked
+        plan = plan_text(small_trips.join(big, small_trips.PULocationID == big.location_id, "left"))
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+        small = checked_broadcast(zones, "location_id", max_rows=10)
+        plan = plan_text(small_trips.join(small, small_trips.PULocationID == small.location_id, "left"))
+        assert "BroadcastHashJoin" in plan
+        # a bound proven by construction skips the measuring job but still broadcasts
+        proven = checked_broadcast(zones, "location_id", max_rows=10, proven_rows=4)
+        assert "BroadcastHashJoin" in plan_text(small_trips.join(proven, small_trips.PULocationID == proven.location_id))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
