@@ -37,20 +37,23 @@ def scratch_layout(spark: SparkSession, name: str | None = None) -> Layout:
     return Layout(f"{checkpoint_dir(spark).rstrip('/')}/{name or 'lake-' + uuid.uuid4().hex[:12]}")
 
 
-def partition_counts(spark: SparkSession, paths: dict[str, str], months: Months) -> dict[str, dict[tuple[int, int], int]]:
+def partition_counts(
+    spark: SparkSession, tables: dict[str, str | DataFrame], months: Months
+) -> dict[str, dict[tuple[int, int], int]]:
     """Rows per (year, month) partition of written tables, in one job.
 
     Only partition columns are selected, so Parquet answers from row-group
     metadata without decoding a data column; the result has one row per table
-    and month. Tables that do not exist yet count as empty.
+    and month. A table is a path (read now; missing = empty) or a DataFrame
+    already planned over it (its file listing is reused).
     """
     parts = []
-    for name, path in paths.items():
-        table = lake.read_if_exists(spark, path)
+    for name, path in tables.items():
+        table = path if isinstance(path, DataFrame) else lake.read_if_exists(spark, path)
         if table is not None:
             counted = table.filter(lake.months_filter(months)).groupBy("year", "month").count()
             parts.append(counted.withColumn("table", F.lit(name)))
-    out: dict[str, dict[tuple[int, int], int]] = {name: {} for name in paths}
+    out: dict[str, dict[tuple[int, int], int]] = {name: {} for name in tables}
     if parts:
         for r in reduce(DataFrame.unionByName, parts).collect():
             out[r["table"]][(r["year"], r["month"])] = r["count"]
@@ -112,7 +115,7 @@ def cleanse(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRec
             now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) if last.tzinfo is None else dt.datetime.now(last.tzinfo)
             rec.record(S.METRIC_FRESHNESS_LAG, (now - last).total_seconds(), table="silver_trips")
         counts = partition_counts(
-            spark, {"raw": layout.raw_trips, "clean": layout.silver_trips, "bad": layout.quarantine}, months
+            spark, {"raw": raw, "clean": layout.silver_trips, "bad": layout.quarantine}, months
         )
         raw_counts, out_counts, bad_counts = counts["raw"], counts["clean"], counts["bad"]
         for y, m in months:
