@@ -44,6 +44,8 @@ def revenue_by_borough(daily: DataFrame, selected: Sequence[str] | None = None)
     if selected is None:
         selected = default_boroughs(daily)
     selected = list(selected)
+    if not selected:  # nothing to show: an empty frame with the date column
+        return daily.select("pickup_date").filter(F.lit(False))
     return (
         daily.filter(F.col("pickup_borough").isin(selected))
         .groupBy("pickup_date")

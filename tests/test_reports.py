@@ -95,3 +95,13 @@ def test_peak_hours(spark):
     )
     assert [tuple(r) for r in peak_hours(hourly, "Queens").collect()] == [(8, 1), (9, 5)]
     assert [tuple(r) for r in peak_hours(hourly).collect()] == [(8, 100)]  # default: first borough
+
+
+def test_reports_on_empty_tables(spark):
+    daily = spark.createDataFrame([], "pickup_date date, pickup_borough string, revenue double")
+    hourly = spark.createDataFrame([], "pickup_date date, pickup_hour int, pickup_borough string, trip_count bigint")
+    assert revenue_by_borough(daily).count() == 0
+    assert peak_hours(hourly).count() == 0
+    fact = spark.createDataFrame([], "trip_distance double, fare_amount double, pickup_location_sk int")
+    locs = spark.createDataFrame([(1, "Queens")], "location_sk int, borough string")
+    assert fare_by_distance(fact, locs).count() == 0
