@@ -179,12 +179,13 @@ def mix(sized: DataFrame, sources_col: str = "sources", id_col: str = "doc_id",
 def _rest_of(dealt: DataFrame, id_col: str) -> Column:
     """Whether the row is among those that get one more repeat (uses the columns of ``_cuts``)."""
     before = (F.col("_seed") < F.col("_cut_seed")) | ((F.col("_seed") == F.col("_cut_seed")) & (F.col(id_col) <= F.col("_cut_id")))
-    whole = F.col("_rest") > 0
-    return whole & F.coalesce((F.coalesce(before, F.lit(False))) | F.col(id_col).eqNullSafe(F.col("_fill_id")) & F.col("_fill_id").isNotNull(), F.lit(False))
+    named = lambda c: F.coalesce(F.col(id_col) == F.col(c), F.lit(False))
+    return (F.col("_rest") > 0) & ((F.coalesce(before, F.lit(False)) & ~named("_drop_id")) | named("_fill_id"))
 
 
 def _cuts(dealt: DataFrame, id_col: str) -> DataFrame:
-    """Per pattern with a rest: the last row of the seeded order that fits whole, and the one later row that fills best.
+    """Per pattern with a rest: the last row of the seeded order that fits whole, the one later row that fills the gap
+    best, and, if that takes too much, the one earlier row to leave out for it.
 
     The running sum goes over buckets of the order first, then over the rows of the
     one bucket in which the rest ends. A pattern of n rows has about sqrt(n) buckets,
@@ -214,13 +215,21 @@ def _cuts(dealt: DataFrame, id_col: str) -> DataFrame:
         "_no", "_sum", F.coalesce(F.col("_at"), F.col("_first") - 1).alias("_cut_seed"), F.col("_at_id").alias("_cut_id")
     )
     gap = F.col("_rest") - F.col("_sum")
-    later = (F.col("_seed") > F.col("_cut_seed")) | ((F.col("_seed") == F.col("_cut_seed")) & (F.col(id_col) > F.col("_cut_id")))
+    before = (F.col("_seed") < F.col("_cut_seed")) | ((F.col("_seed") == F.col("_cut_seed")) & (F.col(id_col) <= F.col("_cut_id")))
+    before = F.coalesce(before, F.lit(False))
     fill = (
-        asked.join(F.broadcast(ends), "_no").filter(later).filter(F.abs(gap - F.col("_size")) < gap)
-        .groupBy("_no").agg(F.min(F.struct(F.abs(gap - F.col("_size")).alias("off"), "_seed", F.col(id_col).alias("id"))).alias("f"))
-        .select("_no", F.col("f.id").alias("_fill_id"))
+        asked.join(F.broadcast(ends), "_no").filter(~before).filter(F.abs(gap - F.col("_size")) < gap)
+        .groupBy("_no").agg(F.min(F.struct(F.abs(gap - F.col("_size")).alias("off"), "_seed", F.col(id_col).alias("id"), (F.col("_size") - gap).alias("over"))).alias("f"))
+        .select("_no", F.col("f.id").alias("_fill_id"), F.col("f.over").alias("_over"))
+    )
+    ends = materialize(ends.join(fill, "_no", "left"), "mix-fill")
+    spare = F.abs(F.col("_over") - F.col("_size"))
+    drop = (
+        asked.join(F.broadcast(ends), "_no").filter(before & (spare < F.col("_over")))
+        .groupBy("_no").agg(F.min(F.struct(spare.alias("off"), "_seed", F.col(id_col).alias("id"))).alias("d"))
+        .select("_no", F.col("d.id").alias("_drop_id"))
     )
-    return ends.join(fill, "_no", "left").select("_no", "_cut_seed", "_cut_id", "_fill_id")
+    return ends.join(drop, "_no", "left").select("_no", "_cut_seed", "_cut_id", "_fill_id", "_drop_id")
 
 
 def mix_by_source(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:

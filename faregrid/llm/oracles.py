@@ -1,3 +1,87 @@
 """DuckDB SQL of the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+_ASCII_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_REST = "CASE WHEN instr({0}, '://') > 0 THEN substr({0}, instr({0}, '://') + 3) ELSE '' END"
+
+
+def _address(url: str, prefix: str) -> str:
+    """Host, path and key (host, path, query) of an address."""
+    rest = _REST.format(url)
+    host = _ASCII_LOWER.format(f"regexp_extract({rest}, '^([^/?#]*)', 1)")
+    path = f"regexp_extract({rest}, '(?s)^[^/?#]*([^?#]*)', 1)"
+    query = f"regexp_extract({rest}, '(?s)^[^?#]*(\\?[^#]*)', 1)"
+    key = f"CASE WHEN {host} <> '' THEN {host} || CASE WHEN {path} = '' THEN '/' ELSE {path} END || {query} END"
+    return f"coalesce({host}, '') AS {prefix}host, coalesce({path}, '') AS {prefix}path, {key} AS {prefix}key"
+
+
+OP2 = f"""
+WITH RECURSIVE
+rules(verdict, h, p) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+                                ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+own AS (SELECT page_id, {_address('url', '')} FROM pages),
+raw AS (
+  SELECT {_address('url', 's_')}, replace(unnest([
+    regexp_extract(regexp_extract(html, '(?is)(<link\\b[^<>]*?\\brel\\s*=\\s*["'']?canonical\\b[^<>]*>)', 1), '(?is)\\bhref\\s*=\\s*["'']?\\s*([^"''\\s<>]+)', 1),
+    regexp_extract(regexp_extract(html, '(?is)(<meta\\b[^<>]*?\\bhttp-equiv\\s*=\\s*["'']?refresh\\b[^<>]*>)', 1), '(?is)\\burl\\s*=\\s*["'']?\\s*([^"''\\s<>]+)', 1)]),
+    '&amp;', '&') AS t FROM pages),
+resolved AS (
+  SELECT s_key, CASE WHEN t = '' OR t LIKE '#%' THEN NULL WHEN instr(t, '://') > 0 THEN t WHEN t LIKE '//%' THEN 'http:' || t
+    WHEN t LIKE '/%' THEN 'http://' || s_host || t WHEN regexp_matches(t, '(?i)^[a-z][a-z0-9+.-]*:') THEN NULL
+    WHEN t LIKE '?%' THEN 'http://' || s_host || s_path || t
+    ELSE 'http://' || s_host || regexp_extract(CASE WHEN s_path = '' THEN '/' ELSE s_path END, '(?s)^(.*/)', 1) || t END AS url FROM raw),
+edges AS (SELECT DISTINCT s_key AS a, b_key AS b FROM (SELECT s_key, {_address('url', 'b_')} FROM resolved) WHERE s_key <> b_key),
+both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+reach(a, b) AS (SELECT a, a FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a),
+nodes AS (SELECT DISTINCT a AS node, {_address("('x://' || a)", 'n_')} FROM both_ways),
+judged AS (
+  SELECT node, arg_max(verdict, length(h) + length(p) + CASE verdict WHEN 'allow' THEN 0.5 ELSE 0 END) AS verdict
+  FROM nodes JOIN rules ON (n_host = h OR suffix(n_host, '.' || h)) AND starts_with(n_path, p) GROUP BY node),
+alias AS (SELECT r.a AS key, max(CASE verdict WHEN 'allow' THEN 1 ELSE 0 END) AS allow FROM reach r JOIN judged j ON r.b = j.node GROUP BY r.a),
+best AS (
+  SELECT page_id, max(struct_pack(n := length(h) + length(p), allow := CASE verdict WHEN 'allow' THEN 1 ELSE 0 END, rule := h || p)) AS m
+  FROM own JOIN rules ON (host = h OR suffix(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
+SELECT o.page_id, o.host, o.path, m.rule AS rule, CASE coalesce(m.allow, alias.allow, 1) WHEN 1 THEN 'allow' ELSE 'block' END AS verdict,
+  CASE WHEN m IS NOT NULL THEN 'rule' WHEN alias.allow IS NOT NULL THEN 'alias' ELSE 'default' END AS reason
+FROM own o LEFT JOIN best USING (page_id) LEFT JOIN alias ON alias.key = o.key
+"""
+
+OP5 = f"""
+WITH n AS (SELECT doc_id, sha256({_ASCII_LOWER.format("coalesce(text, '')")}) AS text_sha256 FROM documents)
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, text_sha256
+FROM n WINDOW g AS (PARTITION BY text_sha256)
+"""
+
+OP8 = """
+WITH RECURSIVE
+v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda c: c IS NULL OR NOT isfinite(c))) = 0
+        AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+          WHERE list_cosine_similarity(a.x, b.x) >= 0.98),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(least.b, vec_id)) AS component_id, vec_id = least(vec_id, coalesce(least.b, vec_id)) AS kept
+FROM embeddings LEFT JOIN least ON least.a = vec_id LEFT JOIN counts ON counts.a = vec_id
+"""
+
+OP9 = r"""
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+windows AS (SELECT doc_id, i, md5(array_to_string(words[i:i + 49], ' ')) AS h FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM w)),
+least AS (SELECT h, min(doc_id) AS least FROM windows GROUP BY h),
+gone AS (SELECT doc_id, list(i) AS starts FROM windows JOIN least USING (h) WHERE doc_id > least GROUP BY doc_id),
+covered AS (SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS pos FROM (SELECT doc_id, unnest(starts) AS s FROM gone)),
+removed AS (SELECT doc_id, list(pos) AS pos, count(*) AS n FROM covered GROUP BY doc_id),
+flat AS (SELECT doc_id, unnest(range(1, len(words) + 1)) AS pos, unnest(words) AS word FROM w),
+kept AS (SELECT f.doc_id, sha256(string_agg(word, ' ' ORDER BY f.pos)) AS h FROM flat f ANTI JOIN covered c ON f.doc_id = c.doc_id AND f.pos = c.pos GROUP BY f.doc_id)
+SELECT w.doc_id, len(words) AS n_words, coalesce(n, 0) AS n_removed, coalesce(h, sha256('')) AS kept_sha256
+FROM w LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_url_filters": OP2,
+    "op5_exact_dedup": OP5,
+    "op8_embedding_dedup": OP8,
+    "op9_substring_dedup": OP9,
+}
