@@ -30,19 +30,19 @@ def scratch_root(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     Cuts the lineage: losing an executor later costs no recomputation of ``df``.
     The shuffle files of the finished job are removed at once (a Spark setting,
-    restored afterwards), so only the table stays on disk.
+    restored afterwards), so only the table stays on disk. ``options`` go to the writer.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/llm-{uuid.uuid4().hex[:12]}-{name}"
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     finally:
         if before is None:
             spark.conf.unset(_CLEANUP)

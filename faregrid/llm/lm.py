@@ -65,7 +65,7 @@ _VOCABULARY, _TOKENS, _TEXTS = -1, -2, -3
 
 
 def _check(ids: list) -> int:
-    return zlib.crc32("\n".join(sorted(map(str, ids))).encode())
+    return len(ids) << 32 | zlib.crc32("\n".join(sorted(map(str, ids))).encode())
 
 
 def _local_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,7 +86,7 @@ def _local_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 keys[1][r].append(_mix(before[mine], token[mine]))
     if block is None:
         return
-    rows = [(np.array([block + 1], np.uint64), 4 * block + 2, np.array([len(ids)]), np.array([_check(ids)])),
+    rows = [(np.array([block + 1], np.uint64), 4 * block + 2, np.array([_check(ids)]), np.zeros(1, np.int64)),
             (np.zeros(1, np.uint64), _TEXTS, np.array([texts_of[0] + texts_of[1]]), np.array([texts_of[0]]))]
     for kind in (0, 1):
         found = [textops.unique_counts(np.concatenate(keys[kind][r])) for r in range(3)]
@@ -95,7 +95,8 @@ def _local_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         count = np.zeros((2, len(key)), np.int64)
         for r in (0, 1):
             count[r][np.searchsorted(key, found[r][0])] = found[r][1]
-        rows.append((key, 4 * block + kind, count[0] + count[1], count[0]))
+        order = np.lexsort((count[1], count[0]))  # rows with equal counts side by side take less of the shuffle
+        rows.append((key[order], 4 * block + kind, (count[0] + count[1])[order], count[0][order]))
     for key, at, train, held in rows:
         for lo in range(0, len(key), 100_000):
             k, t, f = (x[lo : lo + 100_000] for x in (key, train, held))
@@ -129,6 +130,8 @@ def _corpus_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         use = (total != train) | (fold_n > 0)
         rest.append((key[use], at[use], total[use], held[use], fold_n[use] > 0))
     for cols in rest:
+        order = np.lexsort((cols[0], cols[1]))  # by block, then key: small differences, which Parquet stores in few bits
+        cols = [c[order] for c in cols]
         for lo in range(0, len(cols[0]), 100_000):
             yield pa.RecordBatch.from_arrays([pa.array(c[lo : lo + 100_000]) for c in cols], ["key", "at", "train", "fold", "asked"])
 
@@ -169,19 +172,16 @@ def learn_weights(bucket: np.ndarray, parts: np.ndarray, n: np.ndarray) -> np.nd
     return weights
 
 
-def _found(key: np.ndarray, table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Whether the corpus counts have each key, and its counts (all, held out)."""
-    has, train, held = (table.column(c).to_numpy() for c in ("key", "train", "fold"))
-    order = np.argsort(has)
-    has, train, held = has[order].view(np.uint64), train[order], held[order]
-    # unsigned order differs from signed
-    order = np.argsort(has)
-    has, train, held = has[order], train[order], held[order]
+def _found(key: np.ndarray, table: pa.Table, *columns: str) -> tuple[np.ndarray, ...]:
+    """Whether the corpus counts have each key, and its counts (0 if not)."""
+    has = table.column("key").to_numpy().view(np.uint64)
     if not len(has):
-        return np.zeros(len(key), bool), np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
+        return np.zeros(len(key), bool), *(np.zeros(len(key), np.int64) for _ in columns)
+    order = np.argsort(has)
+    has = has[order]
     at = np.minimum(np.searchsorted(has, key), len(has) - 1)
     hit = has[at] == key
-    return hit, np.where(hit, train[at], 0), np.where(hit, held[at], 0)
+    return hit, *(np.where(hit, table.column(c).to_numpy()[order][at], 0) for c in columns)
 
 
 def _held_out(mix: Mixture, held: Mixture):
@@ -192,8 +192,7 @@ def _held_out(mix: Mixture, held: Mixture):
         if not docs.num_rows:
             return empty
         token, before, _ = tokens([t or b"" for t in docs.column("text").cast(pa.binary()).to_pylist()])
-        counts = counts.filter(pc.less(pc.bit_wise_and(counts.column("at"), 3), 2)) if counts.num_rows else counts
-        c_pair, c_token, c_context = (x[1] - x[2] for x in (_found(k, counts) for k in (_mix(before, token), token, before)))
+        c_pair, c_token, c_context = (x[1] - x[2] for x in (_found(k, counts, "train", "fold") for k in (_mix(before, token), token, before)))
         c_context = np.where(before == START, held.texts, c_context)
         b = _bucket(c_context)
         with np.errstate(divide="ignore"):
@@ -210,17 +209,17 @@ def _scores(mix: Mixture):
 
     def run(docs: pa.Table, counts: pa.Table) -> pa.Table:
         ids, role = docs.column("doc_id").to_pylist(), docs.column("role").to_numpy()
-        checks = counts.filter(pc.equal(pc.bit_wise_and(counts.column("at"), 3), 2))
-        if [(r["train"], r["fold"]) for r in checks.to_pylist()] != ([(len(ids), _check(ids))] if ids else []):
+        checks = counts.filter(pc.is_null(counts.column("key"))).column("train").to_pylist()
+        if checks != ([_check(ids)] if ids else []):
             raise RuntimeError("the input's partitions changed between two reads; write it to a table first")
-        counts = counts.filter(pc.less(pc.bit_wise_and(counts.column("at"), 3), 2))
+        counts = counts.filter(pc.is_valid(counts.column("key")))
         texts = [t or b"" for t in docs.column("text").cast(pa.binary()).to_pylist()]
         token, before, begin = tokens(texts)
         pair = _mix(before, token)
         training = np.repeat(role < 2, np.diff(begin))
 
         def count(key: np.ndarray, own: np.ndarray) -> np.ndarray:
-            hit, corpus, _ = _found(key, counts)
+            hit, corpus = _found(key, counts, "train")
             local, n = textops.unique_counts(own)
             if not len(local):
                 return corpus
@@ -263,23 +262,27 @@ def score(docs: DataFrame, train: Column, held_out: Column, id_col: str = "doc_i
     )
     local = rows.mapInArrow(_local_counts, _COUNTS)
     counts = materialize(
-        local.repartition(shuffle_partitions(docs.sparkSession), "key").mapInArrow(_corpus_counts, _COUNTS + ", asked boolean"), "ngram-counts"
+        local.repartition(shuffle_partitions(docs.sparkSession), "key").mapInArrow(_corpus_counts, _COUNTS + ", asked boolean"),
+        "ngram-counts", **{"parquet.writer.version": "PARQUET_2_0", "compression": "zstd"},
     )
     totals = {r["at"]: (r["train"], r["fold"]) for r in counts.filter("at < 0").groupBy("at").agg(F.sum("train").alias("train"), F.sum("fold").alias("fold")).collect()}
     of = lambda name, i: int(totals.get(name, (0, 0))[i])
     mix = Mixture(of(_TOKENS, 0), of(_VOCABULARY, 0), of(_TEXTS, 0), np.zeros((BUCKETS, 3)))
     held = Mixture(mix.tokens - of(_TOKENS, 1), of(_VOCABULARY, 1), mix.texts - of(_TEXTS, 1), mix.weights)
-    routed = counts.filter("at >= 0").withColumn("block", F.shiftright("at", 2).cast("int"))
-    binned = (
-        rows.filter("role = 0").groupBy("block").cogroup(routed.filter("asked and at % 4 < 2").groupBy("block"))
-        .applyInArrow(_held_out(mix, held), "bucket long, p2 long, p1 long, n long")
-        .groupBy("bucket", "p2", "p1").agg(F.sum("n").alias("n")).orderBy("bucket", "p2", "p1").collect()  # bounded by the bins
-    )
+    block = F.shiftright("at", 2).cast("int").alias("block")
+    binned = materialize(
+        rows.filter("role = 0").groupBy("block").cogroup(
+            counts.filter("asked and at >= 0 and at % 4 < 2").select(block, "key", "train", "fold").groupBy("block")
+        ).applyInArrow(_held_out(mix, held), "bucket long, p2 long, p1 long, n long").groupBy("bucket", "p2", "p1").agg(F.sum("n").alias("n")),
+        "held-out",
+    ).orderBy("bucket", "p2", "p1").collect()  # bounded by the bins
     stats = np.array([tuple(r) for r in binned], np.float64).reshape(-1, 4)
     value = lambda x: np.where(x > 0, 0.0, 10.0 ** ((x + 0.5) * _BIN))  # noqa: E731  bin 1: no count
     parts = np.stack([value(stats[:, 1]), value(stats[:, 2]), np.full(len(stats), 1 / (held.vocabulary + 1))], 1)
     mix.weights = learn_weights(stats[:, 0].astype(np.int64), parts, stats[:, 3])
-    scored = rows.groupBy("block").cogroup(routed.select("key", "at", "train", "fold", "block").groupBy("block")).applyInArrow(
+    # a block's check has no key
+    routed = counts.filter("at >= 0").select(block, F.when(F.col("at") % 4 < 2, F.col("key")).alias("key"), "train")
+    scored = rows.groupBy("block").cogroup(routed.groupBy("block")).applyInArrow(
         _scores(mix), "doc_id long, n_tokens long, n_known long, base_score double, score double"
     )
     return scored.withColumn("train_tokens", F.lit(mix.tokens).cast("long"))
