@@ -172,33 +172,43 @@ def learn_weights(bucket: np.ndarray, parts: np.ndarray, n: np.ndarray) -> np.nd
     return weights
 
 
-def _found(key: np.ndarray, table: pa.Table, *columns: str) -> tuple[np.ndarray, ...]:
-    """Whether the corpus counts have each key, and its counts (0 if not)."""
-    has = table.column("key").to_numpy().view(np.uint64)
-    if not len(has):
-        return np.zeros(len(key), bool), *(np.zeros(len(key), np.int64) for _ in columns)
-    order = np.argsort(has)
-    has = has[order]
-    at = np.minimum(np.searchsorted(has, key), len(has) - 1)
-    hit = has[at] == key
-    return hit, *(np.where(hit, table.column(c).to_numpy()[order][at], 0) for c in columns)
-
-
-def _held_out(mix: Mixture, held: Mixture):
+class _Counts:
+    """Lookup of corpus counts by key."""
+
+    def __init__(self, table: pa.Table, *columns: str) -> None:
+        key = table.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(key)
+        self.key = key[order]
+        self.columns = [table.column(c).to_numpy()[order] for c in columns]
+
+    def __call__(self, key: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Whether each key is there, and its counts (0 if not)."""
+        if not len(self.key):
+            return np.zeros(len(key), bool), *(np.zeros(len(key), np.int64) for _ in self.columns)
+        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        hit = self.key[at] == key
+        return hit, *(np.where(hit, c[at], 0) for c in self.columns)
+
+
+def _chunked(docs: pa.Table) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    for batch in docs.to_batches():
+        yield from textops.chunks(batch)
+
+
+def _held_out(held: Mixture):
     """Held-out tokens of a block by bucket and binned estimates, the held-out counts deleted."""
 
     def run(docs: pa.Table, counts: pa.Table) -> pa.Table:
-        empty = pa.table({c: pa.array([], pa.int64()) for c in ("bucket", "p2", "p1", "n")})
-        if not docs.num_rows:
-            return empty
-        token, before, _ = tokens([t or b"" for t in docs.column("text").cast(pa.binary()).to_pylist()])
-        c_pair, c_token, c_context = (x[1] - x[2] for x in (_found(k, counts, "train", "fold") for k in (_mix(before, token), token, before)))
-        c_context = np.where(before == START, held.texts, c_context)
-        b = _bucket(c_context)
-        with np.errstate(divide="ignore"):
-            p2 = np.where(c_pair > 0, np.floor(np.log10(c_pair / np.maximum(c_context, 1)) / _BIN), 1)
-            p1 = np.where(c_token > 0, np.floor(np.log10(c_token / max(1, held.tokens)) / _BIN), 1)
-        packed, n = textops.unique_counts((b << 40) | ((p2.astype(np.int64) + 2048) << 20) | (p1.astype(np.int64) + 2048))
+        lookup, out = _Counts(counts, "train", "fold"), [np.zeros(0, np.int64)]
+        for _, texts in _chunked(docs):
+            token, before, _ = tokens(texts)
+            c_pair, c_token, c_context = (x[1] - x[2] for x in map(lookup, (_mix(before, token), token, before)))
+            c_context = np.where(before == START, held.texts, c_context)
+            with np.errstate(divide="ignore"):
+                p2 = np.where(c_pair > 0, np.floor(np.log10(c_pair / np.maximum(c_context, 1)) / _BIN), 1)
+                p1 = np.where(c_token > 0, np.floor(np.log10(c_token / max(1, held.tokens)) / _BIN), 1)
+            out.append((_bucket(c_context) << 40) | ((p2.astype(np.int64) + 2048) << 20) | (p1.astype(np.int64) + 2048))
+        packed, n = textops.unique_counts(np.concatenate(out))
         return pa.table({"bucket": packed >> 40, "p2": ((packed >> 20) & 0xFFFFF) - 2048, "p1": (packed & 0xFFFFF) - 2048, "n": n.astype(np.int64)})
 
     return run
@@ -208,40 +218,50 @@ def _scores(mix: Mixture):
     """Scores of a block's texts from the corpus counts, its own where it alone has an n-gram."""
 
     def run(docs: pa.Table, counts: pa.Table) -> pa.Table:
-        ids, role = docs.column("doc_id").to_pylist(), docs.column("role").to_numpy()
+        ids = docs.column("doc_id").to_pylist()
         checks = counts.filter(pc.is_null(counts.column("key"))).column("train").to_pylist()
         if checks != ([_check(ids)] if ids else []):
             raise RuntimeError("the input's partitions changed between two reads; write it to a table first")
-        counts = counts.filter(pc.is_valid(counts.column("key")))
-        texts = [t or b"" for t in docs.column("text").cast(pa.binary()).to_pylist()]
-        token, before, begin = tokens(texts)
-        pair = _mix(before, token)
-        training = np.repeat(role < 2, np.diff(begin))
-
-        def count(key: np.ndarray, own: np.ndarray) -> np.ndarray:
-            hit, corpus = _found(key, counts, "train")
-            local, n = textops.unique_counts(own)
-            if not len(local):
-                return corpus
-            at = np.minimum(np.searchsorted(local, key), len(local) - 1)
-            return np.where(hit, corpus, np.where(local[at] == key, n[at], 0))
-
-        c_pair, c_token = count(pair, pair[training]), count(token, token[training])
-        c_context = np.empty_like(c_token)
-        c_context[1:] = c_token[:-1]
-        c_context[begin[:-1]] = mix.texts
-        w = mix.weights[_bucket(c_context)]
-        p = w[:, 0] * c_pair / np.maximum(c_context, 1) + w[:, 1] * c_token / max(1, mix.tokens) + w[:, 2] / (mix.vocabulary + 1)
-        base = np.log10((c_token + 0.1) / (mix.tokens + 0.1 * (mix.vocabulary + 1)))
-        per_text = lambda x: np.add.reduceat(x, begin[:-1])  # noqa: E731  every text has a token
-        return pa.table({
-            "doc_id": docs.column("doc_id"), "n_tokens": np.diff(begin), "n_known": per_text((c_token > 0).astype(np.int64)),
-            "base_score": per_text(base), "score": per_text(np.log10(p)),
-        })
+        corpus = _Counts(counts.filter(pc.is_valid(counts.column("key"))), "train")
+        own: list[list[np.ndarray]] = [[np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]]
+        for part, texts in _chunked(docs):
+            token, before, begin = tokens(texts)
+            training = np.repeat(part.column(2).to_numpy(zero_copy_only=False) < 2, np.diff(begin))
+            own[0].append(_mix(before, token)[training])
+            own[1].append(token[training])
+        local = [textops.unique_counts(np.concatenate(x)) for x in own]
+        del own
+
+        def count(key: np.ndarray, kind: int) -> np.ndarray:
+            hit, total = corpus(key)
+            known, n = local[kind]
+            if not len(known):
+                return total
+            at = np.minimum(np.searchsorted(known, key), len(known) - 1)
+            return np.where(hit, total, np.where(known[at] == key, n[at], 0))
+
+        found = []
+        for part, texts in _chunked(docs):
+            token, before, begin = tokens(texts)
+            c_pair, c_token = count(_mix(before, token), 0), count(token, 1)
+            c_context = np.empty_like(c_token)
+            c_context[1:] = c_token[:-1]
+            c_context[begin[:-1]] = mix.texts
+            w = mix.weights[_bucket(c_context)]
+            p = w[:, 0] * c_pair / np.maximum(c_context, 1) + w[:, 1] * c_token / max(1, mix.tokens) + w[:, 2] / (mix.vocabulary + 1)
+            base = np.log10((c_token + 0.1) / (mix.tokens + 0.1 * (mix.vocabulary + 1)))
+            # every text has a token
+            sums = [np.add.reduceat(x, begin[:-1]) for x in ((c_token > 0).astype(np.int64), base, np.log10(p))]
+            found.append(pa.table([part.column(0), pa.array(np.diff(begin)), *map(pa.array, sums)], _SCORED))
+        return pa.concat_tables(found) if found else pa.table([pa.array([], t) for t in _SCORED_TYPES], _SCORED)
 
     return run
 
 
+_SCORED = ["doc_id", "n_tokens", "n_known", "base_score", "score"]
+_SCORED_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+
+
 def score(docs: DataFrame, train: Column, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs``.
 
@@ -273,7 +293,7 @@ def score(docs: DataFrame, train: Column, held_out: Column, id_col: str = "doc_i
     binned = materialize(
         rows.filter("role = 0").groupBy("block").cogroup(
             counts.filter("asked and at >= 0 and at % 4 < 2").select(block, "key", "train", "fold").groupBy("block")
-        ).applyInArrow(_held_out(mix, held), "bucket long, p2 long, p1 long, n long").groupBy("bucket", "p2", "p1").agg(F.sum("n").alias("n")),
+        ).applyInArrow(_held_out(held), "bucket long, p2 long, p1 long, n long").groupBy("bucket", "p2", "p1").agg(F.sum("n").alias("n")),
         "held-out",
     ).orderBy("bucket", "p2", "p1").collect()  # bounded by the bins
     stats = np.array([tuple(r) for r in binned], np.float64).reshape(-1, 4)
