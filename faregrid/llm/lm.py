@@ -20,7 +20,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -175,17 +174,19 @@ def learn_weights(bucket: np.ndarray, parts: np.ndarray, n: np.ndarray) -> np.nd
 class _Counts:
     """Lookup of corpus counts by key."""
 
-    def __init__(self, table: pa.Table, *columns: str) -> None:
-        key = table.column("key").to_numpy().view(np.uint64)
+    def __init__(self, key: np.ndarray, *columns: np.ndarray) -> None:
+        key = key.view(np.uint64)
         order = np.argsort(key)
         self.key = key[order]
-        self.columns = [table.column(c).to_numpy()[order] for c in columns]
+        self.columns = [c[order] for c in columns]
 
     def __call__(self, key: np.ndarray) -> tuple[np.ndarray, ...]:
         """Whether each key is there, and its counts (0 if not)."""
         if not len(self.key):
             return np.zeros(len(key), bool), *(np.zeros(len(key), np.int64) for _ in self.columns)
-        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        order = np.argsort(key)  # in order, the search walks through memory instead of jumping
+        at = np.empty(len(key), np.int64)
+        at[order] = np.minimum(np.searchsorted(self.key, key[order]), len(self.key) - 1)
         hit = self.key[at] == key
         return hit, *(np.where(hit, c[at], 0) for c in self.columns)
 
@@ -199,7 +200,7 @@ def _held_out(held: Mixture):
     """Held-out tokens of a block by bucket and binned estimates, the held-out counts deleted."""
 
     def run(docs: pa.Table, counts: pa.Table) -> pa.Table:
-        lookup, out = _Counts(counts, "train", "fold"), [np.zeros(0, np.int64)]
+        lookup, out = _Counts(*(counts.column(c).to_numpy() for c in ("key", "train", "fold"))), [np.zeros(0, np.int64)]
         for _, texts in _chunked(docs):
             token, before, _ = tokens(texts)
             c_pair, c_token, c_context = (x[1] - x[2] for x in map(lookup, (_mix(before, token), token, before)))
@@ -218,27 +219,27 @@ def _scores(mix: Mixture):
     """Scores of a block's texts from the corpus counts, its own where it alone has an n-gram."""
 
     def run(docs: pa.Table, counts: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         ids = docs.column("doc_id").to_pylist()
-        checks = counts.filter(pc.is_null(counts.column("key"))).column("train").to_pylist()
-        if checks != ([_check(ids)] if ids else []):
+        key, train = (counts.column(c).to_numpy() for c in ("key", "train"))
+        if train[train < 0].tolist() != ([-1 - _check(ids)] if ids else []):
             raise RuntimeError("the input's partitions changed between two reads; write it to a table first")
-        corpus = _Counts(counts.filter(pc.is_valid(counts.column("key"))), "train")
+        corpus = _Counts(key[train >= 0], train[train >= 0])
+        del key, train
         own: list[list[np.ndarray]] = [[np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]]
         for part, texts in _chunked(docs):
             token, before, begin = tokens(texts)
             training = np.repeat(part.column(2).to_numpy(zero_copy_only=False) < 2, np.diff(begin))
-            own[0].append(_mix(before, token)[training])
-            own[1].append(token[training])
-        local = [textops.unique_counts(np.concatenate(x)) for x in own]
+            for kind, keys in enumerate((_mix(before, token)[training], token[training])):
+                own[kind].append(keys[~corpus(keys)[0]])
+        local = [_Counts(*textops.unique_counts(np.concatenate(x))) for x in own]
         del own
 
         def count(key: np.ndarray, kind: int) -> np.ndarray:
             hit, total = corpus(key)
-            known, n = local[kind]
-            if not len(known):
-                return total
-            at = np.minimum(np.searchsorted(known, key), len(known) - 1)
-            return np.where(hit, total, np.where(known[at] == key, n[at], 0))
+            rest = np.flatnonzero(~hit)
+            total[rest] = local[kind](key[rest])[1]
+            return total
 
         found = []
         for part, texts in _chunked(docs):
@@ -300,8 +301,8 @@ def score(docs: DataFrame, train: Column, held_out: Column, id_col: str = "doc_i
     value = lambda x: np.where(x > 0, 0.0, 10.0 ** ((x + 0.5) * _BIN))  # noqa: E731  bin 1: no count
     parts = np.stack([value(stats[:, 1]), value(stats[:, 2]), np.full(len(stats), 1 / (held.vocabulary + 1))], 1)
     mix.weights = learn_weights(stats[:, 0].astype(np.int64), parts, stats[:, 3])
-    # a block's check has no key
-    routed = counts.filter("at >= 0").select(block, F.when(F.col("at") % 4 < 2, F.col("key")).alias("key"), "train")
+    # a block's check is negative
+    routed = counts.filter("at >= 0").select(block, "key", F.when(F.col("at") % 4 < 2, F.col("train")).otherwise(-1 - F.col("train")).alias("train"))
     scored = rows.groupBy("block").cogroup(routed.groupBy("block")).applyInArrow(
         _scores(mix), "doc_id long, n_tokens long, n_known long, base_score double, score double"
     )
