@@ -84,7 +84,7 @@ def _text_evidence(table: np.ndarray):
             for part, texts in textops.chunks(batch):
                 code, text = _grams(texts)
                 n = np.bincount(text, minlength=len(texts))
-                sums = np.stack([np.bincount(text, row[code], len(texts)) for row in table], 1)
+                sums = np.stack([np.bincount(text, row[code], len(texts)) for row in table], 1).astype(float)
                 sums *= (np.minimum(n, ENOUGH) / np.maximum(n, 1) / 3)[:, None]  # each letter is in three trigrams
                 sums -= sums.max(1, keepdims=True)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(list(sums), pa.list_(pa.float64()))], [*part.schema.names[:-1], "evidence"])

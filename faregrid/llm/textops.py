@@ -12,9 +12,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -30,15 +31,16 @@ _P5 = np.uint64(2870177450012600261)
 
 def chunks(batch: pa.RecordBatch, text: str = "text", limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of a batch with at most ``limit`` bytes of text (or one row); null texts are empty."""
-    texts = [t or b"" for t in batch.column(batch.schema.get_field_index(text)).cast(pa.binary()).to_pylist()]
-    start, size = 0, 0
-    for i, t in enumerate(texts):
-        if i > start and size + len(t) > limit:
-            yield batch.slice(start, i - start), texts[start:i]
-            start, size = i, 0
-        size += len(t)
-    if texts:
-        yield batch.slice(start), texts[start:]
+    column = batch.column(batch.schema.get_field_index(text)).cast(pa.binary())
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(ends):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield batch.slice(start, stop - start), [t or b"" for t in column.slice(start, stop - start).to_pylist()]
+        start = stop
+    del column
+    pa.default_memory_pool().release_unused()
 
 
 @dataclass
