@@ -37,8 +37,8 @@ CAPACITY = 4096
 END_ID = 1
 GROUPS = 48
 SMALL = 8  # lengths of at most capacity / SMALL are small
-_CACHE_WORDS = 300_000
-_CHUNK_BYTES = 8 << 20
+_CACHE_WORDS = 100_000
+_CHUNK_BYTES = 2 << 20
 _TAIL = re.compile(r"[.,]$")
 
 
