@@ -63,7 +63,7 @@ def main(argv: list[str] | None = None) -> int:
     rep.add_argument("--lake", required=True)
     rep.add_argument("--boroughs")
     rep.add_argument("--borough")
-    rep.add_argument("--rows", type=int, default=50)
+    rep.add_argument("--rows", type=int, help="show only so many rows (default: the whole report)")
 
     a = p.parse_args(argv)
     spark = _session()
@@ -83,7 +83,10 @@ def main(argv: list[str] | None = None) -> int:
             df = jobs.report_peak_hours(spark, layout, a.borough)
         else:
             df = jobs.report_fare_by_distance(spark, layout)
-        df.show(a.rows, truncate=False)
+        total = df.count()
+        df.show(total if a.rows is None else a.rows, truncate=False)
+        if a.rows is not None and a.rows < total:
+            print(f"the first {a.rows} of {total} rows")
         return 0
 
     months = sorted(set(_months(a.year, a.months)))

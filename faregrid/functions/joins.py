@@ -51,3 +51,11 @@ def checked_broadcast(
         return F.broadcast(dim)
     log.warning("dimension on %s has %d rows (> %d): not broadcast", key, n, max_rows)
     return dim
+
+
+def attach_roles(trips: DataFrame, lookup: DataFrame, key: str, roles: dict[str, dict[str, str]]) -> DataFrame:
+    """Left-join one lookup once per role: ``roles`` maps a foreign key of the trips to the columns it brings, renamed."""
+    for foreign, columns in roles.items():
+        side = lookup.select(F.col(key).alias(foreign), *[F.col(c).alias(name) for c, name in columns.items()])
+        trips = trips.join(side, foreign, "left")
+    return trips

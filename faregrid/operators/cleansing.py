@@ -11,9 +11,11 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from faregrid.functions.columns import any_null, in_months, tolerant_double, tolerant_int, trip_duration_minutes
 from faregrid.schemas import (
@@ -24,6 +26,7 @@ from faregrid.schemas import (
     FARE_MIN,
     INT_CAST_COLUMNS,
     PASSENGER_MAX,
+    RAW_TRIP_SCHEMA,
     REQUIRED_COLUMNS,
 )
 
@@ -81,6 +84,27 @@ def quarantine(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> Spl
     return Split(df.filter(~flag), df.filter(flag))
 
 
+REASON = "quarantine_reason"
+
+
+def _unusable(df: DataFrame, column: str) -> Column:
+    """Whether a required column has no value after the tolerant cast. Where the cast
+    cannot fail this is a plain NULL test, which reaches the Parquet reader."""
+    kind = df.schema[column].dataType
+    if column in INT_CAST_COLUMNS and not isinstance(kind, (T.IntegerType, T.ShortType, T.ByteType)):
+        return tolerant_int(column).isNull()
+    if column in DOUBLE_CAST_COLUMNS and not isinstance(kind, T.NumericType):
+        return tolerant_double(column).isNull()
+    return F.col(column).isNull()
+
+
+def rejected(raw: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
+    """The quarantined rows as they arrived, with the names of the columns that failed."""
+    tests = {c: _unusable(raw, c) for c in required}
+    reason = F.concat_ws(", ", *[F.when(t, F.lit(c)) for c, t in tests.items()])
+    return raw.filter(reduce(lambda a, b: a | b, tests.values())).withColumn(REASON, reason)
+
+
 def period_predicate(
     df: DataFrame,
     months: Iterable[tuple[int, int]],
@@ -196,12 +220,20 @@ def cleanse(
     ``COPIES`` (input rows per key), dropped right after.
     """
     raw = tap("raw", raw)
+    missing = missing_required(raw)
+    if missing:  # the gate comes before the casts: nothing is clean, everything is kept as it arrived
+        log.warning("required columns missing, whole input quarantined: %s", ", ".join(missing))
+        nothing = cast_columns(raw.sparkSession.createDataFrame([], RAW_TRIP_SCHEMA))
+        deduped = dedup(nothing, copies=COPIES if count_copies else None)
+        clean = derive(business_rules(tap("deduplicated", deduped).drop(COPIES)))
+        bad = raw.withColumn(REASON, F.lit(", ".join(missing)))
+        return Cleansed(tap("clean", clean), tap("quarantined", bad), nothing, nothing, nothing, missing)
     casted = cast_columns(raw)
     split = quarantine(casted)
-    in_period = period_filter(split.good, months, bound) if not split.missing else split.good
+    in_period = period_filter(split.good, months, bound)
     in_period = tap("in_period", in_period.drop(*[c for c in SOURCE_PARTITION if c in in_period.columns]))
     deduped = tap("deduplicated", dedup(in_period, copies=COPIES if count_copies else None))
     if count_copies:
         deduped = deduped.drop(COPIES)
     clean = tap("clean", derive(business_rules(deduped)))
-    return Cleansed(clean, tap("quarantined", split.bad), casted, in_period, deduped, split.missing)
+    return Cleansed(clean, tap("quarantined", rejected(raw)), casted, in_period, deduped)

@@ -164,6 +164,11 @@ def q_period_filter(spark, sf):
     return Fixture(spark, sf).cleansed.in_period
 
 
+def q_period_filter_month(spark, sf):
+    """One month of the usable raw trips: a period that cuts."""
+    return cleansing.period_filter(q_quarantine_good(spark, sf), [(1997, 3)])
+
+
 def q_period_filter_ref(spark, sf):
     good = q_quarantine_good(spark, sf)
     return cleansing.period_filter(good, FIXTURE_MONTHS, bound="reference")
@@ -295,7 +300,9 @@ def q_stage_counts(spark, sf):
         bad=any_null(REQUIRED_COLUMNS),
         in_period=in_months("tpep_pickup_datetime", fx.months, ts_type=ts_type),
         dedup_keys=list(DEDUP_KEYS),
+        clean=fx.cleansed.clean,
         enriched=fx.enriched,
+        fact=fx.fact,
     )
 
 

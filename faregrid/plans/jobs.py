@@ -10,8 +10,8 @@ counts are read back from the written partitions (row-group metadata only).
 
 from __future__ import annotations
 
-import datetime as dt
 import logging
+import time
 import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
@@ -99,21 +99,20 @@ def cleanse(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRec
             elif stage == "clean":  # latest pickup rides along for the freshness lag
                 obs[stage] = Observation(stage)
                 df = df.observe(obs[stage], F.count(F.lit(1)).alias("rows"),
-                                F.max("tpep_pickup_datetime").alias("last_pickup"))
+                                F.max(F.unix_timestamp("tpep_pickup_datetime")).alias("last_pickup"))
             return df
 
         c = cleansing.cleanse(raw, months, bound, tap, count_copies=True)
-        lake.write_partitioned(c.clean, layout.silver_trips, ["year", "month"])
-        # shuffle-free: one scan of the run's months, bad rows written as they arrived
-        lake.write_partitioned(c.quarantined, layout.quarantine, ["year", "month"])
+        lake.replace_months(c.clean, layout.silver_trips, months)
+        # bad rows as they arrived, with the reason
+        lake.replace_months(c.quarantined, layout.quarantine, months)
 
         remaining = obs["deduplicated"].get["rows"]
         rec.record("dedup_removed", (obs["deduplicated"].get["in_period"] or 0) - remaining)
         rec.record("dedup_remaining", remaining)
         last = obs["clean"].get["last_pickup"]
         if last is not None:
-            now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) if last.tzinfo is None else dt.datetime.now(last.tzinfo)
-            rec.record(S.METRIC_FRESHNESS_LAG, (now - last).total_seconds(), table="silver_trips")
+            rec.record(S.METRIC_FRESHNESS_LAG, time.time() - last, table="silver_trips")
         counts = partition_counts(
             spark, {"raw": raw, "clean": layout.silver_trips, "bad": layout.quarantine}, months
         )
@@ -132,7 +131,7 @@ def enrich_months(spark: SparkSession, layout: Layout, months: Months, rec: Metr
         trips = spark.read.parquet(layout.silver_trips).filter(lake.months_filter(months))
         enriched = enrich.join_zones(trips, lake.read_zones(spark, layout))
         enriched, obs = observed(enriched, "enriched")
-        lake.write_partitioned(enriched, layout.enriched, ["year", "month"])
+        lake.replace_months(enriched, layout.enriched, months)
         rec.record(S.METRIC_JOIN_OUT, obs.get["rows"])
 
 
@@ -170,7 +169,9 @@ def aggregate_months(spark: SparkSession, layout: Layout, months: Months, rec: M
         def year_months(ys):
             return [(y, m) for y in ys for m in range(1, 13) if (y, m) not in months]
 
-        hourly = aggregate.hourly_stats(trips).withColumns(part)
+        checkpoint_dir(spark)
+        parts = aggregate.partials(trips).checkpoint(eager=True)  # dates x hours x boroughs: the only pass over the trips
+        hourly = aggregate.finish(parts, aggregate.SLOT, S.HOURLY_MEASURES).withColumns(part)
         kept_h = _stored_rows(spark, layout.hourly_stats, year_months(run_years), hourly.columns)
         if kept_h is not None:
             hourly = hourly.unionByName(kept_h)
@@ -180,7 +181,7 @@ def aggregate_months(spark: SparkSession, layout: Layout, months: Months, rec: M
         hourly, h_obs = observed(hourly.sortWithinPartitions("year", "pickup_date"), "hourly")
         lake.write_partitioned(hourly, layout.hourly_stats, ["year"])
 
-        daily = aggregate.daily_stats(trips).withColumns(part)
+        daily = aggregate.finish(parts, aggregate.DAY, S.DAILY_MEASURES).withColumns(part)
         rewrite = sorted(set(run_years) | {y + 1 for y, m in months if m == 12})
         lead_in = [(y - 1, 12) for y in rewrite if y - 1 not in rewrite]  # each gap's previous December
         kept_d = _stored_rows(spark, layout.daily_stats, year_months(rewrite) + lead_in, daily.columns)
@@ -217,7 +218,7 @@ def build_fact(spark: SparkSession, layout: Layout, months: Months, rec: Metrics
         dates = read_dim_date(spark, layout).filter(F.col("year").isin(years))  # one partition per year
         fact = model.fact_trips(enriched, spark.read.parquet(layout.dim_location), dates, model.calendar_rows(len(years)))
         fact, obs = observed(fact, "fact")
-        lake.write_partitioned(fact, layout.fact_trips, ["year", "month"])
+        lake.replace_months(fact, layout.fact_trips, months)
         rec.record(S.METRIC_FACT_ROWS, obs.get["rows"])
 
 

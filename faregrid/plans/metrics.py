@@ -101,14 +101,17 @@ def stage_counts(
     bad: Column,
     in_period: Column,
     dedup_keys: list[str],
+    clean: DataFrame,
     enriched: DataFrame,
+    fact: DataFrame,
 ) -> DataFrame:
-    """Rows per pipeline stage in two passes instead of one job per stage.
+    """Rows per pipeline stage, each frame counted for itself.
 
     Pass 1 over the cast raw rows: raw, quarantined, in period, and the rows
-    left by deduplication (= distinct keys among in-period rows). Pass 2 over
-    the enriched trips: clean = enriched = fact (left joins on unique keys keep
-    the count), hourly and daily rows (= distinct group keys). Distinct counts
+    left by deduplication (= distinct keys among in-period rows). Clean and fact
+    rows are counted where they are made, so a join that multiplies or loses rows
+    shows; the pass over the enriched trips also gives hourly and daily rows (=
+    distinct group keys). Distinct counts
     are two-level aggregates, so hot keys combine map-side.
     """
     first = casted.agg(
@@ -118,15 +121,16 @@ def stage_counts(
         F.count_distinct(F.when(~bad & in_period, F.struct(*dedup_keys))).alias("deduplicated"),
     )
     second = enriched.agg(
-        F.count(F.lit(1)).alias("clean"),
+        F.count(F.lit(1)).alias("enriched"),
         F.count_distinct(F.struct("pickup_date", "pickup_hour", "pickup_borough")).alias("hourly_stats"),
         F.count_distinct(F.struct("pickup_date", "pickup_borough")).alias("daily_stats"),
     )
     return _as_rows(first, [(1, "raw", "raw"), (2, "quarantined", "quarantined"), (3, "in_period", "in_period"),
                             (4, "deduplicated", "deduplicated")]).unionByName(
-        _as_rows(second, [(5, "clean", "clean"), (6, "enriched", "clean"), (7, "hourly_stats", "hourly_stats"),
-                          (8, "daily_stats", "daily_stats"), (9, "fact_trips", "clean")])
-    )
+        _as_rows(clean.agg(F.count(F.lit(1)).alias("n")), [(5, "clean", "n")])
+    ).unionByName(
+        _as_rows(second, [(6, "enriched", "enriched"), (7, "hourly_stats", "hourly_stats"), (8, "daily_stats", "daily_stats")])
+    ).unionByName(_as_rows(fact.agg(F.count(F.lit(1)).alias("n")), [(9, "fact_trips", "n")]))
 
 
 def drop_rate(raw: DataFrame, clean: DataFrame, ts_col: str = "tpep_pickup_datetime") -> DataFrame:

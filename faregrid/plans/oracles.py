@@ -446,6 +446,10 @@ ORACLES: dict[str, str] = {
     "q_quarantine_good": with_(["good"], "SELECT * FROM good"),
     "q_quarantine_bad": with_(["bad"], "SELECT * FROM bad"),
     "q_period_filter": with_(["in_period"], "SELECT * FROM in_period"),
+    "q_period_filter_month": with_(
+        ["good"],
+        "SELECT * FROM good WHERE tpep_pickup_datetime >= TIMESTAMP '1997-03-01 00:00:00' AND tpep_pickup_datetime < TIMESTAMP '1997-04-01 00:00:00'",
+    ),
     "q_period_filter_ref": with_(
         ["good"],
         "SELECT * FROM good WHERE tpep_pickup_datetime >= date_trunc('month', tpep_pickup_datetime) "

@@ -105,7 +105,26 @@ ZONE_SCHEMA = T.StructType(
 
 ZONE_RENAMES = {"LocationID": "location_id", "Borough": "borough", "Zone": "zone"}
 
-DERIVED_COLUMNS = ("pickup_date", "pickup_hour", "trip_duration_minutes", "year", "month")
+# Roles of the zone lookup: foreign key -> {lookup column: column on the trip}.
+ZONE_ROLES = {
+    "PULocationID": {"borough": "pickup_borough", "zone": "pickup_zone", "service_zone": "pickup_service_zone"},
+    "DOLocationID": {"borough": "dropoff_borough", "zone": "dropoff_zone"},
+}
+LOCATION_ROLES = {
+    "PULocationID": {"location_sk": "pickup_location_sk"},
+    "DOLocationID": {"location_sk": "dropoff_location_sk"},
+}
+
+# Measures of the trip aggregates: output name -> (function, trip column; None counts trips).
+HOURLY_MEASURES = {
+    "trip_count": ("count", None),
+    "total_fare": ("sum", "fare_amount"),
+    "avg_fare": ("mean", "fare_amount"),
+    "avg_distance": ("mean", "trip_distance"),
+    "avg_duration_minutes": ("mean", "trip_duration_minutes"),
+    "total_tips": ("sum", "tip_amount"),
+}
+DAILY_MEASURES = {"trip_count": ("count", None), "revenue": ("sum", "total_amount"), "avg_distance": ("mean", "trip_distance")}
 
 FACT_COLUMNS = (
     "trip_id",

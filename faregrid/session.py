@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -34,8 +35,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("FAREGRID_DRIVER_MEMORY", "16g"))
     )
-    # Tests and the bench only: a fresh scratch folder per run, never reused.
-    builder = builder.config(CHECKPOINT_CONF, tempfile.mkdtemp(prefix="faregrid-ckpt-"))
+    if not SparkConf().get(CHECKPOINT_CONF, None):
+        # tests and the bench: a fresh scratch folder per run, never reused
+        builder = builder.config(CHECKPOINT_CONF, tempfile.mkdtemp(prefix="faregrid-ckpt-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -63,6 +65,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     in ``spark.checkpoint.dir`` and it is used as is.
     """
     sc = spark.sparkContext
-    if not (sc.getCheckpointDir() or sc.getConf().get(CHECKPOINT_CONF, None)):
+    local = sc.master == "local" or sc.master.startswith("local[")
+    if local and not (sc.getCheckpointDir() or sc.getConf().get(CHECKPOINT_CONF, None)):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="faregrid-ckpt-"))
     return checkpoint_dir(spark)

@@ -16,8 +16,8 @@ shared folder, never a machine-local one)::
     quality/results/year=Y/month=M/            one row per check and month
     metrics/                                   metric records (JSON lines)
 
-Every write is a partition-level overwrite (``partitionOverwriteMode=dynamic``),
-so re-running one month replaces that month and leaves the others alone.
+Trip-level tables are replaced month by month (``replace_months``): re-running a
+month replaces all of it, also where it has become empty, and leaves the others alone.
 """
 
 from __future__ import annotations
@@ -27,12 +27,13 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pyspark.errors import AnalysisException
 
-from faregrid.schemas import ZONE_RENAMES, ZONE_SCHEMA
+from faregrid.schemas import RAW_TRIP_SCHEMA, ZONE_RENAMES, ZONE_SCHEMA
 
 
 @dataclass(frozen=True)
@@ -108,44 +109,47 @@ def months_filter(months: Iterable[tuple[int, int]], year_col: str = "year", mon
     return reduce(lambda a, b: a | b, preds) if preds else F.lit(False)
 
 
-def _try_read(reader, path: str) -> DataFrame | None:
-    try:
-        return reader(path)
-    except AnalysisException as e:  # PATH_NOT_FOUND: nothing landed yet
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
+def _fs(spark: SparkSession, path: str):
+    """Hadoop file system and path object of a location."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    return _try_read(spark.read.parquet, path) is not None
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, jpath = _fs(spark, path)
+    return fs.exists(jpath)
+
+
+def _matches(spark: SparkSession, pattern: str) -> list[str]:
+    fs, jpath = _fs(spark, pattern)
+    return [str(s.getPath().toString()) for s in fs.globStatus(jpath) or []]
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    """The Parquet table at ``path``, or None if nothing was written there yet (one listing)."""
-    return _try_read(spark.read.parquet, path)
+    """The Parquet table at ``path``, or None if it has no data file yet."""
+    if not any(_matches(spark, f"{path}/{p}") for p in ("*.parquet", "*=*/*.parquet", "*=*/*=*")):
+        return None
+    return spark.read.parquet(path)
 
 
-_MONTH_DIR = re.compile(r"/year=(\d+)/month=(\d+)/")
+_MONTH_DIR = re.compile(r"/year=(\d+)/month=(\d+)(?:/|$)")
 
 
-def landed_months(spark: SparkSession, layout: Layout) -> set[tuple[int, int]]:
-    """(year, month) partitions already committed under raw/.
+def _months_of(paths: Iterable[str]) -> set[tuple[int, int]]:
+    return {(int(m[1]), int(m[2])) for m in map(_MONTH_DIR.search, paths) if m}
+
+
+def stored_months(spark: SparkSession, path: str) -> set[tuple[int, int]]:
+    """(year, month) partitions of a table, from its directories (no file is listed)."""
+    return _months_of(_matches(spark, f"{path}/year=*/month=*"))
 
-    Spark's file commit publishes a partition only when its job commits, so a
-    month whose landing failed half way is not listed and is landed again.
-    The answer comes from the file listing Spark makes when it plans the read
-    (``inputFiles``): no job runs and no file is opened.
-    """
-    landed = _try_read(spark.read.parquet, layout.raw_trips)
-    if landed is None:
-        return set()
-    found = set()
-    for path in landed.inputFiles():
-        m = _MONTH_DIR.search(path)
-        if m:
-            found.add((int(m.group(1)), int(m.group(2))))
-    return found
+
+LANDED = "_LANDED"  # names that start with an underscore are no data for Spark
+
+
+def landed_months(spark: SparkSession, layout: Layout) -> set[tuple[int, int]]:
+    """Raw months whose landing ended: each has a marker, written after its rows were published."""
+    return _months_of(_matches(spark, f"{layout.raw_trips}/year=*/month=*/{LANDED}"))
 
 
 def land_raw(
@@ -155,23 +159,32 @@ def land_raw(
     months: Sequence[tuple[int, int]],
     ts_col: str = "tpep_pickup_datetime",
 ) -> list[tuple[int, int]]:
-    """Land the requested months of a raw feed that are not there yet.
+    """Land the requested months of a raw feed that are not there yet; returns the months written.
 
-    ``source`` is the feed (all months); a row belongs to the month of its
-    pickup. Returns the months written. Months already landed are skipped,
-    as the original ingest skips objects that exist.
+    ``source`` holds several months. If it says which file month a row came in
+    (columns ``year`` and ``month``), that is its partition, whatever its pickup:
+    late rows land where they arrived. Otherwise a row belongs to the month of its
+    pickup, and rows without a pickup land with the first month, so that the
+    quarantine sees them. Months already landed are skipped.
     """
     todo = sorted(set(months) - landed_months(spark, layout))
     if not todo:
         return []
-    feed = source.withColumns({"year": F.year(ts_col), "month": F.month(ts_col)}).filter(months_filter(todo))
-    write_partitioned(feed, layout.raw_trips, ["year", "month"])
-    return todo
+    feed = source
+    if not {"year", "month"} <= set(source.columns):
+        feed = source.withColumns({
+            "year": F.coalesce(F.year(ts_col), F.lit(todo[0][0])), "month": F.coalesce(F.month(ts_col), F.lit(todo[0][1])),
+        })
+    written = sorted(replace_months(feed.filter(months_filter(todo)), layout.raw_trips, todo))
+    for y, m in written:
+        fs, marker = _fs(spark, f"{layout.raw_trips}/year={y}/month={m}/{LANDED}")
+        fs.create(marker, True).close()
+    return written
 
 
 def land_zones(spark: SparkSession, zones: DataFrame, layout: Layout) -> bool:
     """Write the zone lookup as CSV with header once; later calls keep it."""
-    if _try_read(spark.read.option("header", "true").csv, layout.raw_zones) is not None:
+    if path_exists(spark, f"{layout.raw_zones}/_SUCCESS"):
         return False
     zones.coalesce(1).write.mode("overwrite").option("header", "true").csv(layout.raw_zones)
     return True
@@ -188,8 +201,43 @@ def read_raw(
     columns of all files (monthly feeds that gained a column mid-year); it costs
     a footer read per file, so it is off unless asked for.
     """
-    reader = spark.read.option("mergeSchema", "true") if merge_schema else spark.read
-    return reader.parquet(layout.raw_trips).filter(months_filter(months))
+    wanted = sorted(set(months) & stored_months(spark, layout.raw_trips))
+    if not wanted:
+        return spark.createDataFrame([], _EMPTY_RAW)
+    dirs = [f"{layout.raw_trips}/year={y}/month={m}" for y, m in wanted]
+    reader = spark.read.option("basePath", layout.raw_trips)
+    try:  # one job reads the footers of the run's months
+        merged = reader.option("mergeSchema", "true").parquet(*dirs)
+    except AnalysisException as e:
+        if "MERGE" not in str(e):
+            raise
+    except Exception as e:  # the same fault, reported by the footer job
+        if "CANNOT_MERGE" not in str(e):
+            raise
+    else:
+        return (merged if merge_schema else reader.parquet(*dirs)).filter(months_filter(wanted))
+    return _drifted(reader, dirs)
+
+
+_EMPTY_RAW = T.StructType([*RAW_TRIP_SCHEMA.fields, T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())])
+
+
+def _drifted(reader, dirs: list[str]) -> DataFrame:
+    """Months whose physical types differ: each type group is read with its own schema,
+    so filters still reach its files, and columns that differ meet in the contract's
+    type (text, where one of them is text: the tolerant casts follow)."""
+    groups: dict[str, list[str]] = {}
+    for d in dirs:  # at most one footer per month of the run
+        groups.setdefault(reader.parquet(d).drop("year", "month").schema.json(), []).append(d)
+    frames = [reader.parquet(*g) for g in groups.values()]
+    kinds: dict[str, set[str]] = {}
+    for f in frames:
+        for field in f.schema:
+            kinds.setdefault(field.name, set()).add(field.dataType.simpleString())
+    contract = {f.name: f.dataType.simpleString() for f in RAW_TRIP_SCHEMA}
+    target = {c: "string" if "string" in k else contract.get(c, "string") for c, k in kinds.items() if len(k) > 1}
+    same = [f.withColumns({c: F.col(c).cast(t) for c, t in target.items() if c in f.columns and f.schema[c].dataType.simpleString() != t}) for f in frames]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), same)
 
 
 def read_zones(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -214,22 +262,27 @@ def clustered(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]
     return out.sortWithinPartitions(*partition_by, *sort_by) if sort_by else out
 
 
-def write_partitioned(
-    df: DataFrame,
-    path: str,
-    partition_by: Sequence[str],
-    cluster: bool = False,
-    sort_by: Sequence[str] = (),
-) -> None:
-    """Overwrite only the partitions present in ``df`` (dynamic partition overwrite).
+def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Overwrite only the partitions present in ``df`` (dynamic partition overwrite)."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
+def replace_months(df: DataFrame, path: str, months: Iterable[tuple[int, int]]) -> set[tuple[int, int]]:
+    """Replace the given months of a (year, month) partitioned table; returns those that got rows.
 
-    ``cluster`` / ``sort_by`` apply ``clustered`` first.
+    Rows are rebalanced by month before the write, so a month has a few files
+    however many tasks made its rows, and AQE splits a large one. A month of the run
+    that gets no row is removed once the write has succeeded: nothing of an earlier
+    run stays. Which months got rows is observed on the write itself.
     """
-    if cluster or sort_by:
-        df = clustered(df, partition_by, sort_by)
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    months = set(months)
+    seen = Observation()
+    bits = [
+        F.bit_or(F.when(F.col("year") == y, F.expr("shiftleft(1, month)")).otherwise(0)).alias(f"y{y}") for y in sorted({y for y, _ in months})
+    ]
+    write_partitioned(df.hint("rebalance", "year", "month").observe(seen, *bits), path, ["year", "month"])
+    got = {(y, m) for y, m in months if (seen.get[f"y{y}"] or 0) >> m & 1}
+    for y, m in sorted((months - got) & stored_months(df.sparkSession, path)):
+        fs, stale = _fs(df.sparkSession, f"{path}/year={y}/month={m}")
+        fs.delete(stale, True)
+    return got
