@@ -21,7 +21,6 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from faregrid.plans import jobs  # noqa: E402
-from faregrid.plans.catalog import FIXTURE_MONTHS  # noqa: E402
 from faregrid.plans.metrics import MetricsRecorder  # noqa: E402
 from faregrid.session import local_session  # noqa: E402
 from faregrid.sources import fixture  # noqa: E402
@@ -58,7 +57,7 @@ def main():
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = local_session(cpus, shuffle_partitions=max(8, 2 * int(cpus)), app="faregrid-bench")
 
-    months = FIXTURE_MONTHS
+    months = fixture.months(spark, sf_dir)
     base = jobs.scratch_layout(spark, "bench")
     landed = Layout(base.root, raw_root=f"{base.root}/raw")
     feed, zones = fixture.raw_trips(spark, sf_dir), fixture.zones(spark, sf_dir)

@@ -78,34 +78,37 @@ def equal_width_bins(lo: float, hi: float, bins: int = REPORT_DISTANCE_BINS) ->
     return [float(e) for e in edges], [str(iv) for iv in cats.categories]
 
 
-def fare_by_distance(
-    fact: DataFrame,
-    locations: DataFrame,
-    bins: int = REPORT_DISTANCE_BINS,
-    low: float = REPORT_DISTANCE_LOW,
-    high: float = REPORT_DISTANCE_HIGH,
+def distance_histogram(
+    fact: DataFrame, locations: DataFrame, low: float = REPORT_DISTANCE_LOW, high: float = REPORT_DISTANCE_HIGH
 ) -> DataFrame:
-    """Average fare per distance bin over trips with ``low < distance < high``.
+    """Fares and trips per distance, over trips with ``low < distance < high``: the one pass over the fact.
 
     ``pickup_borough`` comes from the location dimension (the fact has only the
     surrogate key); rows with a NULL distance, fare or borough are dropped.
-    Bins are equal-width over the observed [min, max]; empty bins are omitted.
-    One small aggregate finds the extremes (two numbers reach the driver).
+    Distances are metered in hundredths of a mile, so there are few.
     """
     loc = checked_broadcast(
         locations.select(F.col("location_sk").alias("pickup_location_sk"), F.col("borough").alias("pickup_borough")),
         "pickup_location_sk",
     )
-    sample = (
+    return (
         fact.select("trip_distance", "fare_amount", "pickup_location_sk")
+        .filter((F.col("trip_distance") > low) & (F.col("trip_distance") < high))
         .join(loc, on="pickup_location_sk", how="left")
-        .select("trip_distance", "fare_amount", "pickup_borough")
         .na.drop(subset=["trip_distance", "fare_amount", "pickup_borough"])
-        .filter((F.col("trip_distance") > low) & (F.col("trip_distance") < high))
+        .groupBy("trip_distance")
+        .agg(F.sum("fare_amount").alias("fares"), F.count(F.lit(1)).alias("trips"))
     )
-    extremes = sample.agg(F.min("trip_distance").alias("lo"), F.max("trip_distance").alias("hi")).first()
+
+
+def fare_by_bin(histogram: DataFrame, bins: int = REPORT_DISTANCE_BINS) -> DataFrame:
+    """Average fare per equal-width bin over the observed [min, max] distance; empty bins are omitted.
+
+    Reads the histogram twice (two numbers, the extremes, reach the driver first).
+    """
+    extremes = histogram.agg(F.min("trip_distance").alias("lo"), F.max("trip_distance").alias("hi")).first()
     if extremes["lo"] is None:
-        return sample.select(
+        return histogram.select(
             F.lit(None).cast("int").alias("bucket"),
             F.lit(None).cast("string").alias("distance_bucket"),
             F.lit(None).cast("double").alias("fare_amount"),
@@ -113,9 +116,14 @@ def fare_by_distance(
     edges, labels = equal_width_bins(extremes["lo"], extremes["hi"], bins)
     bucket = distance_bucket("trip_distance", edges[1:-1])
     return (
-        sample.groupBy(bucket.alias("bucket"))
-        .agg(F.avg("fare_amount").alias("fare_amount"))
+        histogram.groupBy(bucket.alias("bucket"))
+        .agg((F.sum("fares") / F.sum("trips")).alias("fare_amount"))
         .withColumn("distance_bucket", F.element_at(F.array(*[F.lit(s) for s in labels]), F.col("bucket")))
         .select("bucket", "distance_bucket", "fare_amount")
         .orderBy("bucket")
     )
+
+
+def fare_by_distance(fact: DataFrame, locations: DataFrame, bins: int = REPORT_DISTANCE_BINS) -> DataFrame:
+    """``fare_by_bin`` of the fact's ``distance_histogram``; callers that keep the histogram read the fact once."""
+    return fare_by_bin(distance_histogram(fact, locations), bins)

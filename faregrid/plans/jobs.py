@@ -240,7 +240,11 @@ def quality_gate(spark: SparkSession, layout: Layout, months: Months, rec: Metri
             empty = [r.asDict() for r in quality.run_checks(fact.filter(F.lit(False)), checks).collect()]
             rows.extend({"year": y, "month": m, **r} for y, m in missing for r in empty)
         stored = spark.createDataFrame(rows, schema=results.schema)
-        lake.write_partitioned(stored.coalesce(1), layout.quality_results, ["year", "month"])
+        others = [(y, m) for y in _years(months) for m in range(1, 13) if (y, m) not in months]
+        kept = _stored_rows(spark, layout.quality_results, others, stored.columns)
+        if kept is not None:
+            stored = stored.unionByName(kept)
+        lake.write_partitioned(stored.coalesce(1), layout.quality_results, ["year"])  # checks x months rows: a file a year
         for r in rows:
             rec.record(S.DQ_METRIC[r["check"]], r["observed"], table="fact_trips", column=r["column"],
                        year=r["year"], month=r["month"], status=r["status"])
@@ -290,14 +294,25 @@ def run_all(
 # --- reports over the gold tables -------------------------------------------
 
 
+def _gold(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A gold table, or an empty frame with the columns of the report if it has no file yet."""
+    found = lake.read_if_exists(spark, path)
+    return spark.createDataFrame([], schema) if found is None else found
+
+
 def report_revenue(spark: SparkSession, layout: Layout, selected: Sequence[str] | None = None) -> DataFrame:
-    return reports.revenue_by_borough(lake.read_partitioned(spark, layout.daily_stats), selected)
+    daily = _gold(spark, layout.daily_stats, "pickup_date date, pickup_borough string, revenue double")
+    return reports.revenue_by_borough(daily, selected)
 
 
 def report_peak_hours(spark: SparkSession, layout: Layout, borough: str | None = None) -> DataFrame:
-    return reports.peak_hours(lake.read_partitioned(spark, layout.hourly_stats), borough)
+    hourly = _gold(spark, layout.hourly_stats, "pickup_date date, pickup_hour int, pickup_borough string, trip_count bigint")
+    return reports.peak_hours(hourly, borough)
 
 
 def report_fare_by_distance(spark: SparkSession, layout: Layout) -> DataFrame:
-    fact = lake.read_partitioned(spark, layout.fact_trips)
-    return reports.fare_by_distance(fact, spark.read.parquet(layout.dim_location))
+    fact = _gold(spark, layout.fact_trips, "trip_distance double, fare_amount double, pickup_location_sk int")
+    locations = _gold(spark, layout.dim_location, "location_sk int, borough string")
+    checkpoint_dir(spark)
+    histogram = reports.distance_histogram(fact, locations).checkpoint(eager=True)
+    return reports.fare_by_bin(histogram)  # the only pass over the fact is the histogram's

@@ -11,10 +11,12 @@ Spark operators rather than repeating them. Types are cast to Spark's
 
 from __future__ import annotations
 
-from faregrid.plans.catalog import FIXTURE_FIRST_YEAR, FIXTURE_LAST_YEAR, FRESHNESS_AS_OF
+from faregrid.plans.catalog import FRESHNESS_AS_OF, ONE_MONTH
+from faregrid.schemas import REQUIRED_COLUMNS
 
-PERIOD_START = f"TIMESTAMP '{FIXTURE_FIRST_YEAR}-01-01 00:00:00'"
-PERIOD_END = f"TIMESTAMP '{FIXTURE_LAST_YEAR + 1}-01-01 00:00:00'"
+PERIOD_START = "(SELECT date_trunc('month', min(o_orderdate)) FROM orders)"
+PERIOD_END = "(SELECT date_trunc('month', max(o_orderdate) + INTERVAL '1' DAY) + INTERVAL '1' MONTH FROM orders)"
+IN_ONE_MONTH = "year(tpep_pickup_datetime) = {} AND month(tpep_pickup_datetime) = {}".format(*ONE_MONTH)
 
 RAW_COLS = (
     "VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count, trip_distance, "
@@ -72,6 +74,8 @@ NULL_ANY = (
 CTE["good"] = f"""
 good AS (SELECT * FROM casted WHERE NOT {NULL_ANY})"""
 
+FAILED_COLUMNS = ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in REQUIRED_COLUMNS)
+
 CTE["bad"] = f"""
 bad AS (SELECT * FROM casted WHERE {NULL_ANY})"""
 
@@ -440,15 +444,24 @@ ORACLES: dict[str, str] = {
         "SELECT *, CAST(year(tpep_pickup_datetime) AS INTEGER) AS year, "
         "CAST(month(tpep_pickup_datetime) AS INTEGER) AS month FROM raw_trips",
     ),
+    "q_partition_scan": with_(
+        ["raw_trips"],
+        "SELECT *, CAST(year(tpep_pickup_datetime) AS INTEGER) AS year, "
+        f"CAST(month(tpep_pickup_datetime) AS INTEGER) AS month FROM raw_trips WHERE {IN_ONE_MONTH}",
+    ),
     "q_zones": with_(["zones"], "SELECT * FROM zones"),
     "q_dim_location": with_(["dim_location"], "SELECT * FROM dim_location"),
     "q_cast": with_(["casted"], "SELECT * FROM casted"),
     "q_quarantine_good": with_(["good"], "SELECT * FROM good"),
-    "q_quarantine_bad": with_(["bad"], "SELECT * FROM bad"),
+    # rows as they arrived, with the columns that failed (the raw columns of the test tables are typed: no cast fails)
+    "q_quarantine_bad": with_(
+        ["raw_trips"],
+        f"SELECT *, concat_ws(', ', {FAILED_COLUMNS}) AS quarantine_reason FROM raw_trips WHERE {NULL_ANY}",
+    ),
     "q_period_filter": with_(["in_period"], "SELECT * FROM in_period"),
     "q_period_filter_month": with_(
         ["good"],
-        "SELECT * FROM good WHERE tpep_pickup_datetime >= TIMESTAMP '1997-03-01 00:00:00' AND tpep_pickup_datetime < TIMESTAMP '1997-04-01 00:00:00'",
+        f"SELECT * FROM good WHERE {IN_ONE_MONTH}",
     ),
     "q_period_filter_ref": with_(
         ["good"],

@@ -47,25 +47,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Intermediate tables that cut lineage are written below it, so a lost
-    executor never forces recomputation from the raw input.
+    executor never forces recomputation from the raw input. Where it is unset, a
+    local master (driver and executors are one process) gets a scratch folder; on
+    a cluster that is an error, since executors share no local folder.
     """
     sc = spark.sparkContext
     found = sc.getCheckpointDir() or sc.getConf().get(CHECKPOINT_CONF, None)
+    if not found and (sc.master == "local" or sc.master.startswith("local[")):
+        found = tempfile.mkdtemp(prefix="faregrid-ckpt-")
     if not found:
         raise RuntimeError(f"{CHECKPOINT_CONF} is not set; configure a shared folder for the cluster")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(found)
     return found
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """``checkpoint_dir``, but sets a local scratch folder when the session has none.
-
-    Only for local runs (tests, verification): a cluster names a shared folder
-    in ``spark.checkpoint.dir`` and it is used as is.
-    """
-    sc = spark.sparkContext
-    local = sc.master == "local" or sc.master.startswith("local[")
-    if local and not (sc.getCheckpointDir() or sc.getConf().get(CHECKPOINT_CONF, None)):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="faregrid-ckpt-"))
-    return checkpoint_dir(spark)

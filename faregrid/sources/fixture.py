@@ -55,6 +55,17 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips.drop("_copy")
 
 
+def months(spark: SparkSession, sf_dir: str) -> list[tuple[int, int]]:
+    """Every month from the first to the last pickup (order dates plus less than a day); none without orders.
+
+    One narrow aggregate; two numbers reach the driver.
+    """
+    date = F.col("o_orderdate")
+    span = read_table(spark, sf_dir, "orders").agg(F.min(date).alias("lo"), (F.max(date) + F.make_dt_interval(days=F.lit(1))).alias("hi"))
+    lo, hi = span.select(*[F.year(c) * 12 + F.month(c) - 1 for c in ("lo", "hi")]).first()
+    return [] if lo is None else [(n // 12, n % 12 + 1) for n in range(lo, hi + 1)]
+
+
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone lookup with the published header names (LocationID, Borough, Zone, service_zone)."""
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")

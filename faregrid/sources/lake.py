@@ -13,7 +13,7 @@ shared folder, never a machine-local one)::
     gold/dim_location/
     gold/dim_date/year=Y/
     gold/fact_trips/year=Y/month=M/
-    quality/results/year=Y/month=M/            one row per check and month
+    quality/results/year=Y/                    one row per check and month, one file per year
     metrics/                                   metric records (JSON lines)
 
 Trip-level tables are replaced month by month (``replace_months``): re-running a

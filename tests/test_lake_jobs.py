@@ -235,3 +235,25 @@ def test_gate_fails_an_empty_month(spark):
     assert feb["row_count"] == (0, "FAIL") and feb["not_null"] == (0, "PASS")
     assert {r["status"] for r in report.dq if r["month"] == 1} == {"PASS"}
     assert spark.read.parquet(layout.quality_results).filter("month = 2").count() == 7
+
+
+def test_reports_without_gold_tables_are_empty(spark):
+    layout = jobs.scratch_layout(spark)
+    assert jobs.report_revenue(spark, layout).count() == 0
+    assert jobs.report_peak_hours(spark, layout).count() == 0
+    assert jobs.report_fare_by_distance(spark, layout).count() == 0
+
+
+def test_gate_results_of_other_months_stay(lake_run):
+    spark, layout, _, _, _ = lake_run
+    before = spark.read.parquet(layout.quality_results).collect()
+    jobs.quality_gate(spark, layout, [(2023, 2)], MetricsRecorder(), enforce=False)
+    after = spark.read.parquet(layout.quality_results)
+    assert sorted(map(str, after.filter("month = 1").collect())) == sorted(map(str, before))
+    assert after.filter("month = 2").count() == 7
+    jobs.quality_gate(spark, layout, [(2023, 1)], MetricsRecorder(), min_rows=1)
+    assert spark.read.parquet(layout.quality_results).count() == 14
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(layout.quality_results)
+    found = fs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(
+        spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{layout.quality_results}/year=*/*.parquet"))
+    assert len(found) == 1

@@ -1,4 +1,4 @@
-"""Every registered query against its DuckDB SQL on the smallest test tables.
+"""Every query of the trip engine against its DuckDB SQL on the smallest test tables.
 
 The driver runs the same comparison at sf0.01; this keeps it in the test suite
 at sf0.001 so a broken operator fails fast.
@@ -9,12 +9,11 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from faregrid.plans.catalog import QUERIES
+from faregrid.plans.oracles import ORACLES
 from tests.conftest import SF_SMALL
 from tools.oracle_check import compare, duck
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
-
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="test tables not present")
 
 
@@ -25,6 +24,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

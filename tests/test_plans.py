@@ -6,6 +6,7 @@ import pytest
 
 from faregrid.operators import cleansing as C
 from faregrid.operators import quality as Q
+from faregrid.plans import catalog
 from faregrid.plans.catalog import Fixture
 from faregrid.sources import lake
 from tests.conftest import SF_SMALL, plan_text
@@ -39,6 +40,22 @@ def test_period_and_required_predicates_reach_the_parquet_reader(spark, landed):
     assert "PartitionFilters: [isnotnull(year" in plan and "(year#" in plan
 
 
+def test_partition_scan_reads_one_month(spark):
+    scan = catalog.q_partition_scan(spark, SF_SMALL)
+    plan = plan_text(scan)
+    assert "PartitionFilters: [isnotnull(year" in plan and "(month#" in plan
+    assert {(r["year"], r["month"]) for r in scan.select("year", "month").distinct().collect()} == {catalog.ONE_MONTH}
+
+
+def test_fare_report_aggregates_trips_by_distance(spark):
+    from faregrid.operators import reports
+
+    fact = spark.createDataFrame([(1.0, 2.0, 1), (1.0, 4.0, 1)], "trip_distance double, fare_amount double, pickup_location_sk int")
+    histogram = reports.distance_histogram(fact, spark.createDataFrame([(1, "A")], "location_sk int, borough string"))
+    assert [tuple(r) for r in histogram.collect()] == [(1.0, 6.0, 2)]
+    assert "partial_sum" in plan_text(histogram)  # one row per distance and task is shuffled, not one per trip
+
+
 def test_dedup_combines_map_side_before_the_shuffle(fx):
     plan = plan_text(fx.cleansed.deduped)
     tree = plan.split("\n\n")[0]
