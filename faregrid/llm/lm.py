@@ -107,30 +107,45 @@ def _local_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _corpus_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums by key, for every block that has it (except where the block's own counts are all there is), and totals."""
-    got = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches]
-    if not got:
-        return
-    key, at, train, fold_n = (np.concatenate(c) for c in zip(*got))
-    order = np.argsort(key, kind="stable")
-    key, at, train, fold_n = key[order], at[order], train[order], fold_n[order]
-    plain = (at >= 0) & (at % 4 < 2)
-    odd = ~plain
-    rest = [(key[odd], at[odd], train[odd], fold_n[odd], np.ones(int(odd.sum()), bool))]
-    key, at, train, fold_n = key[plain], at[plain], train[plain], fold_n[plain]
-    if len(key):
+    parts: list[list[np.ndarray]] = [[], [], [], []]
+    rest = []
+    for batch in batches:
+        key, at, train, fold_n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        plain = (at >= 0) & (at % 4 < 2)
+        # copies, so that the batch is freed; a count of one block fits 32 bits, sums may not
+        for part, column in zip(parts, (key[plain], at[plain], train[plain].astype(np.int32), fold_n[plain].astype(np.int32))):
+            part.append(column)
+        if not plain.all():
+            odd = ~plain
+            rest.append([key[odd], at[odd], train[odd], fold_n[odd], np.ones(int(odd.sum()), bool)])
+        del batch, key, at, train, fold_n
+
+    def joined(i: int) -> np.ndarray:
+        out = np.concatenate(parts[i])
+        parts[i] = []
+        return out
+
+    if any(map(len, parts[0])):
+        key = joined(0)
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        at, train, fold_n = (joined(i)[order] for i in (1, 2, 3))
+        del order
         begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         size = np.diff(np.append(begin, len(key)))
-        sums, folds = np.add.reduceat(train, begin), np.add.reduceat(fold_n, begin)
+        sums, folds = (np.add.reduceat(x, begin, dtype=np.int64) for x in (train, fold_n))
         token = at[begin] % 4 == 0
         z = np.zeros(1, np.int64)
         for name, a, b in ((_VOCABULARY, (sums[token] > 0).sum(), (sums[token] > folds[token]).sum()), (_TOKENS, sums[token].sum(), folds[token].sum())):
-            rest.append((z, z + name, z + a, z + b, np.ones(1, bool)))
-        total, held = np.repeat(sums, size), np.repeat(folds, size)
-        use = (total != train) | (fold_n > 0)
-        rest.append((key[use], at[use], total[use], held[use], fold_n[use] > 0))
-    for cols in rest:
+            rest.append([z, z + name, z + a, z + b, np.ones(1, bool)])
+        use = (np.repeat(sums, size) != train) | (fold_n > 0)
+        rest.append([key[use], at[use], np.repeat(sums, size)[use], np.repeat(folds, size)[use], fold_n[use] > 0])
+        del key, at, train, fold_n, sums, folds, begin, size, use
+    while rest:
+        cols = rest.pop()
         order = np.lexsort((cols[0], cols[1]))  # by block, then key: small differences, which Parquet stores in few bits
-        cols = [c[order] for c in cols]
+        for i in range(len(cols)):
+            cols[i] = cols[i][order]
         for lo in range(0, len(cols[0]), 100_000):
             yield pa.RecordBatch.from_arrays([pa.array(c[lo : lo + 100_000]) for c in cols], ["key", "at", "train", "fold", "asked"])
 
