@@ -58,7 +58,7 @@ def python_ready(df: DataFrame) -> DataFrame:
     if _ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([_ROOT, *paths])
     # workers are reused: large arrays go back to the system when they are freed
-    for name, value in (("MALLOC_ARENA_MAX", "2"), ("MALLOC_MMAP_THRESHOLD_", str(4 << 20)), ("MALLOC_TRIM_THRESHOLD_", str(16 << 20))):
+    for name, value in (("ARROW_DEFAULT_MEMORY_POOL", "system"), ("MALLOC_ARENA_MAX", "2"), ("MALLOC_MMAP_THRESHOLD_", str(4 << 20)), ("MALLOC_TRIM_THRESHOLD_", str(16 << 20))):
         env.setdefault(name, value)
     return df
 

@@ -85,24 +85,38 @@ def _local_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 keys[1][r].append(_mix(before[mine], token[mine]))
     if block is None:
         return
-    rows = [(np.array([block + 1], np.uint64), 4 * block + 2, np.array([_check(ids)]), np.zeros(1, np.int64)),
-            (np.zeros(1, np.uint64), _TEXTS, np.array([texts_of[0] + texts_of[1]]), np.array([texts_of[0]]))]
+    yield from _count_rows(np.array([block + 1], np.uint64), 4 * block + 2, np.array([_check(ids)]), np.zeros(1, np.int64))
+    yield from _count_rows(np.zeros(1, np.uint64), _TEXTS, np.array([texts_of[0] + texts_of[1]]), np.array([texts_of[0]]))
+    del ids
     for kind in (0, 1):
-        found = [textops.unique_counts(np.concatenate(keys[kind][r])) for r in range(3)]
-        keys[kind] = []
-        key = textops.unique_counts(np.concatenate([f[0] for f in found]))[0]
-        count = np.zeros((2, len(key)), np.int64)
-        for r in (0, 1):
-            count[r][np.searchsorted(key, found[r][0])] = found[r][1]
-        order = np.lexsort((count[1], count[0]))  # rows with equal counts side by side take less of the shuffle
-        rows.append((key[order], 4 * block + kind, (count[0] + count[1])[order], count[0][order]))
-    for key, at, train, held in rows:
-        for lo in range(0, len(key), 100_000):
-            k, t, f = (x[lo : lo + 100_000] for x in (key, train, held))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(k.view(np.int64)), pa.array(np.full(len(k), at, np.int64)), pa.array(t.astype(np.int64)), pa.array(f.astype(np.int64))],
-                ["key", "at", "train", "fold"],
-            )
+        mine = []
+        for r in range(3):
+            mine.append(np.concatenate(keys[kind][r]))
+            keys[kind][r] = []
+        for lot in range(_LOTS):
+            found = [textops.unique_counts(k[_lot(k) == lot]) for k in mine]
+            key = textops.unique_counts(np.concatenate([f[0] for f in found]))[0]
+            count = np.zeros((2, len(key)), np.int64)
+            for r in (0, 1):
+                count[r][np.searchsorted(key, found[r][0])] = found[r][1]
+            order = np.lexsort((count[1], count[0]))  # rows with equal counts side by side take less of the shuffle
+            yield from _count_rows(key[order], 4 * block + kind, (count[0] + count[1])[order], count[0][order])
+
+
+_LOTS = 8  # keys of a block are sorted in lots, which takes memory for one of them
+
+
+def _lot(key: np.ndarray) -> np.ndarray:
+    return key.astype("<u8", copy=False).view(np.uint8)[7::8] >> 5  # the first three bits
+
+
+def _count_rows(key: np.ndarray, at: int, train: np.ndarray, held: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for lo in range(0, len(key), 100_000):
+        k, t, f = (x[lo : lo + 100_000] for x in (key, train, held))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(k.view(np.int64)), pa.array(np.full(len(k), at, np.int64)), pa.array(t.astype(np.int64)), pa.array(f.astype(np.int64))],
+            ["key", "at", "train", "fold"],
+        )
 
 
 def _corpus_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
