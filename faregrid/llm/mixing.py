@@ -168,68 +168,101 @@ def mix(sized: DataFrame, sources_col: str = "sources", id_col: str = "doc_id",
     # patterns are compared with their nulls: as text
     text = lambda c: F.to_json(F.struct(F.col(c).alias("p")), {"ignoreNullFields": "false"})
     dealt = rows.withColumn("_key", text("_pattern")).join(todo.withColumn("_key", text("_pattern")).drop("_pattern"), "_key", "left")
-    dealt = dealt.withColumn("_bucket", F.expr("cast(floor((_seed / 18446744073709551616D + 0.5D) * _buckets) as long)"))
-    extra = _rest_of(dealt, id_col)
-    taken = F.col("_size") * (F.col("_times") + F.when(extra, 1).otherwise(0))
-    cuts = _cuts(dealt, id_col)
-    out = dealt.join(F.broadcast(cuts), "_no", "left").withColumn("taken", taken)
+    dealt = dealt.withColumn("_bucket", F.expr("cast(floor((_seed / 18446744073709551616D + 0.5D) * _buckets) as long)")).drop("_key", "_pattern")
+    # rows repeated with the same id are taken alike, so their words count together
+    again = dealt.groupBy("_no", F.col(id_col).alias("_same")).agg(F.sum("_size").alias("_all"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    again = materialize(again.select(F.col("_no").alias("_in"), "_same", "_all"), "mix-repeated-ids")
+    dealt = dealt.join(again, (F.col("_no") == F.col("_in")) & F.col(id_col).eqNullSafe(F.col("_same")), "left")
+    dealt = materialize(dealt.withColumn("_unit", F.coalesce("_all", "_size")).drop("_in", "_same", "_all"), "mix-dealt")
+    taken = F.col("_size") * (F.col("_times") + F.when(_rest_of(id_col), 1).otherwise(0))
+    out = dealt.join(F.broadcast(_cuts(dealt, id_col)), "_no", "left").withColumn("taken", taken)
     return out.select(*sized.columns, "taken"), sources, targets
 
 
-def _rest_of(dealt: DataFrame, id_col: str) -> Column:
+def _upto(seed: Column, row_id: Column, id_col: str) -> Column:
+    """Whether the row is at most (seed, row_id) in the seeded order, in which null ids come first."""
+    same = F.col(id_col).isNull() | (F.col(id_col) <= row_id)
+    return F.coalesce((F.col("_seed") < seed) | ((F.col("_seed") == seed) & same), F.lit(False))
+
+
+def _within(id_col: str) -> Column:
+    """Whether the row is taken by the cuts: the first cut that is not before it is of the round that met it."""
+    met = F.filter("_cuts", lambda c: _upto(c["seed"], c["id"], id_col))
+    return F.coalesce(F.get(met, F.lit(0))["cap"] >= F.col("_unit"), F.lit(False))
+
+
+def _rest_of(id_col: str) -> Column:
     """Whether the row is among those that get one more repeat (uses the columns of ``_cuts``)."""
-    before = (F.col("_seed") < F.col("_cut_seed")) | ((F.col("_seed") == F.col("_cut_seed")) & (F.col(id_col) <= F.col("_cut_id")))
-    named = lambda c: F.coalesce(F.col(id_col) == F.col(c), F.lit(False))
-    return (F.col("_rest") > 0) & ((F.coalesce(before, F.lit(False)) & ~named("_drop_id")) | named("_fill_id"))
+    named = lambda c: F.coalesce((F.col("_seed") == F.col(c)["seed"]) & F.col(id_col).eqNullSafe(F.col(c)["id"]), F.lit(False))
+    return (F.col("_rest") > 0) & ((_within(id_col) & ~named("_drop")) | named("_fill"))
 
 
 def _cuts(dealt: DataFrame, id_col: str) -> DataFrame:
-    """Per pattern with a rest: the last row of the seeded order that fits whole, the one later row that fills the gap
-    best, and, if that takes too much, the one earlier row to leave out for it.
+    """Per pattern with a rest: the cuts of its rounds, the one row left over that fills the gap best, and, if that
+    takes too much, the one row to leave out for it.
+
+    The first round takes rows in the seeded order up to the first that does not fit. Each further round goes on
+    behind the last cut with the rows of at most half the gap, so a round that ends at a row halves the gap, and the
+    number of rounds is at most the logarithm of the rest. In the end no row of at most half the gap is left; of
+    larger ones only one can fit, which is the fill.
 
     The running sum goes over buckets of the order first, then over the rows of the
     one bucket in which the rest ends. A pattern of n rows has about sqrt(n) buckets,
     so neither sum has more than about sqrt(n) rows in a group.
     """
+    spark = dealt.sparkSession
     asked = dealt.filter("_rest > 0 and _size > 0")
-    order = Window.partitionBy("_no").orderBy("_bucket")
-    buckets = asked.groupBy("_no", "_bucket", "_rest").agg(F.sum("_size").alias("_words"))
-    edge = (
-        buckets.withColumn("_before", F.sum("_words").over(order) - F.col("_words"))
-        .filter("_before <= _rest").groupBy("_no").agg(F.max(F.struct("_bucket", "_before")).alias("_e"))
-        .select("_no", F.col("_e._bucket").alias("_bucket"), F.col("_e._before").alias("_before"))
-    )
-    rows = asked.join(F.broadcast(edge), ["_no", "_bucket"])  # one row per pattern
-    running = Window.partitionBy("_no").orderBy("_seed", id_col).rowsBetween(Window.unboundedPreceding, 0)
-    last = (
-        rows.withColumn("_sum", F.col("_before") + F.sum("_size").over(running)).filter("_sum <= _rest")
-        .groupBy("_no").agg(F.max(F.struct("_sum", "_seed", F.col(id_col).alias("_id"))).alias("_l"))
-    )
-    ends = edge.join(last, "_no", "left").select(
-        "_no", "_bucket", F.coalesce("_l._sum", "_before").alias("_sum"), F.col("_l._seed").alias("_at"), F.col("_l._id").alias("_at_id"),
-    )
-    ends = materialize(ends, "mix-ends")
-    # where no row of the bucket fits, the cut lies before the bucket's first seed
-    first = rows.groupBy("_no").agg(F.min("_seed").alias("_first"))
-    ends = ends.join(first, "_no").select(
-        "_no", "_sum", F.coalesce(F.col("_at"), F.col("_first") - 1).alias("_cut_seed"), F.col("_at_id").alias("_cut_id")
-    )
-    gap = F.col("_rest") - F.col("_sum")
-    before = (F.col("_seed") < F.col("_cut_seed")) | ((F.col("_seed") == F.col("_cut_seed")) & (F.col(id_col) <= F.col("_cut_id")))
-    before = F.coalesce(before, F.lit(False))
+    id_type = dealt.schema[id_col].dataType.simpleString()
+    cut = f"struct<cap:long,seed:long,id:{id_type}>"
+    # at most MAX_PATTERNS rows
+    gaps = {r["_no"]: r["_rest"] for r in asked.select("_no", "_rest").distinct().collect()}
+    cuts: dict[int, list[tuple]] = {no: [] for no in gaps}
+    open_ = {no: (1 << 62, None, None) for no in gaps}  # size limit of the round, and where the round before it ended
+    while open_:
+        state = spark.createDataFrame([(no, gaps[no], at) for no, at in open_.items()], f"_no int, _gap long, _at {cut}")
+        left = asked.join(F.broadcast(state), "_no").filter(~_upto(F.col("_at.seed"), F.col("_at.id"), id_col) & (F.col("_unit") <= F.col("_at.cap")))
+        order = Window.partitionBy("_no").orderBy("_bucket")
+        buckets = left.groupBy("_no", "_bucket", "_gap").agg(F.sum("_size").alias("_words"))
+        edge = (
+            buckets.withColumn("_before", F.sum("_words").over(order) - F.col("_words"))
+            .filter("_before <= _gap").groupBy("_no").agg(F.max(F.struct("_bucket", "_before")).alias("_e"))
+            .select("_no", F.col("_e._bucket").alias("_bucket"), F.col("_e._before").alias("_before"))
+        )
+        units = (
+            left.join(F.broadcast(edge), ["_no", "_bucket"])  # one row per pattern
+            .groupBy("_no", "_gap", "_before", "_seed", F.col(id_col).alias("_id")).agg(F.sum("_size").alias("_words"))
+        )
+        running = Window.partitionBy("_no").orderBy("_seed", "_id").rowsBetween(Window.unboundedPreceding, 0)
+        ends = (
+            units.withColumn("_sum", F.col("_before") + F.sum("_words").over(running)).groupBy("_no", "_before")
+            .agg(F.max(F.when(F.col("_sum") <= F.col("_gap"), F.struct("_sum", "_seed", "_id"))).alias("_l"), F.min("_seed").alias("_first"))
+        )
+        found, limits, open_ = ends.collect(), {no: at[0] for no, at in open_.items()}, {}
+        for r in found:
+            no, last = r["_no"], r["_l"]
+            # where no row of the bucket fits, the cut lies before the bucket's first seed
+            words, seed, row_id = last if last else (r["_before"], r["_first"] - 1, None)
+            gaps[no] -= words
+            cuts[no].append((limits[no], seed, row_id))
+            if gaps[no] > 1:
+                open_[no] = (gaps[no] // 2, seed, row_id)
+    ends = spark.createDataFrame([(no, gaps[no], cuts[no]) for no in gaps], f"_no int, _gap long, _cuts array<{cut}>")
+    asked = asked.join(F.broadcast(ends), "_no").withColumn("_in", _within(id_col))
+    off = F.abs(F.col("_gap") - F.col("_unit"))
+    named = F.struct(F.col("_seed").alias("seed"), F.col(id_col).alias("id"))
     fill = (
-        asked.join(F.broadcast(ends), "_no").filter(~before).filter(F.abs(gap - F.col("_size")) < gap)
-        .groupBy("_no").agg(F.min(F.struct(F.abs(gap - F.col("_size")).alias("off"), "_seed", F.col(id_col).alias("id"), (F.col("_size") - gap).alias("over"))).alias("f"))
-        .select("_no", F.col("f.id").alias("_fill_id"), F.col("f.over").alias("_over"))
+        asked.filter(~F.col("_in") & (off < F.col("_gap")))
+        .groupBy("_no").agg(F.min(F.struct(off.alias("off"), named.alias("row"), (F.col("_unit") - F.col("_gap")).alias("over"))).alias("f"))
+        .select("_no", F.col("f.row").alias("_fill"), F.col("f.over").alias("_over"))
     )
-    ends = materialize(ends.join(fill, "_no", "left"), "mix-fill")
-    spare = F.abs(F.col("_over") - F.col("_size"))
+    fill = materialize(fill, "mix-fill")
+    spare = F.abs(F.col("_over") - F.col("_unit"))
     drop = (
-        asked.join(F.broadcast(ends), "_no").filter(before & (spare < F.col("_over")))
-        .groupBy("_no").agg(F.min(F.struct(spare.alias("off"), "_seed", F.col(id_col).alias("id"))).alias("d"))
-        .select("_no", F.col("d.id").alias("_drop_id"))
+        asked.join(F.broadcast(fill), "_no").filter(F.col("_in") & (spare < F.col("_over")))
+        .groupBy("_no").agg(F.min(F.struct(spare.alias("off"), named.alias("row"))).alias("d"))
+        .select("_no", F.col("d.row").alias("_drop"))
     )
-    return ends.join(drop, "_no", "left").select("_no", "_cut_seed", "_cut_id", "_fill_id", "_drop_id")
+    return ends.join(fill, "_no", "left").join(drop, "_no", "left").select("_no", "_cuts", "_fill", "_drop")
 
 
 def mix_by_source(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:

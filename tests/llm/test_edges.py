@@ -140,6 +140,29 @@ def test_mixing_overlapping_sources(spark):
     assert flow == [{1: 10}, {0: 10}]
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_mixing_goes_on_past_a_row_that_does_not_fit(spark, seed):
+    sizes = [600_000, *(100 + i * 37 % 301 for i in range(999))]
+    sized = spark.createDataFrame([(i, ["x"], n) for i, n in enumerate(sizes)], "doc_id long, sources array<string>, size long")
+    mixed, _, _ = mixing.mix(sized, targets={"x": 200_000.0}, max_repeats=1, seed=seed)
+    rows = got(mixed)
+    assert all(r["taken"] in (0, r["size"]) for r in rows)
+    assert abs(sum(r["taken"] for r in rows) - 200_000) <= 50  # half the smallest row
+
+
+def test_mixing_rounds_are_few_and_end_with_no_row_that_fits(spark):
+    # in any order small rows stand between ones that almost fill the gap; an id that repeats counts with all its rows
+    sizes = {i: 1 if i % 2 else 4000 - i for i in range(200)}
+    rows = [(i, ["x"], n) for i, n in sizes.items()] + [(1000, ["x"], 30)] * 5 + [(None, ["x"], 7)] * 4
+    sized = spark.createDataFrame(rows, "doc_id long, sources array<string>, size long")
+    for want, off in ((150, 25), (3950, 25), (50_000, 2000)):  # at the last, half of a large row
+        mixed, _, _ = mixing.mix(sized, targets={"x": float(want)}, max_repeats=1)
+        found = got(mixed)
+        assert abs(sum(r["taken"] for r in found) - want) <= off
+        for same in (1000, None):
+            assert len({r["taken"] > 0 for r in found if r["doc_id"] == same}) == 1
+
+
 def test_lm(docs, none):
     part = fold("doc_id", 10)
     rows = got(lm.score(docs, part != 0, part == 1))
