@@ -88,10 +88,10 @@ def _segment_rows(window: int, k: int):
                 begin = w.starts[w.first[row] + first] if len(row) else []
                 end = w.ends[w.first[row] + last + window - 1] if len(row) else []
                 hi, lo = _digests(view, list(begin), list(end))
-                ids = part.column(0).take(pa.array(row))
+                ids, keys = (part.column(i).take(pa.array(row)) for i in (0, 1))
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(anchor), pa.array(hi), pa.array(lo), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))],
-                    ["doc_id", "anchor", "hi", "lo", "first", "last"],
+                    [ids, keys, pa.array(anchor), pa.array(hi), pa.array(lo), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))],
+                    ["doc_id", "text_key", "anchor", "hi", "lo", "first", "last"],
                 )
 
     return run
@@ -105,14 +105,14 @@ def _window_rows(window: int):
             for part, texts in textops.chunks(batch):
                 w = textops.split_words(texts)
                 view = memoryview(w.buf)
-                ids, spans = part.column(0).to_pylist(), part.column(2).to_pylist()
+                ids, keys, spans = (part.column(i).to_pylist() for i in (0, 1, 3))
                 for i, listed in enumerate(spans):
                     base = int(w.first[i])
                     at = np.concatenate([np.arange(s["first"], s["last"] + 1) for s in listed])
                     hi, lo = _digests(view, w.starts[base + at].tolist(), w.ends[base + at + window - 1].tolist())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(at), ids[i])), pa.array(hi), pa.array(lo), pa.array(at.astype(np.int32))],
-                        ["doc_id", "hi", "lo", "first"],
+                        [pa.array(np.full(len(at), ids[i])), pa.array(np.full(len(at), keys[i])), pa.array(hi), pa.array(lo), pa.array(at.astype(np.int32))],
+                        ["doc_id", "text_key", "hi", "lo", "first"],
                     )
 
     return run
@@ -150,30 +150,31 @@ def _removal(window: int):
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR_WORDS) -> DataFrame:
-    """(doc_id, first, last): runs of windows that also start in a document with a smaller id.
+    """(doc_id, text_key, first, last): runs of windows that also start in a document with a smaller id.
 
-    ``docs``: (doc_id long, text string) with non-null ids.
+    ``docs``: (doc_id long, text_key long, text string) with non-null ids; ``text_key`` tells texts with one id apart.
     """
     rows = materialize(
-        python_ready(docs).mapInArrow(_segment_rows(window, k), "doc_id long, anchor long, hi long, lo long, first int, last int"), "segments"
+        python_ready(docs).mapInArrow(_segment_rows(window, k), "doc_id long, text_key long, anchor long, hi long, lo long, first int, last int"), "segments"
     )
     kinds = materialize(rows.groupBy("anchor", "hi", "lo").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")), "segment-kinds")
     copied = kinds.filter("most > least").select("hi", "lo", "least")
     mixed = kinds.groupBy("anchor").agg((F.count(F.lit(1)) > 1).alias("mixed")).filter("mixed").select("anchor")
-    whole = rows.join(copied, ["hi", "lo"]).filter("doc_id > least").select("doc_id", "first", "last")
+    whole = rows.join(copied, ["hi", "lo"]).filter("doc_id > least").select("doc_id", "text_key", "first", "last")
 
     # one segment of each kind, those in its smallest document, goes on to single windows
     front = kinds.join(mixed, "anchor", "left_semi").select("hi", "lo", "least")
     listed = (
-        rows.join(front, ["hi", "lo"]).filter("doc_id = least").groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+        rows.join(front, ["hi", "lo"]).filter("doc_id = least").groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     )
     windows = materialize(
-        docs.join(listed, "doc_id").select("doc_id", "text", "spans").mapInArrow(_window_rows(window), "doc_id long, hi long, lo long, first int"),
+        docs.join(listed, ["doc_id", "text_key"]).select("doc_id", "text_key", "text", "spans")
+        .mapInArrow(_window_rows(window), "doc_id long, text_key long, hi long, lo long, first int"),
         "windows",
     )
     earliest = windows.groupBy("hi", "lo").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("most > least")
     single = windows.join(earliest.select("hi", "lo", "least"), ["hi", "lo"]).filter("doc_id > least")
-    return whole.union(single.select("doc_id", "first", F.col("first").alias("last")))
+    return whole.union(single.select("doc_id", "text_key", "first", F.col("first").alias("last")))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -182,14 +183,15 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR_WORDS,
     A word goes if a window of ``window`` words that covers it also starts in a
     document with a smaller id; windows are judged on the input. ``repeats`` lists
     the maximal repeats (start word, number of words). Null and empty texts have no
-    words. Rows repeated with the same id do not count against each other; rows
-    with a null id keep all their words and are never a smaller document. An empty
+    words. Rows repeated with the same id do not count against each other, and each is
+    judged by its own text; rows with a null id keep all their words and are never a smaller document. An empty
     table gives an empty result; extra columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = rows.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     found = repeated_windows(rows.filter("doc_id is not null"), window, k)
-    spans = materialize(found.distinct().groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("spans")), "repeats")
-    joined = rows.join(spans, "doc_id", "left").select("doc_id", "text", "spans")
+    spans = materialize(found.distinct().groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("first", "last")).alias("spans")), "repeats")
+    joined = rows.join(spans, ["doc_id", "text_key"], "left").select("doc_id", "text", "spans")
     return python_ready(joined).mapInArrow(
         _removal(window),
         "doc_id long, n_words long, n_removed long, kept_sha256 string, repeats array<struct<start:long,words:long>>",

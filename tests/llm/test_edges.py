@@ -104,6 +104,14 @@ def test_substring_dedup(docs, none):
     assert got(substring_dedup.remove_repeats(none)) == []
 
 
+def test_substring_dedup_of_one_id_with_two_texts(spark):
+    clean = " ".join(f"c{i}" for i in range(200))
+    rows = [(1, PASSAGE), (2, f"{clean} {PASSAGE} end"), (2, clean), (2, "short"), (2, f"{clean} {PASSAGE} end")]
+    found = got(substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert sorted((r["doc_id"], r["n_words"], r["n_removed"], str(r["repeats"])) for r in found) == [
+        (1, 60, 0, "[]"), (2, 1, 0, "[]"), (2, 200, 0, "[]"), *[(2, 261, 60, "[{'start': 200, 'words': 60}]")] * 2]
+
+
 def test_packing(docs, none):
     rows = got(packing.pack(docs, tokenizer_path()))
     assert sum(r["doc_id"] == 1 for r in rows) == 1 and sum(r["doc_id"] == 5 for r in rows) == 2
