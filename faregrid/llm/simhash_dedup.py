@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faregrid.llm import textops
@@ -75,17 +75,22 @@ def text_fingerprints(words: textops.Words, shingle: int) -> np.ndarray:
     return out
 
 
+def _text_key(text_col: str) -> Column:
+    """Tells texts with one id apart; null and empty texts are the same."""
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): a 64-bit fingerprint as a signed long; null and empty texts have 0."""
-    rows = python_ready(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    """(doc_id, text_key, fp): a 64-bit fingerprint as a signed long; null and empty texts have 0."""
+    rows = python_ready(docs).select(F.col(id_col).cast("long").alias("doc_id"), _text_key(text_col).alias("text_key"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in textops.chunks(batch):
                 fp = text_fingerprints(textops.split_words(texts, lower=True), shingle)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fp.view(np.int64))], ["doc_id", "text_key", "fp"])
 
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, "doc_id long, text_key long, fp long")
 
 
 def _emitter(max_bits: int, buckets: int):
@@ -165,6 +170,19 @@ def links(distinct_fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return emitted.repartition(tasks, "bucket").mapInArrow(_meeter(max_bits), "a long, b long")
 
 
+def _grouped(docs: DataFrame, shingle: int, max_bits: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, text_key, fp, component, component_id) for every row; ``component`` is never null."""
+    prints = materialize(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
+    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
+    members = connected_components(links(distinct.select("fp"), max_bits))
+    labelled = distinct.join(members, distinct.fp == members.node, "left").select(
+        "fp", F.coalesce("component", "fp").alias("component"), "least"
+    )
+    groups = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = materialize(labelled.join(groups, "component").select("fp", "component", "component_id"), "components")
+    return prints.join(named, "fp")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs``.
@@ -176,15 +194,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int
     if a component has only null ids). Rows repeated are judged each. An empty
     table gives an empty result; extra columns are ignored.
     """
-    prints = materialize(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    members = connected_components(links(distinct.select("fp"), max_bits))
-    labelled = distinct.join(members, distinct.fp == members.node, "left").select(
-        "fp", F.coalesce("component", "fp").alias("component"), "least"
-    )
-    groups = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = materialize(labelled.join(groups, "component").select("fp", "component_id"), "components")
-    return prints.join(named, "fp").select(
+    return _grouped(docs, shingle, max_bits, id_col, text_col).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
@@ -193,8 +203,20 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_
              text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each component (the one with its smallest id), all columns as they were.
 
-    Documents without an id stay only if their whole component has none.
+    A document without an id stays only if its whole component has none. Of a
+    component's texts with the same id one stays: the one with the smallest hash;
+    of rows equal in id and text any one.
     """
-    found = near_duplicates(docs, shingle, max_bits, id_col, text_col)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs[id_col].cast("long").eqNullSafe(kept["_kept"]), "left_semi")
+    found = _grouped(docs, shingle, max_bits, id_col, text_col).groupBy("component", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("rows"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "rows")).alias("k")
+    kept = materialize(
+        found.groupBy("component").agg(least).select(F.col("k.doc_id").alias("_kept"), F.col("k.text_key").alias("_kept_text"), F.col("k.rows").alias("_rows")),
+        "kept",
+    )
+    same = docs[id_col].cast("long").eqNullSafe(F.col("_kept")) & (_text_key(text_col) == F.col("_kept_text"))
+    out = docs.join(kept.filter("_rows = 1"), same, "left_semi")
+    repeated = kept.filter("_rows > 1")
+    if repeated.isEmpty():
+        return out
+    keyed = docs.join(repeated, same).dropDuplicates(["_kept", "_kept_text"])
+    return out.union(keyed.select(*docs.columns))

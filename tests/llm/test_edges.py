@@ -70,6 +70,16 @@ def test_simhash_dedup(docs, none):
     assert got(simhash_dedup.near_duplicates(none)) == [] and got(simhash_dedup.keep_one(none)) == []
 
 
+def test_simhash_keeps_one_row_of_each_component(spark, docs):
+    assert [r["text"] for r in got(simhash_dedup.keep_one(docs)) if r["doc_id"] is None] == ["nothing else like it here"]
+    rows = [(None, "alpha beta gamma delta"), (None, "ALPHA beta gamma delta"), (None, "one two three four"), (4, "ONE two three four"),
+            (5, "red green blue white"), (5, "one TWO three four"), (6, "sun moon star sky"), (6, "SUN moon star sky"), (6, "SUN moon star sky"),
+            (9, "oak elm ash yew"), (9, "oak elm ash yew")]
+    kept = got(simhash_dedup.keep_one(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert sorted((r["doc_id"] or 0, r["text"].lower()) for r in kept) == [
+        (0, "alpha beta gamma delta"), (4, "one two three four"), (5, "red green blue white"), (6, "sun moon star sky"), (9, "oak elm ash yew")]
+
+
 @pytest.mark.parametrize("bits", [0, 1, 2, 3])
 def test_simhash_links_connect_as_all_pairs_do(spark, bits):
     import numpy as np
