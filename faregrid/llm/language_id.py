@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faregrid.llm import textops
-from faregrid.llm.common import ascii_lower, fold, materialize, python_ready
+from faregrid.llm.common import ascii_lower, materialize, python_ready
 
 GRAM_BITS = 14
 MAX_LANGUAGES = 200
@@ -168,14 +168,14 @@ def page_texts(pages: DataFrame) -> DataFrame:
     )
 
 
-def identify_tables(documents: DataFrame, pages: DataFrame, parts: int = 10) -> DataFrame:
+def identify_tables(documents: DataFrame, pages: DataFrame, held_out: Column | None = None) -> DataFrame:
     """(doc_id, page_id, lang, confidence, text_lang) for every document and every page (the other id is null).
 
-    Letters are learned from documents with a ``lang``, but for those whose
-    crc32(doc_id) modulo ``parts`` is 0. A document has no markup and no address; its
+    Letters are learned from all documents with a ``lang``, but for those for which
+    ``held_out`` is true (to measure accuracy on them). A document has no markup and no address; its
     source stands for the host.
     """
-    names, table = fit_text(documents.filter(F.coalesce(fold("doc_id", parts) != 0, F.lit(True))))
+    names, table = fit_text(documents if held_out is None else documents.filter(~F.coalesce(held_out, F.lit(False))))
     none = F.lit(None).cast("string")
     docs = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.lit(None).cast("long").alias("page_id"), F.concat(F.lit("source:"), F.col("source")).alias("host"),

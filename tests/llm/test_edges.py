@@ -253,6 +253,17 @@ def test_language_id(docs, none, spark):
     assert got(language_id.identify_tables(none, pages.limit(0))) == []
 
 
+def test_language_id_learns_from_all_labelled_rows(spark, none):
+    texts = [("de", "der Hund und die Katze schlafen noch"), ("en", "the dog and the cat are asleep")] * 40
+    # only documents that a fold by ten would leave out have a label
+    held = spark.range(2000).select(F.col("id").alias("doc_id")).filter(fold("doc_id", 10) == 0).limit(80).collect()
+    few = spark.createDataFrame([(r["doc_id"], text, lang, "a") for r, (lang, text) in zip(held, texts)], "doc_id long, text string, lang string, source string")
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    said = {r["doc_id"]: r["text_lang"] for r in got(language_id.identify_tables(few, pages))}
+    assert said == {r["doc_id"]: lang for r, (lang, _) in zip(held, texts)}
+    assert {r["lang"] for r in got(language_id.identify_tables(few, pages, held_out=fold("doc_id", 10) == 0))} == {None}
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(200)] + [(300 + i, 299) for i in range(1, 50)] + [(7, 7), (None, 3), (500, 501), (500, 501)]
     found = {r["node"]: r["component"] for r in components.connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}

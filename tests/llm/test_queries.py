@@ -97,6 +97,14 @@ def test_language_id(docs, result):
     assert sum(paged[i] == x for i, x in declared.items()) / len(declared) > 0.9
 
 
+def test_language_id_of_documents_left_out(spark, docs):
+    table = lambda name: queries.table(spark, SF, name)
+    rows = queries.language_id.identify_tables(table("documents"), table("pages"), held_out=queries.fold("doc_id", 10) == 0).collect()
+    said = {r["doc_id"]: r["lang"] for r in rows if r["doc_id"] is not None}
+    held = [d for d in docs if crc(d["doc_id"], 10) == 0 and len(d["text"]) > 40]
+    assert sum(said[d["doc_id"]] == d["lang"] for d in held) / len(held) > 0.95
+
+
 def test_packing(docs, result):
     from tokenizers import Tokenizer
 
