@@ -79,9 +79,110 @@ SELECT w.doc_id, len(words) AS n_words, coalesce(n, 0) AS n_removed, coalesce(h,
 FROM w LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+
+def _license_values() -> tuple[str, str]:
+    """VALUES rows of the template k-grams (no, k, position, words) and of the templates (no, label, base, share, slack, words)."""
+    import re
+
+    from faregrid.llm.license_scan import GRAM_WORDS, SLACK, TEMPLATES
+
+    grams, facts = [], []
+    for no, t in enumerate(TEMPLATES):
+        words = re.findall("[a-z0-9]+", t.text.lower())
+        k = min(GRAM_WORDS, len(words))
+        grams += [f"({no}, {k}, {i}, '{' '.join(words[i:i + k])}')" for i in range(len(words) - k + 1)]
+        facts.append(f"({no}, '{t.label}', {t.base}, {t.share}, {0 if t.share >= 1 else SLACK}, {len(words)})")
+    return ", ".join(grams), ", ".join(facts)
+
+
+_GRAMS, _FACTS = _license_values()
+
+OP11 = rf"""
+WITH grams(no, k, tpos, gram) AS (VALUES {_GRAMS}), facts(no, label, base, needed, slack, m) AS (VALUES {_FACTS}),
+t AS (SELECT row_number() OVER () AS r, doc_id,
+      regexp_extract_all({_ASCII_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+flat AS (SELECT r, unnest(range(len(w))) AS pos, unnest(w) AS word FROM t),
+runs AS (SELECT r, pos, word, lead(word, 1) OVER o AS w2, lead(word, 2) OVER o AS w3, lead(word, 3) OVER o AS w4 FROM flat WINDOW o AS (PARTITION BY r ORDER BY pos)),
+spelled AS (SELECT r, pos, 1 AS k, word AS gram FROM runs UNION ALL SELECT r, pos, 2, word || ' ' || w2 FROM runs
+            UNION ALL SELECT r, pos, 3, word || ' ' || w2 || ' ' || w3 FROM runs UNION ALL SELECT r, pos, 4, word || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM runs),
+hits AS (SELECT r, no, k, tpos, pos, pos - tpos AS diagonal FROM spelled JOIN grams USING (k, gram)),
+marked AS (SELECT r, no, diagonal, coalesce(CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY r, no ORDER BY diagonal) > slack THEN 1 ELSE 0 END, 1) AS apart
+           FROM (SELECT DISTINCT r, no, diagonal FROM hits) JOIN facts USING (no)),
+spans AS (SELECT r, no, diagonal, sum(apart) OVER (PARTITION BY r, no ORDER BY diagonal) AS span FROM marked),
+ends AS (SELECT r, no, span, min(pos) AS first, max(pos + k) - min(pos) AS words FROM hits JOIN spans USING (r, no, diagonal) GROUP BY r, no, span),
+covered AS (SELECT r, no, span, count(DISTINCT p) AS n
+            FROM (SELECT r, no, span, unnest(range(tpos, tpos + k)) AS p FROM hits JOIN spans USING (r, no, diagonal)) GROUP BY r, no, span),
+found AS (SELECT r, label, base, first, n / greatest(m, words) AS share FROM ends JOIN covered USING (r, no, span) JOIN facts USING (no)
+          WHERE n / greatest(m, words) >= needed),
+by_text AS (SELECT r, count(*) FILTER (base) AS n_base, min(first) FILTER (base) AS first_word, max(first) FILTER (base) AS last_word,
+            string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+            FROM found GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+       coalesce(labels, '') AS labels, coalesce(score, 0) AS score
+FROM t LEFT JOIN by_text USING (r)
+"""
+
+
+def _step(state: int, after: dict[str, int]) -> str:
+    """Cheapest completions of a turn read in a state of ``(s?(ua)+)?`` (0 start, 1 after s, 2 after u, 3 after a), no insert first."""
+    options = [f"{{c: s{state}.c + 2, a: 'D' || s{state}.a}}"]
+    for letter, to in after.items():
+        options.append(f"{{c: CASE WHEN fault IN ('blank', 'duplicate') OR initial <> '{letter}' THEN 1000000 ELSE s{to}.c + paid END, a: 'K' || s{to}.a}}")
+        if letter != "s":
+            options.append(f"{{c: CASE WHEN fault IN ('blank', 'duplicate') THEN 1000000 ELSE s{to}.c + paid + 1 END, a: 'R' || s{to}.a}}")
+    return f"list_min([{', '.join(options)}])"
+
+
+def _inserts(state: int, after: dict[str, int], then: int) -> str:
+    """The same with up to two inserts first: more never pay."""
+    one = after.get("u", after.get("a"))
+    return f"list_min([g{state}, {{c: g{one}.c + 5, a: 'I' || g{one}.a}}, {{c: g{then}.c + 10, a: 'II' || g{then}.a}}])"
+
+
+_GRAMMAR = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}
+_THEN = {0: 3, 1: 3, 2: 2, 3: 3}  # the state after two inserts
+_WHITE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+# Suffix by suffix over the states of the grammar, not by target lengths.
+OP12 = f"""
+WITH RECURSIVE
+crc AS (SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+          list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT) AS b FROM conversations),
+kinds AS (SELECT keyed.* EXCLUDE (b), xor(list_reduce(list_concat([4294967295], b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 20 AS kind FROM keyed, crc),
+damaged AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+            CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM kinds WHERE kind <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, left(role, 1) AS initial, rtrim(text, {_WHITE}) AS body FROM damaged),
+judged AS (SELECT *, coalesce(lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au'), false) AS bad,
+           CASE WHEN body = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+           WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM placed),
+rows_of AS (SELECT *, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS paid FROM judged),
+facts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+          count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (bad) AS illegal, count(*) AS n
+          FROM rows_of GROUP BY conv_id),
+f(conv_id, i, s0, s1, s2, s3) AS (
+  SELECT conv_id, n + 1, {{c: 0, a: ''}}, {{c: 10, a: 'II'}}, {{c: 5, a: 'I'}}, {{c: 0, a: ''}} FROM facts
+  UNION ALL
+  SELECT conv_id, i, {', '.join(_inserts(s, a, _THEN[s]) for s, a in _GRAMMAR.items())}
+  FROM (SELECT f.conv_id, r.i, {', '.join(f'{_step(s, a)} AS g{s}' for s, a in _GRAMMAR.items())}
+        FROM f JOIN rows_of r ON r.conv_id IS NOT DISTINCT FROM f.conv_id AND r.i = f.i - 1)),
+audits AS (SELECT conv_id, s0.c AS cost, s0.a AS audit FROM f WHERE i = 1),
+letters AS (SELECT conv_id, unnest(range(1, length(audit) + 1)) AS k, unnest(string_split(audit, '')) AS e FROM audits WHERE audit <> ''),
+puts AS (SELECT conv_id, k, e, count(*) FILTER (e <> 'I') OVER (PARTITION BY conv_id ORDER BY k) AS i,
+            count(*) FILTER (e <> 'D') OVER (PARTITION BY conv_id ORDER BY k DESC) AS ahead FROM letters),
+mended AS (SELECT p.conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN ahead % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN e = 'I' THEN '' ELSE text END,
+           chr(10) ORDER BY k) AS body FROM puts p JOIN rows_of r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.i = greatest(p.i, 1) WHERE e <> 'D' GROUP BY p.conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN facts ON facts.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN audits ON audits.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN mended ON mended.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
 ORACLES: dict[str, str] = {
     "op2_url_filters": OP2,
     "op5_exact_dedup": OP5,
     "op8_embedding_dedup": OP8,
     "op9_substring_dedup": OP9,
+    "op11_license_scan": OP11,
+    "op12_turn_repair": OP12,
 }

@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faregrid.llm import embedding_dedup, exact_dedup, language_id, lm, mixing, packing, simhash_dedup, substring_dedup, toxicity, url_filter
+from faregrid.llm import (embedding_dedup, exact_dedup, language_id, license_scan, lm, mixing, packing, simhash_dedup, substring_dedup, token_alignment,
+                          toxicity, turn_repair, url_filter)
 from faregrid.llm.common import fold
 from faregrid.llm.oracles import ORACLES  # noqa: F401
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
+PIECE_TOKENIZER = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,8 +79,21 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.digest(license_scan.scan(table(spark, sf_dir, "documents")))
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return turn_repair.repair_all(turns, turn_repair.damage(turns))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_and_score(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_TOKENIZER), tokenizer_path(PIECE_TOKENIZER))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_toxicity, op2_url_filters, op3_language_id, op4_best_fit_packing, op5_exact_dedup, op6_mixing, op7_lm_scoring,
-              op8_embedding_dedup, op9_substring_dedup, op10_simhash_dedup)
+              op8_embedding_dedup, op9_substring_dedup, op10_simhash_dedup, op11_license_scan, op12_turn_repair, op13_token_alignment)
 }
