@@ -12,6 +12,11 @@ Tokenizer A is a byte-level BPE (``tokenizers``), B a piece model with byte fall
 4. Ends common to both sides cut the tokens into groups. Every stretch between two
    neighbouring ends of either side lies in one A and one B token: these pairs are the links.
 
+Neither side has a token that reaches over a single space between two other characters: A's pattern
+starts anew there, and B's pieces hold spaces at their beginning only (checked when the model
+is read). So texts are cut there into units, and a unit is encoded once while a bounded cache of
+recent units holds it; units that are new are encoded together, as one text.
+
 Links are counted over the corpus by Spark. Each text then looks up its pairs: those that hold at
 least 1/``HOT_PAIRS`` of all links, so at most ``HOT_PAIRS`` of them, are broadcast; all
 others meet their counts in a shuffled join, in which no key has more than that share.
@@ -21,7 +26,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import accumulate, chain
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +36,14 @@ from pyspark.sql import functions as F
 
 from faregrid.llm import textops
 from faregrid.llm.common import materialize, python_ready
+from faregrid.llm.recent import Recent
 
 HOT_PAIRS = 1 << 16
-STRETCH_CHARS = 1 << 16  # longer texts are encoded by stretches
+UNITS = 200_000  # units in one generation of a worker's cache
+UNIT_BYTES = 64  # longer units are not kept
+CHUNK_BYTES = 2 << 20
+GROUP_BYTES = 1 << 16  # new units are encoded in texts of about this size
 _PAIR = 32  # a pair is (A id << 32) | B id
-# A space between two plain letters: no token of A or B reaches over it.
-_CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -49,10 +56,11 @@ class Side:
     """One tokenizer: encodes texts into ids with character spans, and knows the bytes of every id."""
 
     token_bytes: list[bytes]
+    sizes: np.ndarray  # bytes of each token
     may_cut: bool
 
-    def spans(self, texts: list[str]) -> Iterator[tuple[list[int], list[tuple[int, int]]]]:
-        """Ids and character spans in space+text, for each text."""
+    def spans(self, text: str) -> tuple[list[int], np.ndarray]:
+        """Ids, and first character and end of each token in space+text (in turn)."""
         raise NotImplementedError
 
 
@@ -68,11 +76,13 @@ class ByteSide(Side):
         alphabet = _byte_alphabet()
         entries = [self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size(True))]
         self.token_bytes = [bytes(alphabet[c] for c in e) if all(c in alphabet for c in e) else e.encode() for e in (e or "" for e in entries)]
+        self.sizes = np.array([len(t) for t in self.token_bytes])
         self.may_cut = True  # the pattern never matches over a space between letters
 
-    def spans(self, texts):
-        for e in self.tokenizer.encode_batch([" " + t for t in texts], add_special_tokens=False):
-            yield e.ids, e.offsets
+    def spans(self, text):
+        found = self.tokenizer.encode(" " + text, add_special_tokens=False)
+        ids = found.ids
+        return ids, np.fromiter(chain.from_iterable(found.offsets), np.int64, 2 * len(ids))
 
 
 class PieceSide(Side):
@@ -84,16 +94,15 @@ class PieceSide(Side):
         self.token_bytes = [
             bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
+        self.sizes = np.array([len(t) for t in self.token_bytes])
         self.may_cut = not any(re.search("[^▁]▁", p) for p in pieces)  # spaces only begin a piece
 
-    def spans(self, texts):
-        for t in texts:
-            found = self.model.encode(t, return_type="offset_mapping")
-            # places in space+text; the first token begins with the space
-            spans = [(a + 1, b + 1) for a, b in found["offsets"]]
-            if spans:
-                spans[0] = (0, spans[0][1])
-            yield found["ids"], spans
+    def spans(self, text):
+        found = self.model.encode(text, return_type="offset_mapping")
+        ids = found["ids"]
+        flat = np.fromiter(chain.from_iterable(found["offsets"]), np.int64, 2 * len(ids)) + 1
+        flat[:1] = 0  # the first token begins with the space
+        return ids, flat
 
 
 def token_ends(ids: np.ndarray, begin: np.ndarray, end: np.ndarray, size: np.ndarray, char_bytes: np.ndarray) -> np.ndarray:
@@ -122,114 +131,201 @@ def _joined(side: Side, ids: list[int]) -> bytes:
     return b"".join(map(side.token_bytes.__getitem__, ids))
 
 
-def _encode(side: Side, stretches: list[str], char_bytes: np.ndarray, size_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, bytes]:
-    """Ids, ends and joined bytes of a text's stretches, which follow each other with one space before each."""
-    ids: list[int] = []
-    begin, end, before = [], [], 0
-    for text, (own, spans) in zip(stretches, side.spans(stretches)):
-        flat = np.fromiter(chain.from_iterable(spans), np.int64, 2 * len(own)) + before
-        begin.append(flat[::2]), end.append(flat[1::2])
-        ids += own
-        before += len(text) + 1
+def _encode(side: Side, text: str, char_bytes: np.ndarray, size_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """Ids, ends and joined bytes of a text's tokens."""
+    ids, flat = side.spans(text)
     codes = np.array(ids, np.int64)
-    none = np.zeros(0, np.int64)
-    begin, end = (np.concatenate(x) if x else none for x in (begin, end))
-    return codes, token_ends(codes, begin, end, size_of[codes], char_bytes), _joined(side, ids)
-
-
-def stretches_of(text: str, limit: int) -> list[str]:
-    """``text`` cut at spaces between two letters (the space is left out) into parts of about ``limit`` characters."""
-    out, start = [], 0
-    while len(text) - start > limit:
-        cut = _CUT.search(text, start + limit)
-        if not cut:
-            break
-        out.append(text[start : cut.start()])
-        start = cut.end()
-    return [*out, text[start:]]
+    return codes, token_ends(codes, flat[::2], flat[1::2], size_of[codes], char_bytes), b"".join(map(side.token_bytes.__getitem__, ids))
 
 
-def align_text(text: str, a: Side, b: Side, sizes: tuple[np.ndarray, np.ndarray], limit: int = STRETCH_CHARS):
-    """(A ids, A ends, B ids, B ends) of a text, or None if a side's bytes are not those of the text."""
+def align_text(text: str, a: Side, b: Side):
+    """(A ids, A ends, B ids, B ends) of a text, or None if a side's bytes are not those of space+text."""
     raw = b" " + text.encode()
     lead = (np.frombuffer(raw, np.uint8) & 0xC0) != 0x80
     char_bytes = np.append(np.flatnonzero(lead), len(raw))
-    parts = stretches_of(text, limit) if a.may_cut and b.may_cut else [text]
-    a_ids, a_ends, a_bytes = _encode(a, parts, char_bytes, sizes[0])
-    b_ids, b_ends, b_bytes = _encode(b, parts, char_bytes, sizes[1])
+    a_ids, a_ends, a_bytes = _encode(a, text, char_bytes, a.sizes)
+    b_ids, b_ends, b_bytes = _encode(b, text, char_bytes, b.sizes)
     return (a_ids, a_ends, b_ids, b_ends) if a_bytes == raw and b_bytes == raw else None
 
 
-def group_text(a_ids: np.ndarray, b_ids: np.ndarray, a_group: np.ndarray, b_group: np.ndarray, names: tuple[list[str], ...]) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the ids of both sides, group by group."""
-    n_a, n_b = len(a_ids), len(b_ids)
-    a_last = np.append(a_group[1:] != a_group[:-1], True)
-    b_last = np.append(b_group[1:] != b_group[:-1], True)
+def unit_starts(raw: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
+    """Where units begin in texts with a space before each: at the texts, and at single spaces between two other characters.
+
+    Beyond ASCII, a character that shares its first bytes with a white-space character counts as one: the unit goes on.
+    """
+    at = np.flatnonzero(raw[1:-1] == 32) + 1
+    padded = np.concatenate([np.full(3, 32, np.uint8), raw, np.full(3, 32, np.uint8)])
+    p3, p2, p1, n1, n2 = (padded[at + 3 + d] for d in (-3, -2, -1, 1, 2))
+    wide = lambda x, y: ((x >= 0xE1) & (x <= 0xE3)) & ((y == 0x80) | (y == 0x81) | (y == 0x9A))
+    before = (p1 > 32) & ~((p1 >= 0x80) & ((p2 == 0xC2) | wide(p3, p2)))
+    after = (n1 > 32) & (n1 != 0xC2) & ~wide(n1, n2)
+    begins = np.zeros(len(raw), bool)
+    begins[at[before & after]] = True
+    begins[text_starts] = True
+    return np.flatnonzero(begins)
+
+
+class Aligner:
+    """Both sides, and the recent units with their tokens as (id, end) pairs."""
+
+    def __init__(self, a: Side, b: Side, units: int = UNITS):
+        self.a, self.b = a, b
+        self.cut = a.may_cut and b.may_cut
+        self.recent = Recent(units)
+        wide = max(len(a.token_bytes), len(b.token_bytes))
+        self.names = [f"{i}{sep}" for sep in ",|;" for i in range(wide)]
+
+    def _alone(self, unit: bytes) -> tuple[bytes, bytes] | None:
+        found = align_text(unit[1:].decode(), self.a, self.b)
+        return found and tuple(np.stack(found[i : i + 2], 1).astype("<i4").tobytes() for i in (0, 2))
+
+    def _together(self, units: list[bytes]) -> list[tuple[bytes, bytes] | None]:
+        """Tokens of units encoded as one text; one by one where the bytes do not come back."""
+        found = align_text(b"".join(units)[1:].decode(), self.a, self.b) if len(units) > 1 else None
+        if found is None:
+            return [self._alone(u) for u in units]
+        stops = np.cumsum([len(u) for u in units])
+        sides = []
+        for ids, ends in (found[:2], found[2:]):
+            last = np.searchsorted(ends, stops, "right")
+            if not np.array_equal(ends[last - 1], stops):
+                raise ValueError("a token reaches over a space between two characters")
+            own = np.searchsorted(stops, ends)  # unit of each token
+            packed = np.stack([ids, ends - np.concatenate([[0], stops[:-1]])[own]], 1).astype("<i4").tobytes()
+            edge = [0, *(last * 8).tolist()]
+            sides.append([packed[x:y] for x, y in zip(edge, edge[1:])])
+        return list(zip(*sides))
+
+    def tokens_of(self, units: list[bytes]) -> list[tuple[bytes, bytes]]:
+        """For each unit its A and B tokens as packed (id, end) pairs, both empty if its bytes do not come back."""
+        out = [self.recent.get(u) for u in units]
+        new = []
+        for i, v in enumerate(out):
+            if v is None:
+                inner = units[i][1:].decode()
+                if len(inner.strip()) == len(inner) > 0:
+                    new.append(i)
+                else:  # white space at its ends would run into its neighbours'
+                    out[i] = self._keep(units[i], self._alone(units[i]))
+        at = 0
+        while at < len(new):
+            stop, size = at, 0
+            while stop < len(new) and (stop == at or size + len(units[new[stop]]) <= GROUP_BYTES):
+                size += len(units[new[stop]])
+                stop += 1
+            for i, v in zip(new[at:stop], self._together([units[i] for i in new[at:stop]])):
+                out[i] = self._keep(units[i], v)
+            at = stop
+        return out
+
+    def _keep(self, unit: bytes, tokens: tuple[bytes, bytes] | None) -> tuple[bytes, bytes]:
+        value = tokens or (b"", b"")
+        if len(unit) <= UNIT_BYTES:
+            self.recent.put(unit, value)
+        return value
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, ...]:
+        """A ids, A ends, B ids, B ends and text ends, for texts laid one after the other with a space before each.
+
+        Empty texts, and those whose bytes do not come back, have no tokens.
+        """
+        raw = np.frombuffer(b"".join(b" " + t for t in texts), np.uint8)
+        size = np.array([len(t) + 1 for t in texts])
+        stops = np.cumsum(size)
+        starts = unit_starts(raw, stops - size) if self.cut else stops - size
+        text_of = np.searchsorted(stops, starts, "right")
+        offsets = np.append(starts, len(raw))
+        column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(raw)])
+        coded = column.dictionary_encode()
+        found = self.tokens_of(coded.dictionary.to_pylist())
+        codes = coded.indices.to_numpy()
+        bad = np.fromiter((not v[0] for v in found), bool, len(found))
+        gone = np.bincount(text_of, bad[codes], len(texts)) > 0
+        gone |= size == 1
+        out = []
+        for k in (0, 1):
+            count = np.fromiter((len(v[k]) // 8 for v in found), np.int64, len(found))
+            flat = np.frombuffer(b"".join(v[k] for v in found), "<i4").reshape(-1, 2)
+            begin = np.cumsum(count) - count
+            n = np.where(gone[text_of], 0, count[codes])
+            at = np.repeat(begin[codes] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            out += [flat[at, 0].astype(np.int64), flat[at, 1] + np.repeat(starts, n)]
+        return *out, stops
+
+
+def group_codes(a_ids: np.ndarray, b_ids: np.ndarray, a_group: np.ndarray, b_group: np.ndarray, groups: int, size: int) -> np.ndarray:
+    """Ids of both sides, group by group: plus ``size`` for the last A id of a group, twice that for the last B id."""
+    upto_a, upto_b = (np.cumsum(np.bincount(g, minlength=groups)) for g in (a_group, b_group))  # tokens up to each group
+    code = np.empty(len(a_ids) + len(b_ids), np.int64)
+    place_a, place_b = np.arange(len(a_ids)), np.arange(len(b_ids))
+    last_a, last_b = place_a + 1 == upto_a[a_group], place_b + 1 == upto_b[b_group]
+    before_b = np.append(0, upto_b)
     # A tokens stand behind the B tokens of earlier groups, B tokens behind the A tokens up to their own group
-    a_at = np.arange(n_a) + np.searchsorted(b_group, a_group)
-    b_at = np.arange(n_b) + np.searchsorted(a_group, b_group, "right")
-    table, size = names, len(names) // 3
-    code = np.empty(n_a + n_b, np.int64)
-    code[a_at] = a_ids + size * np.where(a_last, 1, 0)
-    code[b_at] = b_ids + size * np.where(b_last, 2, 0)
-    return "".join(map(table.__getitem__, code.tolist()))[:-1]
+    code[place_a + before_b[a_group]] = a_ids + size * last_a
+    code[place_b + upto_a[b_group]] = b_ids + 2 * size * last_b
+    return code
 
 
-_LOADED: dict[tuple[str, str], tuple[Side, Side]] = {}  # one pair per Python worker
+_LOADED: dict[tuple[str, str], Aligner] = {}  # one per Python worker and pair of models
 
 
-def sides(a_path: str, b_path: str) -> tuple[Side, Side]:
+def aligner(a_path: str, b_path: str) -> Aligner:
     if (a_path, b_path) not in _LOADED:
-        _LOADED[a_path, b_path] = ByteSide(a_path), PieceSide(b_path)
+        _LOADED[a_path, b_path] = Aligner(ByteSide(a_path), PieceSide(b_path))
     return _LOADED[a_path, b_path]
 
 
-def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = STRETCH_CHARS) -> DataFrame:
+def _ragged(values: np.ndarray, first: np.ndarray) -> pa.Array:
+    return pa.LargeListArray.from_arrays(first.astype(np.int64), values).cast(pa.list_(pa.int64()))
+
+
+def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: row, id, n_a, n_b, n_groups, n_links, groups, group_ends, pairs and times.
 
     ``groups`` is the text ``a1,a2|b1;a3|b2,b3``; ``group_ends`` the byte offsets in space+text where both sides end;
     ``pairs`` the distinct linked pairs (A id << 32 | B id) and ``times`` how many links each has. Null and empty texts,
     and those whose bytes a side does not give back (such as texts with U+2581), have zeros, an empty text and empty
-    lists. ``row`` numbers the rows within this table, so repeated and null ids stay apart. An empty table gives an
-    empty result; extra columns are ignored, whatever their names. The table is written once: texts are encoded once.
-    Texts over ``limit`` characters are encoded by stretches, which gives the same tokens.
+    lists. ``row`` numbers the rows as they are read, so repeated and null ids stay apart once the table is written. An
+    empty table gives an empty result; extra columns are ignored, whatever their names.
     """
     rows = python_ready(docs).select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = sides(a_path, b_path)
-        sizes = tuple(np.fromiter(map(len, s.token_bytes), np.int64, len(s.token_bytes)) for s in (a, b))
-        wide = max(len(a.token_bytes), len(b.token_bytes))
-        names = [f"{i}{sep}" for sep in ",|;" for i in range(wide)]
+        both = aligner(a_path, b_path)
+        size, n_b = len(both.names) // 3, len(both.b.token_bytes)
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for part, texts in textops.chunks(batch):
-                cols: list[list] = [[] for _ in range(8)]
-                for raw in texts:
-                    found = align_text(raw.decode(), a, b, sizes, limit) if raw else None
-                    if found is None:
-                        values = (0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
-                    else:
-                        a_ids, a_ends, b_ids, b_ends = found
-                        common = np.intersect1d(a_ends, b_ends, assume_unique=False)
-                        cuts = np.union1d(a_ends, b_ends)
-                        linked = (a_ids[np.searchsorted(a_ends, cuts)] << _PAIR) | b_ids[np.searchsorted(b_ends, cuts)]
-                        pairs, times = textops.unique_counts(linked)
-                        text = group_text(a_ids, b_ids, np.searchsorted(common, a_ends), np.searchsorted(common, b_ends), names)
-                        values = (len(a_ids), len(b_ids), len(common), len(cuts), text, common, pairs, times)
-                    for c, v in zip(cols, values):
-                        c.append(v)
+            for part, texts in textops.chunks(batch, limit=CHUNK_BYTES):
                 n = len(texts)
-                lists = [pa.LargeListArray.from_arrays(np.array([0, *accumulate(map(len, c))], np.int64), np.concatenate(c)).cast(pa.list_(pa.int64())) for c in cols[5:]]
+                a_ids, a_ends, b_ids, b_ends, stops = both.encode(texts)
+                # which bytes end a token, and how many tokens end up to each byte
+                is_a, is_b = np.zeros(stops[-1] + 1, bool), np.zeros(stops[-1] + 1, bool)
+                is_a[a_ends], is_b[b_ends] = True, True
+                common, cuts = np.flatnonzero(is_a & is_b), np.flatnonzero(is_a | is_b)
+                upto_a, upto_b, upto_common = (np.cumsum(x, dtype=np.int32) for x in (is_a, is_b, is_a & is_b))
+                first_a, first_b, first_group = (np.append(0, x[stops]) for x in (upto_a, upto_b, upto_common))
+                first_cut = np.append(0, np.searchsorted(cuts, stops, "right"))
+                # distinct pairs of each text, by one sort over the texts
+                text_of = np.repeat(np.arange(n), np.diff(first_cut))
+                key = (text_of * size + a_ids[upto_a[cuts - 1]]) * n_b + b_ids[upto_b[cuts - 1]]
+                key, times = textops.unique_counts(key)
+                first_pair = np.searchsorted(key, np.arange(n + 1) * size * n_b)
+                pairs = (key // n_b % size << _PAIR) | key % n_b
+                code = group_codes(a_ids, b_ids, upto_common[a_ends - 1], upto_common[b_ends - 1], first_group[-1], size)
+                spelled = list(map(both.names.__getitem__, code.tolist()))
+                first = (first_a + first_b).tolist()
+                groups = ["".join(spelled[x:y])[:-1] for x, y in zip(first, first[1:])]
+                base = np.repeat(np.concatenate([[0], stops[:-1]]), np.diff(first_group))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(row, row + n)), part.column(0), *[pa.array(c, pa.int64()) for c in cols[:4]], pa.array(cols[4], pa.string()), *lists],
+                    [pa.array(np.arange(row, row + n)), part.column(0), *[pa.array(np.diff(f), pa.int64()) for f in (first_a, first_b, first_group, first_cut)],
+                     pa.array(groups, pa.string()), _ragged(common - base, first_group), _ragged(pairs, first_pair), _ragged(times, first_pair)],
                     ["row", "id", "n_a", "n_b", "n_groups", "n_links", "groups", "group_ends", "pairs", "times"],
                 )
                 row += n
 
     schema = f"row long, id {kind}, n_a long, n_b long, n_groups long, n_links long, groups string, group_ends array<long>, pairs array<long>, times array<long>"
-    return materialize(rows.mapInArrow(run, schema), "aligned")
+    return rows.mapInArrow(run, schema)
 
 
 def pair_counts(aligned: DataFrame) -> DataFrame:
@@ -259,13 +355,13 @@ def score(aligned: DataFrame, counts: DataFrame, hot_pairs: int = HOT_PAIRS) ->
 def align_and_score(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) for every row; see ``align`` and ``score``.
 
-    Rows without tokens have zeros and an empty digest.
+    Rows without tokens have zeros and an empty digest. Digests and pairs are written once, so texts are encoded once.
     """
-    aligned = align(docs, a_path, b_path, id_col, text_col)
     digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise(F.lit(""))
+    found = align(docs, a_path, b_path, id_col, text_col).select("row", "id", "n_a", "n_b", "n_groups", "n_links", digest.alias("groups_sha256"), "pairs", "times")
+    aligned = materialize(found, "aligned", compression="zstd")
     scored = score(aligned, pair_counts(aligned)).withColumnRenamed("row", "_row")
-    plain = aligned.select("row", "id", "n_a", "n_b", "n_groups", "n_links", digest.alias("groups_sha256"))
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
-    return plain.join(scored, F.col("row") == F.col("_row"), "left").select(
+    return aligned.drop("pairs", "times").join(scored, F.col("row") == F.col("_row"), "left").select(
         F.col("id").alias(id_col), "n_a", "n_b", "n_groups", "n_links", zero("n_best"), zero("count_sum"), "groups_sha256"
     )

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from faregrid.llm import license_scan, queries, token_alignment, turn_repair
+from faregrid.llm.common import materialize
 from faregrid.llm.queries import BYTE_TOKENIZER, PIECE_TOKENIZER, tokenizer_path
 
 SF = "/root/testdata/sf0.001"
@@ -349,24 +350,30 @@ def test_alignment_edges(spark, models):
     assert got(token_alignment.align_and_score(docs.limit(0), *paths)) == []
 
 
-def test_alignment_by_stretches_gives_the_same_tokens(models):
-    a, b = token_alignment.sides(tokenizer_path(BYTE_TOKENIZER), tokenizer_path(PIECE_TOKENIZER))
-    import numpy as np
-
-    sizes = tuple(np.array([len(t) for t in s.token_bytes]) for s in (a, b))
+def test_units_give_the_tokens_of_whole_texts(models):
+    a, b = token_alignment.ByteSide(tokenizer_path(BYTE_TOKENIZER)), token_alignment.PieceSide(tokenizer_path(PIECE_TOKENIZER))
     assert a.may_cut and b.may_cut
-    texts = [d["text"] for d in pq.read_table(f"{SF}/documents.parquet").to_pylist() if d["text"]][:60] + [t for t in TEXTS if t]
-    for text in texts:
-        whole, cut = (token_alignment.align_text(text, a, b, sizes, n) for n in (1 << 30, 40))
-        assert (whole is None) == (cut is None)
-        assert whole is None or all(np.array_equal(x, y) for x, y in zip(whole, cut))
-    assert any(len(token_alignment.stretches_of(t, 40)) > 5 for t in texts)
+    rng = random.Random(2)
+    letters = "ab é日'. 1\n\t\u00a0\u2003\u3000\x1f☃" + " " * 12
+    texts = [d["text"] for d in pq.read_table(f"{SF}/documents.parquet").to_pylist() if d["text"]] + [t for t in TEXTS if t]
+    texts += ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 40))) for _ in range(2000)]
+    both = token_alignment.Aligner(a, b, units=500)  # most units are dropped and come again
+    for at in range(0, len(texts), 100):
+        part = texts[at : at + 100]
+        *found, stops = both.encode([t.encode() for t in part])
+        start = 0
+        for text, stop in zip(part, stops):
+            whole = token_alignment.align_text(text, a, b) or [[]] * 4
+            for k in (0, 2):
+                mine = (found[k + 1] > start) & (found[k + 1] <= stop)
+                assert found[k][mine].tolist() == list(whole[k]) and (found[k + 1][mine] - start).tolist() == list(whole[k + 1]), repr(text)
+            start = stop
 
 
 def test_hot_pairs_change_nothing(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
     paths = tokenizer_path(BYTE_TOKENIZER), tokenizer_path(PIECE_TOKENIZER)
-    aligned = token_alignment.align(docs, *paths)
+    aligned = materialize(token_alignment.align(docs, *paths), "aligned")
     counts = token_alignment.pair_counts(aligned)
     results = [sorted(map(tuple, token_alignment.score(aligned, counts, n).collect())) for n in (1, 100, 1 << 16)]
     assert results[0] == results[1] == results[2] and results[0]
