@@ -5,10 +5,13 @@ Pieces are tokenised and measured where they lie; only the histogram of lengths
 
 1. Large lengths, sorted, are dealt into groups of equal cardinality and rounded up
    to the largest of their group.
-2. Configurations of these few sizes are optimised: of the largest size left, the
-   fullest combination that the remaining counts allow is used as often as it can be.
+2. Configurations of these few sizes are optimised: the linear programme over all
+   configurations (fewest sequences that hold all counts) is solved by column generation, a
+   knapsack over the sizes finding the configuration worth adding. Each is used as often as
+   the whole part of its number says.
 3. Actual lengths take the places of the rounded ones; what rounding gave away is free.
-4. Small lengths go, largest first, to the fullest sequence that has room (best fit).
+4. What is left, the lengths that the fractions stood for and the small ones, goes by its
+   actual length, largest first, to the fullest sequence that has room (best fit).
 
 Equal sequences are held as one class with a count, so the work depends on the
 number of distinct lengths, not of documents. The plan lists for each length which
@@ -19,9 +22,10 @@ from __future__ import annotations
 
 import bisect
 import re
+import struct
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -32,18 +36,19 @@ from pyspark.sql import functions as F
 
 from faregrid.llm import textops
 from faregrid.llm.common import materialize, python_ready
+from faregrid.llm.recent import Recent
 
 CAPACITY = 4096
 END_ID = 1
-GROUPS = 48
-SMALL = 8  # lengths of at most capacity / SMALL are small
-_CACHE_WORDS = 100_000
+# (groups, small): lengths of at most capacity / small are small. Tried in turn until the lower bound is met.
+SCHEMES = ((24, 3), (24, 4), (48, 8), (24, 2))
+_CACHE_WORDS = 150_000  # in each of two generations
 _CHUNK_BYTES = 2 << 20
 _TAIL = re.compile(r"[.,]$")
 
 
 class WordIds:
-    """Ids of white-space-delimited words, with a bounded cache.
+    """Ids of white-space-delimited words, with a bounded cache of them packed in four bytes each.
 
     The tokenizer drops white space and never merges across it, so a text's ids
     are those of its words in turn. A word of letters that normalisation leaves
@@ -60,25 +65,28 @@ class WordIds:
         self.model = self.tokenizer.model
         self.bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.nfc = lambda w: unicodedata.is_normalized("NFC", w)
-        self.cache: dict[str, tuple[int, ...]] = {"": ()}
+        self.cache = Recent(_CACHE_WORDS)
 
     def _plain(self, word: str) -> bool:
         return word.isalpha() and word == word.lower() and self.nfc(word)
 
-    def _encode(self, word: str) -> tuple[int, ...]:
+    def _encode(self, word: str) -> bytes:
         if self._plain(word):
             spelled = word if word.isascii() else self.bytes.pre_tokenize_str(word)[0][0]
-            return tuple(t.id for t in self.model.tokenize(spelled))
+            return struct.pack(f"<{len(found := self.model.tokenize(spelled))}I", *(t.id for t in found))
         if _TAIL.search(word) and self._plain(word[:-1]):
-            return self[word[:-1]] + self[word[-1]]
-        return tuple(self.tokenizer.encode(word, add_special_tokens=False).ids)
+            return self.packed(word[:-1]) + self.packed(word[-1])
+        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def __getitem__(self, word: str) -> tuple[int, ...]:
+        return tuple(np.frombuffer(self.packed(word), "<u4").tolist())
+
+    def packed(self, word: str) -> bytes:
         found = self.cache.get(word)
         if found is None:
-            if len(self.cache) > _CACHE_WORDS:
-                self.cache = {"": ()}
-            found = self.cache[word] = self._encode(word)
+            found = self._encode(word)
+            self.cache.put(word, found)
         return found
 
 
@@ -97,9 +105,9 @@ def text_ids(column: pa.Array, lookup: WordIds) -> tuple[np.ndarray, np.ndarray]
     coded = pc.ascii_lower(words.flatten()).dictionary_encode()
     offsets = words.offsets.to_numpy().astype(np.int64)
     offsets = offsets - offsets[0]
-    known = [lookup[w] for w in coded.dictionary.to_pylist()]
-    size = np.fromiter(map(len, known), np.int64, len(known))
-    flat = np.fromiter((i for ids in known for i in ids), np.uint32, int(size.sum()))
+    known = list(map(lookup.packed, coded.dictionary.to_pylist()))
+    size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+    flat = np.frombuffer(b"".join(known), "<u4")
     begin = np.cumsum(size) - size
     codes = coded.indices.to_numpy()
     n = size[codes]
@@ -160,47 +168,58 @@ def group_sizes(large: Runs, groups: int) -> list[Runs]:
     return out
 
 
-def _fullest(sizes: list[int], counts: list[int], room: int) -> dict[int, int]:
-    """The combination {size index: times} of at most ``counts`` that fills ``room`` best."""
-    made: list[tuple[int, int] | None] = [None] * (room + 1)  # sum: (size index, sum before)
-    reached = 1
-    for i, size in enumerate(sizes):
-        for _ in range(min(counts[i], room // size)):
-            new = (reached << size) & ((1 << (room + 1)) - 1) & ~reached
-            if not new:
-                break
-            reached |= new
-            while new:
-                s = new.bit_length() - 1
-                made[s] = (i, s - size)
-                new ^= 1 << s
-    best, out = reached.bit_length() - 1, defaultdict(int)
-    while best:
-        i, best = made[best]  # type: ignore[misc]
-        out[i] += 1
-    return out
-
-
-def configurations(sizes: list[int], counts: list[int], capacity: int) -> list[tuple[int, dict[int, int]]]:
-    """[(times, {size index: number})] that use up all counts; sizes fall."""
-    counts, out = list(counts), []
-    while any(counts):
-        top = next(i for i, c in enumerate(counts) if c)
-        left = list(counts)
-        left[top] -= 1
-        use = _fullest(sizes, left, capacity - sizes[top])
-        use[top] += 1
-        times = min(counts[i] // n for i, n in use.items())
-        for i, n in use.items():
-            counts[i] -= times * n
-        out.append((times, dict(use)))
-    return out
+def _worthiest(sizes: Sequence[int], worth: np.ndarray, capacity: int) -> tuple[float, list[int]]:
+    """The configuration of greatest worth within the capacity: a knapsack, item by item."""
+    best, made = np.zeros(capacity + 1), []
+    while True:  # each turn allows one more item; the smallest size bounds the turns
+        more, which = best.copy(), np.full(capacity + 1, -1)
+        for i, size in enumerate(sizes):
+            better = best[: capacity + 1 - size] + worth[i] > more[size:] + 1e-12
+            more[size:][better] = (best[: capacity + 1 - size] + worth[i])[better]
+            which[size:][better] = i
+        if (which < 0).all():
+            break
+        best = more
+        made.append(which)
+    at, used = capacity, [0] * len(sizes)
+    for which in reversed(made):
+        if which[at] >= 0:
+            used[which[at]] += 1
+            at -= sizes[which[at]]
+    return float(best[capacity]), used
+
+
+def configurations(sizes: Sequence[int], counts: Sequence[int], capacity: int, rounds: int = 2000) -> list[tuple[float, list[int]]]:
+    """[(times, number of each size)]: the fewest configurations, as real numbers, that hold all counts.
+
+    Revised simplex with column generation; every basis on the way holds all counts, so
+    stopping after ``rounds`` gives more configurations at worst.
+    """
+    n = len(sizes)
+    patterns = [[capacity // size if i == j else 0 for j in range(n)] for i, size in enumerate(sizes)]
+    need = np.array(counts, float)
+    basis = np.array(patterns, float).T
+    for _ in range(rounds if n else 0):
+        inverse = np.linalg.inv(basis)
+        worth, entering = _worthiest(sizes, np.maximum(inverse.sum(0), 0), capacity)
+        if worth <= 1 + 1e-9:
+            break
+        step, times = inverse @ np.array(entering, float), inverse @ need
+        with np.errstate(divide="ignore", invalid="ignore"):
+            ratio = np.where(step > 1e-9, np.maximum(times, 0) / step, np.inf)
+        out = int(np.argmin(ratio))
+        if not np.isfinite(ratio[out]):
+            break
+        patterns[out] = entering
+        basis[:, out] = entering
+    times = np.linalg.solve(basis, need) if n else np.zeros(0)
+    return [(float(t), p) for t, p in zip(times, patterns) if t > 1e-9]
 
 
 def _take(runs: Runs, n: int) -> Runs:
-    """Removes ``n`` items from the end of ``runs``."""
+    """Removes ``n`` items from the end of ``runs`` (fewer if it holds no more)."""
     out: Runs = []
-    while n:
+    while n and runs:
         length, count = runs.pop()
         got = min(count, n)
         out.append((length, got))
@@ -210,7 +229,7 @@ def _take(runs: Runs, n: int) -> Runs:
     return out
 
 
-def pack_lengths(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS, small: int = SMALL) -> list[tuple[int, list[tuple[int, int]]]]:
+def pack_scheme(histogram: dict[int, int], capacity: int, groups: int, small: int) -> list[tuple[int, list[tuple[int, int]]]]:
     """Classes of equal sequences: [(number of sequences, [(length, times)])] that hold every piece once."""
     limit = capacity // small
     classes: list[tuple[int, dict[int, int]]] = [(histogram[capacity], {capacity: 1})] if histogram.get(capacity) else []
@@ -218,9 +237,11 @@ def pack_lengths(histogram: dict[int, int], capacity: int = CAPACITY, groups: in
     grouped = group_sizes(large, groups)
     sizes = [g[0][0] for g in grouped]  # rounded up to the largest of the group
     stock = [list(reversed(g)) for g in grouped]
-    for times, use in configurations(sizes, [sum(c for _, c in g) for g in grouped], capacity):
-        slots = [_take(stock[i], times) for i, n in use.items() for _ in range(n)]
-        while times:
+    for real, use in configurations(sizes, [sum(c for _, c in g) for g in grouped], capacity):
+        times = int(real + 1e-6)
+        slots = [got for i, n in enumerate(use) for _ in range(n) if (got := _take(stock[i], times))]
+        while any(slots):
+            slots = [s for s in slots if s]
             n = min(s[-1][1] for s in slots)
             held: dict[int, int] = defaultdict(int)
             for s in slots:
@@ -229,14 +250,17 @@ def pack_lengths(histogram: dict[int, int], capacity: int = CAPACITY, groups: in
                 if count > n:
                     s.append((length, count - n))
             classes.append((n, dict(held)))
-            times -= n
-    # best fit of the small lengths, for all sequences with the same room at once
+    rest: dict[int, int] = {n: c for n, c in histogram.items() if n <= limit and c}
+    for runs in stock:
+        for length, count in runs:
+            rest[length] = rest.get(length, 0) + count
+    # best fit of what is left, for all sequences with the same room at once
     by_room: dict[int, list[tuple[int, dict[int, int]]]] = defaultdict(list)
     for n, held in classes:
         by_room[capacity - sum(k * v for k, v in held.items())].append((n, held))
     rooms = sorted(by_room)
-    for length in sorted((n for n, c in histogram.items() if n <= limit and c), reverse=True):
-        left = histogram[length]
+    for length in sorted(rest, reverse=True):
+        left = rest[length]
         while left:
             at = bisect.bisect_left(rooms, length)
             if at < len(rooms):
@@ -254,14 +278,26 @@ def pack_lengths(histogram: dict[int, int], capacity: int = CAPACITY, groups: in
             for number, times in parts:
                 if number:
                     more = {**held, length: held.get(length, 0) + times} if times else held
-                    rest = room - times * length
-                    if rest not in by_room:
-                        bisect.insort(rooms, rest)
-                    by_room[rest].append((number, more))
+                    room_left = room - times * length
+                    if room_left not in by_room:
+                        bisect.insort(rooms, room_left)
+                    by_room[room_left].append((number, more))
                     left -= number * times
     return [(n, sorted(held.items(), reverse=True)) for room in sorted(by_room) for n, held in by_room[room]]
 
 
+def pack_lengths(histogram: dict[int, int], capacity: int = CAPACITY, schemes: Sequence[tuple[int, int]] = SCHEMES) -> list[tuple[int, list[tuple[int, int]]]]:
+    """``pack_scheme`` with the scheme of the fewest sequences; none can have fewer than all tokens fill."""
+    least = -(-sum(n * c for n, c in histogram.items()) // capacity)
+    found: list[tuple[int, list[tuple[int, list[tuple[int, int]]]]]] = []
+    for groups, small in schemes:
+        classes = pack_scheme(histogram, capacity, groups, small)
+        found.append((sum(n for n, _ in classes), classes))
+        if found[-1][0] <= least:
+            break
+    return min(found, key=lambda f: f[0])[1]
+
+
 def _places(classes: list[tuple[int, list[tuple[int, int]]]]) -> np.ndarray:
     """Rows (length, first rank, sequences' first number, times, offset), sorted by length and rank."""
     used: dict[int, int] = defaultdict(int)
@@ -276,7 +312,7 @@ def _places(classes: list[tuple[int, list[tuple[int, int]]]]) -> np.ndarray:
     return np.array(sorted(rows), np.int64).reshape(-1, 5)
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, groups: int = GROUPS, id_col: str = "doc_id",
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, schemes: Sequence[tuple[int, int]] = SCHEMES, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset), one row per piece of every row of ``docs``.
 
@@ -288,7 +324,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, groups:
     """
     made = materialize(pieces(docs, tokenizer_path, capacity, id_col, text_col), "pieces")
     histogram = {r["length"]: r["count"] for r in made.groupBy("length").count().collect()}  # at most capacity rows
-    places = _places(pack_lengths(histogram, capacity, groups))
+    places = _places(pack_lengths(histogram, capacity, schemes))
     # rank within the length: pieces of earlier tasks, then the number within the task
     by_task = made.groupBy("length", "task").agg((F.max("nth") + 1).alias("n"))
     earlier = by_task.select(

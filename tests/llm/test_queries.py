@@ -127,7 +127,64 @@ def test_packing(docs, result):
             at += length
         assert at <= 4096
     least = -(-sum(n for _, n, _ in want.values()) // 4096)
-    assert len(sequences) <= least * 1.01 + 1
+    assert len(sequences) == least
+
+
+def best_fit_decreasing(lengths, capacity):
+    import bisect
+
+    rooms, used = [], 0
+    for n in sorted(lengths, reverse=True):
+        at = bisect.bisect_left(rooms, n)
+        used += at == len(rooms)
+        bisect.insort(rooms, (rooms.pop(at) if at < len(rooms) else capacity) - n)
+    return used
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_pack_lengths_against_best_fit(seed):
+    from faregrid.llm import packing
+
+    rng = np.random.default_rng(seed)
+    lengths = [int(n) for n in np.clip(rng.lognormal(6 + seed / 2, 1, 3000), 1, 4096)]
+    classes = packing.pack_lengths(Counter(lengths))
+    held = Counter()
+    for n, inside in classes:
+        assert sum(length * times for length, times in inside) <= 4096
+        for length, times in inside:
+            held[length] += n * times
+    assert held == Counter(lengths)
+    assert sum(n for n, _ in classes) <= best_fit_decreasing(lengths, 4096)
+
+
+def test_configurations_are_optimal():
+    from faregrid.llm import packing
+
+    found = packing.configurations([6, 5, 3], [10, 6, 9], 15)
+    assert all(sum(n * s for n, s in zip(use, [6, 5, 3])) <= 15 for _, use in found)
+    for i, count in enumerate([10, 6, 9]):
+        assert sum(times * use[i] for times, use in found) >= count - 1e-6
+    assert sum(times for times, _ in found) == pytest.approx(117 / 15)  # every sequence full
+
+
+def test_mixing_comes_as_near_as_documents_allow(spark):
+    """Small sources: no choice of documents, each taken the plan's times or once more, comes nearer than ten words."""
+    from faregrid.llm import mixing
+
+    rows = pq.read_table("/root/testdata/sf0.001/documents.parquet").to_pylist()
+    found = [r.asDict() for r in mixing.mix_by_source(spark.createDataFrame([(d["doc_id"], d["text"], d["source"]) for d in rows], "doc_id long, text string, source string")).collect()]
+    name = {d["doc_id"]: d["source"] for d in rows}
+    sources = defaultdict(list)
+    for r in found:
+        sources[name[r["doc_id"]]].append(r)
+    for listed in sources.values():
+        target, total = listed[0]["target"], listed[0]["source_size"]
+        times = min(round(target) // total, 2) if total else 0
+        reached = {0}
+        for r in listed:
+            reached |= {s + r["size"] for s in reached}
+        best = min(abs(target - times * total - s) for s in reached)
+        assert abs(sum(r["taken"] for r in listed) - target) <= best + 10
 
 
 def test_exact_dedup(docs, result):
