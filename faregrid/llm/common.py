@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,3 +78,13 @@ def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z only. ASCII texts, where both agree, take the faster built-in."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     return F.when(F.octet_length(col) == F.char_length(col), F.lower(col)).otherwise(F.translate(col, upper, lower))
+
+
+def fresh_names(taken: Sequence[str], n: int) -> list[str]:
+    """``n`` column names that are not among ``taken`` (whatever their case)."""
+    seen, out, i = {c.lower() for c in taken}, [], 0
+    while len(out) < n:
+        if f"own_{i}" not in seen:
+            out.append(f"own_{i}")
+        i += 1
+    return out

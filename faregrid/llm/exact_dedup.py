@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faregrid.llm.common import ascii_lower, materialize
+from faregrid.llm.common import ascii_lower, fresh_names, materialize
 
 SALTS = 16
 
@@ -73,11 +73,13 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salt
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
     """``docs`` without the copies: of equal texts the row with the largest id, all columns as they were.
 
-    Rows repeated with the same id and text become one row.
+    Rows repeated with the same id and text become one row; a null id is less than any other. An empty table
+    gives an empty result. Other columns may have any names.
     """
     key = lambda c: F.coalesce(c.cast("string"), F.lit(""))  # noqa: E731  a null id is matched too
-    best = winners(docs, id_col, text_col, salts).select(F.col("_digest").alias("_d"), key(F.col("keep_id")).alias("_k"))
+    d, k = fresh_names(docs.columns, 2)
+    best = winners(docs, id_col, text_col, salts).select(F.col("_digest").alias(d), key(F.col("keep_id")).alias(k))
     norm = ascii_lower(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    rows = docs.withColumns({"_d": sha256(norm), "_k": key(F.col(id_col))})
+    rows = docs.withColumns({d: sha256(norm), k: key(F.col(id_col))})
     # the join has dealt the rows by digest and id already: repeated rows go without another shuffle
-    return rows.join(best, ["_d", "_k"], "left_semi").dropDuplicates(["_d", "_k"]).select(docs.columns)
+    return rows.join(best, [d, k], "left_semi").dropDuplicates([d, k]).select(docs.columns)

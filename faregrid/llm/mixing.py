@@ -4,30 +4,35 @@ Documents are aggregated by membership pattern (the set of sources that a
 document belongs to), so the flow network has one node per pattern and source and
 not per document. A pattern supplies its words once at cost 0, a second time at
 cost 1 and so on (convex), up to ``max_repeats``; sources demand their targets.
-The flow says how many words each pattern gives. Within a pattern every document
-is taken the same whole number of times, and the rest goes to documents in a
-seeded order.
+The flow says how many words each pattern gives; sources without overlap need none.
+Within a pattern every document is taken the same whole number of times, and the rest
+goes to documents in a seeded order. The last documents are chosen by their sizes, so that
+their words add up to what is left (a subset sum over the histogram of sizes), and within
+a size by seed.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faregrid.llm import textops
-from faregrid.llm.common import materialize, python_ready
+from faregrid.llm.common import fresh_names, materialize, python_ready
 
-MAX_PATTERNS = 10_000  # nodes of the flow network on the driver; more is an error
+MAX_PATTERNS = 10_000  # overlapping patterns of the flow network on the driver; also the rows of a broadcast table
 SEED = 7
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MAX_REPEATS = 2
+LAST = 32  # about so many documents of a pattern are chosen by size
+LAST_WORDS = 1 << 18  # words that they have at most
 
 
 def source_targets(sizes: dict[str | None, int], weights: Sequence[float] = WEIGHTS, share: float = SHARE,
@@ -108,6 +113,51 @@ def min_cost_flow(supply: Sequence[int], members: Sequence[Sequence[int]], deman
     ]
 
 
+def pattern_supply(words: Sequence[int], members: Sequence[Sequence[int]], demand: Sequence[int], max_repeats: int = MAX_REPEATS) -> list[int]:
+    """Words that each pattern gives. Patterns of one source that is in no other pattern give what it asks for, up to
+    ``max_repeats`` times their words; the others share a flow network of at most ``MAX_PATTERNS`` patterns."""
+    shared = {s for m in members if len(m) > 1 for s in m}
+    alone = [len(m) == 1 and m[0] not in shared for m in members]
+    given = [min(demand[m[0]], max_repeats * w) if own else 0 for w, m, own in zip(words, members, alone)]
+    rest = [i for i, own in enumerate(alone) if not own]
+    if len(rest) > MAX_PATTERNS:
+        raise ValueError(f"more than {MAX_PATTERNS} patterns of overlapping sources")
+    used = sorted({s for i in rest for s in members[i]})
+    place = {s: k for k, s in enumerate(used)}
+    flow = min_cost_flow([words[i] for i in rest], [[place[s] for s in members[i]] for i in rest], [demand[s] for s in used], max_repeats)
+    for i, f in zip(rest, flow):
+        given[i] = sum(f.values())
+    return given
+
+
+def fill(sizes: Sequence[int], counts: Sequence[int], gap: int) -> list[int]:
+    """How many of each size to take so that their sum is as near to ``gap`` as can be (of two, the lesser sum).
+
+    Sizes are tried in order until ``gap`` is reached; counts go in as powers of two, each used once.
+    """
+    top = max(0, 2 * gap - 1)  # a larger sum is no better than none
+    reached, made = np.zeros(top + 1, bool), np.full(top + 1, -1, np.int64)
+    reached[0], lots = True, []
+    for i, (size, count) in enumerate(zip(sizes, counts)):
+        lot = 1
+        while count and lot * size <= top and not reached[gap]:
+            lot = min(lot, count)
+            step = lot * size
+            if step > top:
+                break
+            new = np.flatnonzero(reached[: top + 1 - step] & ~reached[step:]) + step
+            reached[new], made[new] = True, len(lots)
+            lots.append((i, lot))
+            count, lot = count - lot, lot * 2
+    at = np.flatnonzero(reached)
+    best, taken = int(at[np.argmin(np.abs(at - gap))]), [0] * len(sizes)
+    while best:
+        i, lot = lots[made[best]]
+        taken[i] += lot
+        best -= lot * sizes[i]
+    return taken
+
+
 def word_sizes(docs: DataFrame, keep: Sequence[str], text_col: str = "text") -> DataFrame:
     """The columns ``keep`` and ``size``: the number of words of the text (null: 0)."""
     rows = python_ready(docs).select(*keep, F.col(text_col).cast("string").alias("_text"))
@@ -135,7 +185,9 @@ def mix(sized: DataFrame, sources_col: str = "sources", id_col: str = "doc_id",
     source). Rows are taken a whole number of times, at most ``max_repeats``. Of
     equal seeds the smaller id comes first; rows repeated with the same id are taken
     alike. Null and negative sizes count as 0; such rows take nothing. An
-    empty table gives an empty result. At most ``MAX_PATTERNS`` patterns.
+    empty table gives an empty result. At most ``MAX_PATTERNS`` patterns of sources that
+    overlap (more is an error); sources without overlap have no such limit, and one
+    row for each reaches the driver.
     """
     spark = sized.sparkSession
     names = F.when(F.size(F.coalesce(F.col(sources_col), F.array())) > 0, F.array_sort(F.array_distinct(F.col(sources_col)))).otherwise(
@@ -143,9 +195,7 @@ def mix(sized: DataFrame, sources_col: str = "sources", id_col: str = "doc_id",
     )
     size = F.greatest(F.coalesce(F.col(size_col).cast("long"), F.lit(0)), F.lit(0).cast("long"))
     rows = sized.withColumns({"_pattern": names, "_size": size, "_seed": _order(id_col, seed)})
-    patterns = rows.groupBy("_pattern").agg(F.sum("_size").alias("words"), F.count(F.lit(1)).alias("rows")).limit(MAX_PATTERNS + 1).collect()
-    if len(patterns) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
+    patterns = rows.groupBy("_pattern").agg(F.sum("_size").alias("words"), F.count(F.lit(1)).alias("rows")).collect()
     patterns.sort(key=lambda r: [(s is None, s or "") for s in r["_pattern"]])
     sources: dict[str | None, int] = {}
     for r in patterns:
@@ -154,17 +204,19 @@ def mix(sized: DataFrame, sources_col: str = "sources", id_col: str = "doc_id",
     if targets is None:
         targets = source_targets(sources, weights, share, max_repeats)
     listed = list(targets)
-    flow = min_cost_flow(
-        [r["words"] for r in patterns], [[listed.index(s) for s in r["_pattern"] if s in targets] for r in patterns],
-        [round(targets[s]) for s in listed], max_repeats,
+    number = {s: i for i, s in enumerate(listed)}
+    supply = pattern_supply(
+        [r["words"] for r in patterns], [[number[s] for s in r["_pattern"] if s in number] for r in patterns], [round(targets[s]) for s in listed], max_repeats
     )
     plan = []
-    for i, (r, f) in enumerate(zip(patterns, flow)):
-        given = sum(f.values())
+    for i, (r, given) in enumerate(zip(patterns, supply)):
         times = min(given // r["words"], max_repeats) if r["words"] else 0
-        plan.append((list(r["_pattern"]), i, times, given - times * r["words"], max(1, math.isqrt(r["rows"]))))
-    schema = "_pattern array<string>, _no int, _times long, _rest long, _buckets long"
-    todo = F.broadcast(spark.createDataFrame(plan, schema))  # at most MAX_PATTERNS rows
+        rest = given - times * r["words"]
+        last = min(rest, LAST_WORDS, -(-LAST * r["words"] // r["rows"]))
+        plan.append((list(r["_pattern"]), i, times, rest, last, max(1, math.isqrt(r["rows"]))))
+    schema = "_pattern array<string>, _no int, _times long, _rest long, _last long, _buckets long"
+    few = F.broadcast if len(plan) <= MAX_PATTERNS else (lambda d: d)  # tables with a row for each pattern
+    todo = few(spark.createDataFrame(plan, schema))
     # patterns are compared with their nulls: as text
     text = lambda c: F.to_json(F.struct(F.col(c).alias("p")), {"ignoreNullFields": "false"})
     dealt = rows.withColumn("_key", text("_pattern")).join(todo.withColumn("_key", text("_pattern")).drop("_pattern"), "_key", "left")
@@ -173,9 +225,10 @@ def mix(sized: DataFrame, sources_col: str = "sources", id_col: str = "doc_id",
     again = dealt.groupBy("_no", F.col(id_col).alias("_same")).agg(F.sum("_size").alias("_all"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     again = materialize(again.select(F.col("_no").alias("_in"), "_same", "_all"), "mix-repeated-ids")
     dealt = dealt.join(again, (F.col("_no") == F.col("_in")) & F.col(id_col).eqNullSafe(F.col("_same")), "left")
-    dealt = materialize(dealt.withColumn("_unit", F.coalesce("_all", "_size")).drop("_in", "_same", "_all"), "mix-dealt")
+    dealt = dealt.withColumns({"_unit": F.coalesce("_all", "_size"), "_many": F.col("_all").isNotNull()})
+    dealt = materialize(dealt.drop("_in", "_same", "_all"), "mix-dealt")
     taken = F.col("_size") * (F.col("_times") + F.when(_rest_of(id_col), 1).otherwise(0))
-    out = dealt.join(F.broadcast(_cuts(dealt, id_col)), "_no", "left").withColumn("taken", taken)
+    out = dealt.join(few(_cuts(dealt, id_col, few)), "_no", "left").withColumn("taken", taken)
     return out.select(*sized.columns, "taken"), sources, targets
 
 
@@ -193,76 +246,81 @@ def _within(id_col: str) -> Column:
 
 def _rest_of(id_col: str) -> Column:
     """Whether the row is among those that get one more repeat (uses the columns of ``_cuts``)."""
-    named = lambda c: F.coalesce((F.col("_seed") == F.col(c)["seed"]) & F.col(id_col).eqNullSafe(F.col(c)["id"]), F.lit(False))
-    return (F.col("_rest") > 0) & ((_within(id_col) & ~named("_drop")) | named("_fill"))
+    mine = F.get(F.filter("_picks", lambda c: c["unit"] == F.col("_unit")), F.lit(0))
+    return (F.col("_rest") > 0) & (_within(id_col) | _upto(mine["seed"], mine["id"], id_col))
+
+
+def _running(rows: DataFrame, keys: list[str], words: Column, goal: str, id_col: str) -> DataFrame:
+    """Per ``keys``: the last (seed, id) in the seeded order up to which ``words`` of the units sum to at most ``goal``, and the sum.
+
+    The running sum goes over buckets of the order first, then over the units of the one bucket in which the goal
+    lies. A pattern of n rows has about sqrt(n) buckets, so neither sum has more than about sqrt(n) rows in a group.
+    Where no unit of that bucket fits, the end lies before the bucket's first seed.
+    """
+    order = Window.partitionBy(*keys).orderBy("_bucket")
+    buckets = rows.groupBy(*keys, "_bucket", goal).agg(F.sum(words).alias("_words"))
+    edge = (
+        buckets.withColumn("_before", F.sum("_words").over(order) - F.col("_words")).filter(F.col("_before") <= F.col(goal))
+        .groupBy(*keys).agg(F.max(F.struct("_bucket", "_before")).alias("_e"))
+        .select(*keys, F.col("_e._bucket").alias("_bucket"), F.col("_e._before").alias("_before"))
+    )
+    units = rows.join(edge, [*keys, "_bucket"]).groupBy(*keys, goal, "_before", "_seed", F.col(id_col).alias("_id")).agg(F.sum(words).alias("_words"))
+    running = Window.partitionBy(*keys).orderBy("_seed", "_id").rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        units.withColumn("_sum", F.col("_before") + F.sum("_words").over(running)).groupBy(*keys, "_before")
+        .agg(F.max(F.when(F.col("_sum") <= F.col(goal), F.struct("_sum", "_seed", "_id"))).alias("_l"), F.min("_seed").alias("_first"))
+        .select(*keys, F.coalesce("_l._sum", "_before").alias("_sum"), F.coalesce(F.col("_l._seed"), F.col("_first") - 1).alias("_seed"), F.col("_l._id").alias("_id"))
+    )
 
 
-def _cuts(dealt: DataFrame, id_col: str) -> DataFrame:
-    """Per pattern with a rest: the cuts of its rounds, the one row left over that fills the gap best, and, if that
-    takes too much, the one row to leave out for it.
+def _fill_sizes(group: pd.DataFrame) -> pd.DataFrame:
+    group = group.sort_values(["_seed", "_unit"])  # sizes in the order of their first unit
+    taken = fill(group["_unit"].tolist(), group["_units"].tolist(), int(group["_gap"].iloc[0]))
+    out = pd.DataFrame({"_no": group["_no"], "_unit": group["_unit"], "_more": np.array(taken, np.int64)})
+    return out[out["_more"] > 0]
 
-    The first round takes rows in the seeded order up to the first that does not fit. Each further round goes on
-    behind the last cut with the rows of at most half the gap, so a round that ends at a row halves the gap, and the
-    number of rounds is at most the logarithm of the rest. In the end no row of at most half the gap is left; of
-    larger ones only one can fit, which is the fill.
 
-    The running sum goes over buckets of the order first, then over the rows of the
-    one bucket in which the rest ends. A pattern of n rows has about sqrt(n) buckets,
-    so neither sum has more than about sqrt(n) rows in a group.
+def _cuts(dealt: DataFrame, id_col: str, few: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Per pattern with a rest: the cuts of its seeded prefix, and for each size of the last documents where they end.
+
+    The prefix takes units in the seeded order while they leave at least ``_last`` words. Where a very long unit ends
+    it early, it goes on once behind that unit with those of at most ``LAST_WORDS``. The gap, at most about
+    ``2 * LAST_WORDS``, is filled by a subset sum over the histogram of sizes not taken yet, which has at most twice as
+    many sizes as the gap has words; of a size the first units by seed are taken.
     """
     spark = dealt.sparkSession
     asked = dealt.filter("_rest > 0 and _size > 0")
     id_type = dealt.schema[id_col].dataType.simpleString()
     cut = f"struct<cap:long,seed:long,id:{id_type}>"
-    # at most MAX_PATTERNS rows
-    gaps = {r["_no"]: r["_rest"] for r in asked.select("_no", "_rest").distinct().collect()}
-    cuts: dict[int, list[tuple]] = {no: [] for no in gaps}
-    open_ = {no: (1 << 62, None, None) for no in gaps}  # size limit of the round, and where the round before it ended
-    while open_:
-        state = spark.createDataFrame([(no, gaps[no], at) for no, at in open_.items()], f"_no int, _gap long, _at {cut}")
-        left = asked.join(F.broadcast(state), "_no").filter(~_upto(F.col("_at.seed"), F.col("_at.id"), id_col) & (F.col("_unit") <= F.col("_at.cap")))
-        order = Window.partitionBy("_no").orderBy("_bucket")
-        buckets = left.groupBy("_no", "_bucket", "_gap").agg(F.sum("_size").alias("_words"))
-        edge = (
-            buckets.withColumn("_before", F.sum("_words").over(order) - F.col("_words"))
-            .filter("_before <= _gap").groupBy("_no").agg(F.max(F.struct("_bucket", "_before")).alias("_e"))
-            .select("_no", F.col("_e._bucket").alias("_bucket"), F.col("_e._before").alias("_before"))
-        )
-        units = (
-            left.join(F.broadcast(edge), ["_no", "_bucket"])  # one row per pattern
-            .groupBy("_no", "_gap", "_before", "_seed", F.col(id_col).alias("_id")).agg(F.sum("_size").alias("_words"))
-        )
-        running = Window.partitionBy("_no").orderBy("_seed", "_id").rowsBetween(Window.unboundedPreceding, 0)
-        ends = (
-            units.withColumn("_sum", F.col("_before") + F.sum("_words").over(running)).groupBy("_no", "_before")
-            .agg(F.max(F.when(F.col("_sum") <= F.col("_gap"), F.struct("_sum", "_seed", "_id"))).alias("_l"), F.min("_seed").alias("_first"))
-        )
-        found, limits, open_ = ends.collect(), {no: at[0] for no, at in open_.items()}, {}
-        for r in found:
-            no, last = r["_no"], r["_l"]
-            # where no row of the bucket fits, the cut lies before the bucket's first seed
-            words, seed, row_id = last if last else (r["_before"], r["_first"] - 1, None)
-            gaps[no] -= words
-            cuts[no].append((limits[no], seed, row_id))
-            if gaps[no] > 1:
-                open_[no] = (gaps[no] // 2, seed, row_id)
+    found = asked.select("_no", "_rest", "_last").distinct().collect()  # a row for each pattern
+    gaps, cuts = {r["_no"]: r["_rest"] for r in found}, {r["_no"]: [] for r in found}
+    open_ = {r["_no"]: (r["_last"], (1 << 62, None, None)) for r in found if r["_rest"] > r["_last"]}
+    for _ in range(2):
+        if open_:
+            state = few(spark.createDataFrame([(no, gaps[no] - last, at) for no, (last, at) in open_.items()], f"_no int, _goal long, _at {cut}"))
+            left = asked.join(state, "_no").filter(~_upto(F.col("_at.seed"), F.col("_at.id"), id_col) & (F.col("_unit") <= F.col("_at.cap")))
+            ends, before, open_ = _running(left, ["_no"], F.col("_size"), "_goal", id_col).collect(), open_, {}
+            for r in ends:
+                last, at = before[r["_no"]]
+                gaps[r["_no"]] -= r["_sum"]
+                cuts[r["_no"]].append((at[0], r["_seed"], r["_id"]))
+                if gaps[r["_no"]] > 2 * LAST_WORDS:
+                    open_[r["_no"]] = (last, (LAST_WORDS, r["_seed"], r["_id"]))
     ends = spark.createDataFrame([(no, gaps[no], cuts[no]) for no in gaps], f"_no int, _gap long, _cuts array<{cut}>")
-    asked = asked.join(F.broadcast(ends), "_no").withColumn("_in", _within(id_col))
-    off = F.abs(F.col("_gap") - F.col("_unit"))
-    named = F.struct(F.col("_seed").alias("seed"), F.col(id_col).alias("id"))
-    fill = (
-        asked.filter(~F.col("_in") & (off < F.col("_gap")))
-        .groupBy("_no").agg(F.min(F.struct(off.alias("off"), named.alias("row"), (F.col("_unit") - F.col("_gap")).alias("over"))).alias("f"))
-        .select("_no", F.col("f.row").alias("_fill"), F.col("f.over").alias("_over"))
-    )
-    fill = materialize(fill, "mix-fill")
-    spare = F.abs(F.col("_over") - F.col("_unit"))
-    drop = (
-        asked.join(F.broadcast(fill), "_no").filter(F.col("_in") & (spare < F.col("_over")))
-        .groupBy("_no").agg(F.min(F.struct(spare.alias("off"), named.alias("row"))).alias("d"))
-        .select("_no", F.col("d.row").alias("_drop"))
-    )
-    return ends.join(fill, "_no", "left").join(drop, "_no", "left").select("_no", "_cuts", "_fill", "_drop")
+    left = asked.join(few(ends), "_no").filter(~_within(id_col) & (F.col("_unit") < 2 * F.col("_gap")))
+    sizes = ["_no", "_gap", "_unit"]
+    single = left.filter("not _many").groupBy(*sizes).agg(F.count(F.lit(1)).alias("_units"), F.min("_seed").alias("_seed"))
+    many = left.filter("_many").select(*sizes, "_seed", id_col).distinct().groupBy(*sizes).agg(F.count(F.lit(1)).alias("_units"), F.min("_seed").alias("_seed"))
+    histogram = single.unionByName(many).groupBy(*sizes).agg(F.sum("_units").alias("_units"), F.min("_seed").alias("_seed"))
+    more = materialize(python_ready(histogram).groupBy("_no").applyInPandas(_fill_sizes, "_no int, _unit long, _more long"), "mix-fill")
+    # every unit counts as one: a repeated id by its first row
+    head = F.row_number().over(Window.partitionBy("_no", "_unit", id_col).orderBy("_seed")) == 1
+    picked = left.join(more, ["_no", "_unit"])
+    alone = picked.filter("not _many").withColumn("_head", F.lit(True))
+    again = picked.filter("_many").withColumn("_head", head).filter("_head")
+    picks = _running(alone.unionByName(again), ["_no", "_unit"], F.lit(1), "_more", id_col)
+    listed = picks.groupBy("_no").agg(F.collect_list(F.struct(F.col("_unit").alias("unit"), F.col("_seed").alias("seed"), F.col("_id").alias("id"))).alias("_picks"))
+    return ends.join(listed, "_no", "left").select("_no", "_cuts", "_picks")
 
 
 def mix_by_source(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
@@ -272,7 +330,8 @@ def mix_by_source(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     mixed, sources, targets = mix(sized.withColumn("sources", F.array("source")), **options)
     spark = docs.sparkSession
     rows = [(s, sources[s], float(targets[s])) for s in sources]
-    known = F.broadcast(spark.createDataFrame(rows, "source string, source_size long, target double"))  # at most MAX_PATTERNS rows
+    known = spark.createDataFrame(rows, "source string, source_size long, target double")
+    known = F.broadcast(known) if len(rows) <= MAX_PATTERNS else known
     joined = mixed.join(known, mixed.source.eqNullSafe(known.source), "left")
     return joined.select("doc_id", "size", "source_size", "target", "taken")
 
@@ -281,14 +340,17 @@ def repeat_taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``docs`` with every row as often as the mix takes it (0 times: it goes), all columns as they were.
 
     Rows repeated with the same id are taken alike; rows without an id are matched
-    by their source.
+    by their source. An empty table gives an empty result. Other columns may have any
+    names, also those of this module.
     """
     sized = word_sizes(docs.select(F.col(id_col), F.col(source_col).cast("string").alias("source"), F.col(text_col)), [id_col, "source"], text_col)
     sized = materialize(sized, "sizes")
     mixed, _, _ = mix(sized.withColumn("sources", F.array("source")), id_col=id_col, **options)
-    times = (
-        mixed.filter("size > 0").select(F.col(id_col).alias("_id"), F.col("source").alias("_source"), (F.col("taken") / F.col("size")).cast("int").alias("_times"))
-        .groupBy("_id", "_source").agg(F.max("_times").alias("_times")).filter("_times > 0")
+    key, owner, times = fresh_names(docs.columns, 3)
+    taken = (
+        mixed.filter("size > 0").select(F.col(id_col).alias(key), F.col("source").alias(owner), (F.col("taken") / F.col("size")).cast("int").alias(times))
+        .groupBy(key, owner).agg(F.max(times).alias(times)).filter(F.col(times) > 0)
     )
-    found = docs.join(times, docs[id_col].eqNullSafe(F.col("_id")) & docs[source_col].cast("string").eqNullSafe(F.col("_source")))
-    return found.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), "_times"))).drop("col")
+    found = docs.join(taken, docs[id_col].eqNullSafe(F.col(key)) & docs[source_col].cast("string").eqNullSafe(F.col(owner)))
+    again = found.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times))))
+    return again.select(*[docs[c] for c in docs.columns])

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faregrid.llm import textops
-from faregrid.llm.common import materialize, python_ready, shuffle_partitions
+from faregrid.llm.common import fresh_names, materialize, python_ready, shuffle_partitions
 from faregrid.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -205,18 +205,20 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_
 
     A document without an id stays only if its whole component has none. Of a
     component's texts with the same id one stays: the one with the smallest hash;
-    of rows equal in id and text any one.
+    of rows equal in id and text any one. An empty table gives an empty result. Other
+    columns may have any names.
     """
+    own_id, own_text = fresh_names(docs.columns, 2)
     found = _grouped(docs, shingle, max_bits, id_col, text_col).groupBy("component", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("rows"))
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "rows")).alias("k")
     kept = materialize(
-        found.groupBy("component").agg(least).select(F.col("k.doc_id").alias("_kept"), F.col("k.text_key").alias("_kept_text"), F.col("k.rows").alias("_rows")),
+        found.groupBy("component").agg(least).select(F.col("k.doc_id").alias(own_id), F.col("k.text_key").alias(own_text), F.col("k.rows").alias("_rows")),
         "kept",
     )
-    same = docs[id_col].cast("long").eqNullSafe(F.col("_kept")) & (_text_key(text_col) == F.col("_kept_text"))
-    out = docs.join(kept.filter("_rows = 1"), same, "left_semi")
+    same = docs[id_col].cast("long").eqNullSafe(F.col(own_id)) & (_text_key(text_col) == F.col(own_text))
+    out = docs.join(kept.filter("_rows = 1").drop("_rows"), same, "left_semi")
     repeated = kept.filter("_rows > 1")
     if repeated.isEmpty():
         return out
-    keyed = docs.join(repeated, same).dropDuplicates(["_kept", "_kept_text"])
-    return out.union(keyed.select(*docs.columns))
+    keyed = docs.join(repeated.drop("_rows"), same).dropDuplicates([own_id, own_text])
+    return out.union(keyed.select(*[docs[c] for c in docs.columns]))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faregrid.llm import textops
-from faregrid.llm.common import materialize, python_ready
+from faregrid.llm.common import fresh_names, materialize, python_ready
 
 FIT_ROWS = 20_000
 FEATURES = 4096
@@ -244,12 +244,17 @@ def score(docs: DataFrame, model: Model, locate: float = 0.5, id_col: str = "doc
 
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that score ``threshold`` or more, all columns as they were; nothing is shuffled."""
-    rows = python_ready(docs).select(*[F.col(c) for c in docs.columns], F.col(text_col).cast("string").alias("_scored"))
+    """``docs`` without the rows that score ``threshold`` or more, all columns as they were; nothing is shuffled.
+
+    Each row is judged by its text alone: null and repeated ids make no difference, null and empty texts have no sentence
+    and the model's score of none. An empty table gives an empty result. Other columns may have any names.
+    """
+    [scored] = fresh_names(docs.columns, 1)
+    rows = python_ready(docs).select(*[F.col(c) for c in docs.columns], F.col(text_col).cast("string").alias(scored))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in textops.chunks(batch, "_scored"):
+            for part, texts in textops.chunks(batch, scored):
                 clean = _probability(bags(texts), len(texts), model)[0] < threshold
                 yield pa.RecordBatch.from_arrays(part.columns[:-1], part.schema.names[:-1]).filter(pa.array(clean))
 

@@ -133,6 +133,17 @@ def test_packing(docs, none):
     assert got(packing.pack(none, tokenizer_path())) == []
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    names = ["col", "_id", "_times", "_d", "_k", "_kept", "_kept_text", "_rows", "_scored", "_source", "own_0", "OWN_1", "own_2"]
+    rows = [(1, "one two three four five", "a", *range(13)), (2, "ONE two three four five", "a", *range(13, 26)), (2, "ONE two three four five", "a", *range(13, 26)),
+            (None, "another text altogether it is", None, *range(13))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{n}` long" for n in names))
+    sure = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"))
+    for kept in (mixing.repeat_taken(docs), exact_dedup.keep_one(docs), simhash_dedup.keep_one(docs), toxicity.keep_clean(docs, sure)):
+        assert kept.columns == docs.columns
+        assert {tuple(r) for r in kept.collect()} <= set(rows) and kept.count() > 0
+
+
 def test_word_ids_equal_the_tokenizer():
     from tokenizers import Tokenizer
 
