@@ -27,10 +27,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts (A-Z lower-cased, null as empty) the row with the largest id; see ``exact_dedup.keep_one``."""
     return exact_dedup.keep_one(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near copies the row with the smallest id; see ``simhash_dedup.keep_one``."""
     return simhash_dedup.keep_one(docs)
 
 
@@ -40,6 +42,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece with its place; documents without text have a piece of one id; see ``packing.pack``."""
     return packing.pack(docs, tokenizer_path())
 
 
