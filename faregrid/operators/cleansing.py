@@ -160,12 +160,12 @@ def dedup(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS, copies: str | None =
     return kept.select(*cols, *([F.col(copies)] if copies else []))
 
 
-def business_rules(df: DataFrame) -> DataFrame:
+def rules_hold() -> Column:
     """Fare in [0, 5000], 0 < distance <= 200, 0 < passengers <= 9, dropoff after pickup.
 
-    A NULL in any of them drops the row (the conjunction is not true).
+    With a NULL in any of them the condition is not true.
     """
-    return df.filter(
+    return (
         F.col("fare_amount").between(FARE_MIN, FARE_MAX)
         & (F.col("trip_distance") > 0)
         & (F.col("trip_distance") <= DISTANCE_MAX)
@@ -175,6 +175,11 @@ def business_rules(df: DataFrame) -> DataFrame:
     )
 
 
+def business_rules(df: DataFrame) -> DataFrame:
+    """The rows for which the business rules hold."""
+    return df.filter(rules_hold())
+
+
 def derive(df: DataFrame) -> DataFrame:
     """pickup_date, pickup_hour, trip_duration_minutes, year, month (one projection)."""
     return df.withColumns(
@@ -188,6 +193,26 @@ def derive(df: DataFrame) -> DataFrame:
     )
 
 
+KEPT = "_kept_row"
+
+
+def judged(deduped: DataFrame) -> DataFrame:
+    """(year, month, COPIES, KEPT) per deduplicated trip: the cleansed row, or NULL where a business rule fails.
+
+    For writes that shuffle by month and count behind that shuffle: of a trip that the rules drop only its month and
+    its copies travel.
+    """
+    derived = derive(deduped)
+    row = F.struct(*[F.col(c) for c in derived.columns if c not in (COPIES, "year", "month")])
+    return derived.select("year", "month", COPIES, F.when(rules_hold(), row).alias(KEPT))
+
+
+def kept(judged_rows: DataFrame) -> DataFrame:
+    """The cleansed rows of ``judged``."""
+    names = judged_rows.schema[KEPT].dataType.names
+    return judged_rows.filter(F.col(KEPT).isNotNull()).select(*[F.col(KEPT)[c].alias(c) for c in names], "year", "month")
+
+
 @dataclass(frozen=True)
 class Cleansed:
     """Lazy outputs of one cleansing run plus the intermediate frames for counting."""
@@ -198,6 +223,7 @@ class Cleansed:
     in_period: DataFrame
     deduped: DataFrame
     missing: tuple[str, ...] = ()
+    counted: DataFrame | None = None
 
 
 def _identity(stage: str, df: DataFrame) -> DataFrame:
@@ -217,7 +243,7 @@ def cleanse(
     ``quarantined``, ``in_period``, ``deduplicated``, ``clean``), e.g. to attach
     row counters that fill during the write; by default it changes nothing.
     With ``count_copies`` the ``deduplicated`` frame handed to ``tap`` carries
-    ``COPIES`` (input rows per key), dropped right after.
+    ``COPIES`` (input rows per key), dropped right after; ``counted`` keeps it.
     """
     raw = tap("raw", raw)
     missing = missing_required(raw)
@@ -227,13 +253,12 @@ def cleanse(
         deduped = dedup(nothing, copies=COPIES if count_copies else None)
         clean = derive(business_rules(tap("deduplicated", deduped).drop(COPIES)))
         bad = raw.withColumn(REASON, F.lit(", ".join(missing)))
-        return Cleansed(tap("clean", clean), tap("quarantined", bad), nothing, nothing, nothing, missing)
+        return Cleansed(tap("clean", clean), tap("quarantined", bad), nothing, nothing, nothing, missing, deduped)
     casted = cast_columns(raw)
     split = quarantine(casted)
     in_period = period_filter(split.good, months, bound)
     in_period = tap("in_period", in_period.drop(*[c for c in SOURCE_PARTITION if c in in_period.columns]))
-    deduped = tap("deduplicated", dedup(in_period, copies=COPIES if count_copies else None))
-    if count_copies:
-        deduped = deduped.drop(COPIES)
+    counted = tap("deduplicated", dedup(in_period, copies=COPIES if count_copies else None))
+    deduped = counted.drop(COPIES)
     clean = tap("clean", derive(business_rules(deduped)))
-    return Cleansed(clean, tap("quarantined", rejected(raw)), casted, in_period, deduped)
+    return Cleansed(clean, tap("quarantined", rejected(raw)), casted, in_period, deduped, counted=counted)

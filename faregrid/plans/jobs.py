@@ -62,24 +62,25 @@ def partition_counts(
 
 def land(spark: SparkSession, layout: Layout, feed: DataFrame, zones: DataFrame, months: Months,
          rec: MetricsRecorder) -> list[tuple[int, int]]:
-    """Land missing raw months and the zone lookup; record the landed bytes per month."""
+    """Land missing raw months and the zone lookup; record rows landed, rows of other months, and bytes per month."""
     with rec.timer("ingestion"):
         lake.land_zones(spark, zones, layout)
-        written = lake.land_raw(spark, feed, layout, months)
-        if written:
-            # sizes from the file listing (binaryFile never reads contents when only
-            # path and length are selected); one row per file of the landed months
-            files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet") \
-                .option("recursiveFileLookup", "true").load(layout.raw_trips).select("path", "length")
+        landing = lake.land(spark, feed, layout, months)
+        rec.record("ingestion_rows", landing.landed_rows)
+        rec.record("ingestion_rows_outside", landing.outside_rows)
+        if landing.written:
+            # sizes from the file listing of the months written (binaryFile never reads contents when only
+            # path and length are selected)
+            dirs = [f"{layout.raw_trips}/{lake.month_name(m)}" for m in landing.written]
+            files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(dirs).select("path", "length")
             parsed = files.select(
                 F.regexp_extract("path", r"/year=(\d+)/", 1).cast("int").alias("year"),
                 F.regexp_extract("path", r"/month=(\d+)/", 1).cast("int").alias("month"),
                 "length",
             )
-            sizes = parsed.filter(lake.months_filter(written)).groupBy("year", "month").agg(F.sum("length").alias("bytes"))
-            for r in sizes.collect():
+            for r in parsed.groupBy("year", "month").agg(F.sum("length").alias("bytes")).collect():
                 rec.record(S.METRIC_INGESTION_SIZE_MB, r["bytes"] / (1024 * 1024), year=r["year"], month=r["month"])
-    return written
+    return landing.written
 
 
 def cleanse(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRecorder,
@@ -87,30 +88,21 @@ def cleanse(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRec
     """Cleanse the landed raw months into silver; quarantined rows go to their own table."""
     with rec.timer(S.JOB_CLEANSING):
         raw = lake.read_raw(spark, layout, months, merge_schema)
-        obs: dict[str, Observation] = {}
-
-        def tap(stage: str, df: DataFrame) -> DataFrame:
-            # counters sit in result stages only (after the last shuffle): a map stage
-            # re-run after an executor loss would count twice
-            if stage == "deduplicated":  # rows left, and rows before (sum of copies per key)
-                obs[stage] = Observation(stage)
-                df = df.observe(obs[stage], F.count(F.lit(1)).alias("rows"),
-                                F.sum(cleansing.COPIES).alias("in_period"))
-            elif stage == "clean":  # latest pickup rides along for the freshness lag
-                obs[stage] = Observation(stage)
-                df = df.observe(obs[stage], F.count(F.lit(1)).alias("rows"),
-                                F.max(F.unix_timestamp("tpep_pickup_datetime")).alias("last_pickup"))
-            return df
-
-        c = cleansing.cleanse(raw, months, bound, tap, count_copies=True)
-        lake.replace_months(c.clean, layout.silver_trips, months)
-        # bad rows as they arrived, with the reason
+        c = cleansing.cleanse(raw, months, bound, count_copies=True)
+        # the counters sit above the write's last shuffle: a map stage re-run after an executor loss would count twice
+        obs, row = Observation("clean"), F.col(cleansing.KEPT)
+        rows = lake.by_month(cleansing.judged(c.counted), months).observe(
+            obs, F.count(F.lit(1)).alias("remaining"), F.sum(cleansing.COPIES).alias("in_period"),
+            F.max(F.unix_timestamp(row["tpep_pickup_datetime"])).alias("last_pickup"),
+        )
+        lake.replace_months(cleansing.kept(rows), layout.silver_trips, months)
+        # bad rows as they arrived, with the reason, in the layout of the raw months
         lake.replace_months(c.quarantined, layout.quarantine, months)
 
-        remaining = obs["deduplicated"].get["rows"]
-        rec.record("dedup_removed", (obs["deduplicated"].get["in_period"] or 0) - remaining)
+        remaining = obs.get["remaining"]
+        rec.record("dedup_removed", (obs.get["in_period"] or 0) - remaining)
         rec.record("dedup_remaining", remaining)
-        last = obs["clean"].get["last_pickup"]
+        last = obs.get["last_pickup"]
         if last is not None:
             rec.record(S.METRIC_FRESHNESS_LAG, time.time() - last, table="silver_trips")
         counts = partition_counts(
@@ -128,7 +120,7 @@ def cleanse(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRec
 def enrich_months(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRecorder) -> None:
     """Silver trips of the months + zone lookup -> enriched trips (only those months are replaced)."""
     with rec.timer(S.JOB_JOIN):
-        trips = spark.read.parquet(layout.silver_trips).filter(lake.months_filter(months))
+        trips = lake.read_months(spark, layout.silver_trips, months)
         enriched = enrich.join_zones(trips, lake.read_zones(spark, layout))
         enriched, obs = observed(enriched, "enriched")
         lake.replace_months(enriched, layout.enriched, months)
@@ -163,7 +155,7 @@ def aggregate_months(spark: SparkSession, layout: Layout, months: Months, rec: M
     with rec.timer(S.JOB_WINDOWED_AGG):
         months = sorted(set(months))
         run_years = _years(months)
-        trips = spark.read.parquet(layout.enriched).filter(lake.months_filter(months))
+        trips = lake.read_months(spark, layout.enriched, months)
         part = {"year": F.year("pickup_date"), "month": F.month("pickup_date")}
 
         def year_months(ys):
@@ -213,7 +205,7 @@ def read_dim_date(spark: SparkSession, layout: Layout) -> DataFrame:
 
 def build_fact(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRecorder) -> None:
     with rec.timer("fact_tables"):
-        enriched = spark.read.parquet(layout.enriched).filter(lake.months_filter(months))
+        enriched = lake.read_months(spark, layout.enriched, months)
         years = _years(months)
         dates = read_dim_date(spark, layout).filter(F.col("year").isin(years))  # one partition per year
         fact = model.fact_trips(enriched, spark.read.parquet(layout.dim_location), dates, model.calendar_rows(len(years)))
@@ -226,7 +218,7 @@ def quality_gate(spark: SparkSession, layout: Layout, months: Months, rec: Metri
                  min_rows: int = quality.MIN_ROWS_PER_MONTH, enforce: bool = True) -> list[dict]:
     """The per-month gate in one pass over the months' facts; results are stored, then enforced."""
     with rec.timer("data_quality"):
-        fact = spark.read.parquet(layout.fact_trips).filter(lake.months_filter(months))
+        fact = lake.read_months(spark, layout.fact_trips, months)
         dim = spark.read.parquet(layout.dim_location)
         checks = quality.fact_gate(dim, min_rows)
         results = quality.run_checks(fact, checks, by=("year", "month"))

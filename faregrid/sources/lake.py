@@ -17,23 +17,25 @@ shared folder, never a machine-local one)::
     metrics/                                   metric records (JSON lines)
 
 Trip-level tables are replaced month by month (``replace_months``): re-running a
-month replaces all of it, also where it has become empty, and leaves the others alone.
+month replaces all of it, also where it has become empty, and leaves the others alone. Rows are
+staged and published as one step (``publish``). The ledger ``raw/yellow_tripdata/_ledger``
+says which months of which source files have landed.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pyspark.errors import AnalysisException
-
 from faregrid.schemas import RAW_TRIP_SCHEMA, ZONE_RENAMES, ZONE_SCHEMA
+from faregrid.sources import publish
 
 
 @dataclass(frozen=True)
@@ -144,42 +146,115 @@ def stored_months(spark: SparkSession, path: str) -> set[tuple[int, int]]:
     return _months_of(_matches(spark, f"{path}/year=*/month=*"))
 
 
-LANDED = "_LANDED"  # names that start with an underscore are no data for Spark
+LEDGER = "_ledger"  # names that start with an underscore are no data for Spark
+LEDGER_SCHEMA = "source string, year int, month int, rows long"
+SOURCE = "_source"  # which file, in which version, a row of a feed came from
+SMALL_ROWS = 100_000  # (source, month) pairs that are broadcast at most
+
+
+def read_feed(spark: SparkSession, *paths: str) -> DataFrame:
+    """Rows of Parquet source files with the file and its modification time in ``SOURCE``, for ``land_raw``."""
+    version = F.concat_ws("@", "_metadata.file_path", F.unix_millis("_metadata.file_modification_time").cast("string"))
+    return spark.read.parquet(*paths).select("*", version.alias(SOURCE))
+
+
+def ledger(spark: SparkSession, layout: Layout) -> DataFrame:
+    """(source, year, month, rows): which months of which sources have landed, one row for each."""
+    publish.recover(spark, layout.raw_trips)
+    path = f"{layout.raw_trips}/{LEDGER}"
+    if not _matches(spark, f"{path}/*.parquet"):
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
 
 
 def landed_months(spark: SparkSession, layout: Layout) -> set[tuple[int, int]]:
-    """Raw months whose landing ended: each has a marker, written after its rows were published."""
-    return _months_of(_matches(spark, f"{layout.raw_trips}/year=*/month=*/{LANDED}"))
+    """Raw months of which something has landed."""
+    return {(r["year"], r["month"]) for r in ledger(spark, layout).select("year", "month").distinct().collect()}
 
 
-def land_raw(
+@dataclass(frozen=True)
+class Landing:
+    """What one call of ``land`` did: months written, and rows it left out because nobody asked for their month."""
+
+    written: list[tuple[int, int]]
+    landed_rows: int
+    outside_rows: int
+
+
+def land(
     spark: SparkSession,
     source: DataFrame,
     layout: Layout,
     months: Sequence[tuple[int, int]],
     ts_col: str = "tpep_pickup_datetime",
-) -> list[tuple[int, int]]:
-    """Land the requested months of a raw feed that are not there yet; returns the months written.
-
-    ``source`` holds several months. If it says which file month a row came in
-    (columns ``year`` and ``month``), that is its partition, whatever its pickup:
-    late rows land where they arrived. Otherwise a row belongs to the month of its
-    pickup, and rows without a pickup land with the first month, so that the
-    quarantine sees them. Months already landed are skipped.
+    name: str = "feed",
+) -> Landing:
+    """Land the requested months of a raw feed, each source's rows of a month once.
+
+    ``source`` holds rows of one or several source files. The column ``SOURCE`` (see ``read_feed``) names each row's
+    file and version; a feed without it is one source called ``name``. If the feed says which file month a row came in
+    (columns ``year`` and ``month``), that is its partition, whatever its pickup: late rows land where they arrived.
+    Otherwise a row belongs to the month of its pickup, and rows without a pickup to the first month of their source
+    (of the request, if the source has no pickup at all), so that the quarantine sees them. Neither depends on
+    what is asked for.
+
+    The ledger keeps every (source, month) that has landed; those are left out by an anti join. So however often, in
+    whatever order of months and from however many files ``land`` runs, a row lands once. New rows and their ledger
+    entries are published together. Rows of months not asked for are counted, and land when their month is asked for.
     """
-    todo = sorted(set(months) - landed_months(spark, layout))
-    if not todo:
-        return []
-    feed = source
-    if not {"year", "month"} <= set(source.columns):
-        feed = source.withColumns({
-            "year": F.coalesce(F.year(ts_col), F.lit(todo[0][0])), "month": F.coalesce(F.month(ts_col), F.lit(todo[0][1])),
-        })
-    written = sorted(replace_months(feed.filter(months_filter(todo)), layout.raw_trips, todo))
-    for y, m in written:
-        fs, marker = _fs(spark, f"{layout.raw_trips}/year={y}/month={m}/{LANDED}")
-        fs.create(marker, True).close()
-    return written
+    months = sorted(set(months))
+    if not months:
+        return Landing([], 0, 0)
+    feed = source if SOURCE in source.columns else source.withColumn(SOURCE, F.lit(name))
+    dated = {"year", "month"} <= set(source.columns)
+    place = [F.col("year"), F.col("month")] if dated else [F.year(ts_col), F.month(ts_col)]
+    # (source, month) pairs of the feed: a pass over two columns
+    counted = feed.groupBy(SOURCE, place[0].cast("int").alias("year"), place[1].cast("int").alias("month")).agg(F.count(F.lit(1)).alias("rows"))
+    first = counted.groupBy(SOURCE).agg(F.min(F.when(F.col("year").isNotNull(), F.struct("year", "month"))).alias("first"))
+    start = F.struct(F.lit(months[0][0]).alias("year"), F.lit(months[0][1]).alias("month"))
+    known = ledger(spark, layout)
+    undated = known.select(F.col("source").alias(SOURCE)).distinct().withColumn("seen", F.lit(True))
+    own = first.join(undated, SOURCE, "left")
+    # a source without any pickup lands with the first month of the request, unless it has landed before
+    home = F.coalesce(F.col("first"), F.when(F.col("seen").isNull(), start))
+    pairs = (
+        counted.join(own, SOURCE)
+        .select(F.col(SOURCE).alias("source"), F.coalesce(F.col("year"), home["year"]).alias("to_year"), F.coalesce(F.col("month"), home["month"]).alias("to_month"),
+                "year", "month", "rows")
+    )
+    run = publish.new_run()
+    stage = publish.staging(layout.raw_trips, run)
+    plan = f"{stage}/_plan"
+    pairs.write.parquet(plan)  # what lands is decided once, however often a later step is repeated
+    decided = spark.read.schema(pairs.schema).parquet(plan)
+    asked = months_filter(months, "to_year", "to_month")
+    have = known.select("source", F.col("year").alias("to_year"), F.col("month").alias("to_month"))
+    todo = decided.filter(asked).join(have, ["source", "to_year", "to_month"], "left_anti")
+    tally = decided.agg(F.coalesce(F.sum(F.when(~F.coalesce(asked, F.lit(False)), F.col("rows"))), F.lit(0)).alias("outside"), F.count(F.lit(1)).alias("pairs")).first()
+    landed = todo.groupBy("source", F.col("to_year").alias("year"), F.col("to_month").alias("month")).agg(F.sum("rows").alias("rows"))
+    landed.coalesce(1).write.parquet(f"{stage}/{LEDGER}")
+    new = spark.read.schema(LEDGER_SCHEMA).parquet(f"{stage}/{LEDGER}")
+    totals = new.groupBy("year", "month").agg(F.sum("rows").alias("rows")).collect()  # a row for each month
+    files = publish.Files(spark, layout.raw_trips)
+    if totals:
+        wanted = todo.select(F.col("source").alias("_s"), F.col("year").alias("_y"), F.col("month").alias("_m"), "to_year", "to_month")
+        wanted = F.broadcast(wanted) if tally["pairs"] <= SMALL_ROWS else wanted
+        same = (F.col(SOURCE) == F.col("_s")) & place[0].eqNullSafe(F.col("_y")) & place[1].eqNullSafe(F.col("_m"))
+        columns = [feed[c] for c in feed.columns if c not in (SOURCE, "year", "month")]
+        rows = feed.join(wanted, same).select(*columns, F.col("to_year").alias("year"), F.col("to_month").alias("month"))
+        rows.hint("rebalance", "year", "month").write.partitionBy("year", "month").parquet(f"{stage}/rows")
+    else:
+        files.delete(f"{publish.STAGING}{run}")
+        return Landing([], 0, tally["outside"])
+    written = sorted((r["year"], r["month"]) for r in totals)
+    publish.move_in(spark, layout.raw_trips, run, "rows", [f"year={y}/month={m}" for y, m in written], [f"{LEDGER}/*.parquet"])
+    return Landing(written, sum(r["rows"] for r in totals), tally["outside"])
+
+
+def land_raw(spark: SparkSession, source: DataFrame, layout: Layout, months: Sequence[tuple[int, int]],
+             ts_col: str = "tpep_pickup_datetime", name: str = "feed") -> list[tuple[int, int]]:
+    """``land``; returns the months written."""
+    return land(spark, source, layout, months, ts_col, name).written
 
 
 def land_zones(spark: SparkSession, zones: DataFrame, layout: Layout) -> bool:
@@ -190,54 +265,71 @@ def land_zones(spark: SparkSession, zones: DataFrame, layout: Layout) -> bool:
     return True
 
 
+_EMPTY_RAW = T.StructType([*RAW_TRIP_SCHEMA.fields, T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())])
+# Types that hold every value of the ones before them.
+_WIDENING = ["tinyint", "smallint", "int", "bigint", "float", "double"]
+
+
+def _month_schemas(spark: SparkSession, dirs: list[str]) -> list[T.StructType]:
+    """Schema of each month's directory from the footer of one of its files, a few at a time."""
+
+    def footer(path: str) -> T.StructType:
+        return spark.read.parquet(sorted(_matches(spark, f"{path}/*.parquet"))[0]).schema
+
+    with ThreadPoolExecutor(8) as pool:
+        return list(pool.map(footer, dirs))
+
+
+def _common_type(kinds: set[str], contract: str | None) -> str:
+    """The type in which months meet that store a column differently: no value is lost on the way to the tolerant casts."""
+    if len(kinds) == 1:
+        return next(iter(kinds))
+    if kinds <= set(_WIDENING):
+        return max(kinds, key=_WIDENING.index)
+    if contract and kinds <= {"timestamp", "timestamp_ntz"}:
+        return contract
+    return "string"
+
+
 def read_raw(
     spark: SparkSession, layout: Layout, months: Iterable[tuple[int, int]], merge_schema: bool = False
 ) -> DataFrame:
     """Raw trips of the given months; ``year``/``month`` are the source partition.
 
-    Column types come from the files, as landed; the partition predicate prunes
-    directories and the cleansing casts are no-ops on typed numeric columns, so
-    later predicates still reach the Parquet reader. ``merge_schema`` unions the
-    columns of all files (monthly feeds that gained a column mid-year); it costs
-    a footer read per file, so it is off unless asked for.
+    Column types come from the files, as landed: one footer a month is read. Months that
+    agree are one scan; months that do not are read by type group, so filters still
+    reach each group's files, and a column that differs takes the wider type (text
+    where there is none): values that the contract's type cannot hold stay as they are until the tolerant
+    casts quarantine them. The partition predicate prunes directories.
+
+    The columns are those of the first month and, of the contract's columns, all that any month has; ``merge_schema``
+    adds every other column of any month (NULL where a month lacks it).
     """
+    publish.recover(spark, layout.raw_trips)
     wanted = sorted(set(months) & stored_months(spark, layout.raw_trips))
     if not wanted:
         return spark.createDataFrame([], _EMPTY_RAW)
     dirs = [f"{layout.raw_trips}/year={y}/month={m}" for y, m in wanted]
-    reader = spark.read.option("basePath", layout.raw_trips)
-    try:  # one job reads the footers of the run's months
-        merged = reader.option("mergeSchema", "true").parquet(*dirs)
-    except AnalysisException as e:
-        if "MERGE" not in str(e):
-            raise
-    except Exception as e:  # the same fault, reported by the footer job
-        if "CANNOT_MERGE" not in str(e):
-            raise
-    else:
-        return (merged if merge_schema else reader.parquet(*dirs)).filter(months_filter(wanted))
-    return _drifted(reader, dirs)
-
-
-_EMPTY_RAW = T.StructType([*RAW_TRIP_SCHEMA.fields, T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())])
-
-
-def _drifted(reader, dirs: list[str]) -> DataFrame:
-    """Months whose physical types differ: each type group is read with its own schema,
-    so filters still reach its files, and columns that differ meet in the contract's
-    type (text, where one of them is text: the tolerant casts follow)."""
-    groups: dict[str, list[str]] = {}
-    for d in dirs:  # at most one footer per month of the run
-        groups.setdefault(reader.parquet(d).drop("year", "month").schema.json(), []).append(d)
-    frames = [reader.parquet(*g) for g in groups.values()]
-    kinds: dict[str, set[str]] = {}
-    for f in frames:
-        for field in f.schema:
-            kinds.setdefault(field.name, set()).add(field.dataType.simpleString())
+    schemas = _month_schemas(spark, dirs)
+    groups: dict[str, list[int]] = {}
+    for i, schema in enumerate(schemas):
+        groups.setdefault(schema.json(), []).append(i)
     contract = {f.name: f.dataType.simpleString() for f in RAW_TRIP_SCHEMA}
-    target = {c: "string" if "string" in k else contract.get(c, "string") for c, k in kinds.items() if len(k) > 1}
-    same = [f.withColumns({c: F.col(c).cast(t) for c, t in target.items() if c in f.columns and f.schema[c].dataType.simpleString() != t}) for f in frames]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), same)
+    kinds: dict[str, set[str]] = {}
+    for schema in schemas:
+        for f in schema:
+            kinds.setdefault(f.name, set()).add(f.dataType.simpleString())
+    columns = [c for c in kinds if merge_schema or c in contract or c in schemas[0].names]
+    frames = []
+    for members in groups.values():
+        schema = schemas[members[0]]
+        frame = spark.read.option("basePath", layout.raw_trips).schema(schema).parquet(*[dirs[i] for i in members])
+        here = {f.name: f.dataType.simpleString() for f in schema}
+        cast = {c: _common_type(kinds[c], contract.get(c)) for c in columns}
+        # a plain column where nothing differs, so that predicates reach the reader
+        picked = [F.col(c) if here.get(c) == cast[c] else (F.col(c) if c in here else F.lit(None)).cast(cast[c]).alias(c) for c in columns]
+        frames.append(frame.filter(months_filter([wanted[i] for i in members])).select(*picked, "year", "month"))
+    return reduce(DataFrame.unionByName, frames)
 
 
 def read_zones(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -251,6 +343,12 @@ def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path)
 
 
+def read_months(spark: SparkSession, path: str, months: Iterable[tuple[int, int]]) -> DataFrame:
+    """The given months of a trip-level table; a publication that was stopped half way is finished first."""
+    publish.recover(spark, path)
+    return spark.read.parquet(path).filter(months_filter(months))
+
+
 def clustered(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str] = ()) -> DataFrame:
     """Hash-partition on the partition columns (one file per partition directory) and
     order rows inside each file (tight min/max statistics).
@@ -267,22 +365,29 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str]) ->
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
+def month_name(month: tuple[int, int]) -> str:
+    return f"year={month[0]}/month={month[1]}"
+
+
 def replace_months(df: DataFrame, path: str, months: Iterable[tuple[int, int]]) -> set[tuple[int, int]]:
-    """Replace the given months of a (year, month) partitioned table; returns those that got rows.
+    """Replace the given months of a (year, month) partitioned table as one step; returns those that got rows.
+
+    The rows are written as ``df`` holds them: a frame that follows its input's month layout (a scan, a broadcast
+    join) needs no shuffle and gets about as many files as the input had. After a real shuffle, where every task
+    holds rows of every month, pass ``by_month(df, months)``. A month of the run that gets no row is removed:
+    nothing of an earlier run stays.
+    """
+    spark, months = df.sparkSession, set(months)
+    publish.recover(spark, path)
+    run = publish.new_run()
+    df.write.partitionBy("year", "month").parquet(publish.staging(path, run))
+    got = publish.replace_partitions(spark, path, run, map(month_name, months))
+    return {m for m in months if month_name(m) in got}
+
+
+def by_month(df: DataFrame, months: Iterable[tuple[int, int]]) -> DataFrame:
+    """``df`` rebalanced by month, so that a month has a few files; AQE splits large months and joins small ones.
 
-    Rows are rebalanced by month before the write, so a month has a few files
-    however many tasks made its rows, and AQE splits a large one. A month of the run
-    that gets no row is removed once the write has succeeded: nothing of an earlier
-    run stays. Which months got rows is observed on the write itself.
+    A run over one month needs no such shuffle: its tasks write one file each.
     """
-    months = set(months)
-    seen = Observation()
-    bits = [
-        F.bit_or(F.when(F.col("year") == y, F.expr("shiftleft(1, month)")).otherwise(0)).alias(f"y{y}") for y in sorted({y for y, _ in months})
-    ]
-    write_partitioned(df.hint("rebalance", "year", "month").observe(seen, *bits), path, ["year", "month"])
-    got = {(y, m) for y, m in months if (seen.get[f"y{y}"] or 0) >> m & 1}
-    for y, m in sorted((months - got) & stored_months(df.sparkSession, path)):
-        fs, stale = _fs(df.sparkSession, f"{path}/year={y}/month={m}")
-        fs.delete(stale, True)
-    return got
+    return df.hint("rebalance", "year", "month") if len(set(months)) > 1 else df
