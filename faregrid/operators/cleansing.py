@@ -38,15 +38,21 @@ DROPOFF = "tpep_dropoff_datetime"
 SOURCE_PARTITION = ("year", "month")
 
 
+# Whole numbers by contract; a feed may store them wider.
+WHOLE_COLUMNS = tuple(f.name for f in RAW_TRIP_SCHEMA if isinstance(f.dataType, T.IntegerType))
+_FITS_INT = (T.IntegerType, T.ShortType, T.ByteType)
+
+
 def cast_columns(df: DataFrame) -> DataFrame:
     """Force the numeric columns to int/double without failing on malformed text.
 
     Columns already of the target type are left as they are (Catalyst drops
     the no-op cast, keeping predicate pushdown). Optional money columns that
-    the input lacks are added as NULL.
+    the input lacks are added as NULL. Keys stored wider than int become int, NULL
+    where the value does not fit.
     """
     present = set(df.columns)
-    changes = {}
+    changes = {c: tolerant_int(c) for c in WHOLE_COLUMNS if c in present and not isinstance(df.schema[c].dataType, _FITS_INT)}
     for c in INT_CAST_COLUMNS:
         if c in present:
             changes[c] = tolerant_int(c)
@@ -91,7 +97,7 @@ def _unusable(df: DataFrame, column: str) -> Column:
     """Whether a required column has no value after the tolerant cast. Where the cast
     cannot fail this is a plain NULL test, which reaches the Parquet reader."""
     kind = df.schema[column].dataType
-    if column in INT_CAST_COLUMNS and not isinstance(kind, (T.IntegerType, T.ShortType, T.ByteType)):
+    if column in (*INT_CAST_COLUMNS, *WHOLE_COLUMNS) and not isinstance(kind, _FITS_INT):
         return tolerant_int(column).isNull()
     if column in DOUBLE_CAST_COLUMNS and not isinstance(kind, T.NumericType):
         return tolerant_double(column).isNull()

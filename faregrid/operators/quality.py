@@ -17,6 +17,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -149,6 +150,21 @@ def _status(check: Check, observed: Column) -> Column:
     return F.when(ok, "PASS").otherwise("FAIL" if check.blocking else "WARN")
 
 
+def orphans(df: DataFrame, columns: Sequence[str], dim: DataFrame, dim_column: str) -> DataFrame:
+    """(column, key, rows): values of the key columns that the dimension does not have, with their number of rows.
+
+    NULL keys are orphans too. Keys are counted before the anti join, so a hot key is one row per map task and the
+    join's sides are as small as the keys are few.
+    """
+    known = dim.select(F.col(dim_column).alias("_known")).distinct()
+    found = []
+    for c in columns:
+        keys = df.groupBy(F.col(c).alias("key")).agg(F.count(F.lit(1)).alias("rows"))
+        lost = keys.join(known, F.col("key") == F.col("_known"), "left_anti")
+        found.append(lost.select(F.lit(c).alias("column"), "key", "rows"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def run_checks(df: DataFrame, checks: Sequence[Check], by: Sequence[str] = ()) -> DataFrame:
     """All checks in one scan; returns ``[*by, check_order, check, column, observed, threshold, status]``."""
     fk_flag: dict[int, str] = {}

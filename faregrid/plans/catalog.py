@@ -261,6 +261,40 @@ def q_dq_row_count(spark, sf):
     return quality.run_checks(Fixture(spark, sf).fact, [quality.row_count(100_000)], by=("year", "month"))
 
 
+def q_orphan_rows(spark, sf):
+    """Location keys of trips and facts that the location dimension lacks, with their number of rows."""
+    fx = Fixture(spark, sf)
+    trips = quality.orphans(fx.cleansed.clean, ["PULocationID", "DOLocationID"], fx.dim_location, "location_id")
+    facts = quality.orphans(fx.fact, ["pickup_location_sk", "dropoff_location_sk"], fx.dim_location, "location_sk")
+    return trips.unionByName(facts)
+
+
+def q_whole_run(spark, sf):
+    """Daily gold of the jobs over a lake: the later months first, then the earlier ones, then one month again."""
+    fx = Fixture(spark, sf)
+    layout, months = jobs.scratch_layout(spark), fx.months
+    zones = fixture.zones(spark, sf)
+    half = len(months) // 2
+    for batch in (months[half:], months[:half], months[half : half + 1]):
+        jobs.run_all(spark, layout, fx.raw, zones, batch, enforce_gate=False)
+    daily = lake.read_if_exists(spark, layout.daily_stats)
+    daily = fx.daily.limit(0) if daily is None else daily.drop("year", "month")
+    return present(daily, DAILY_MONEY, DAILY_MEANS)
+
+
+def q_zones_csv(spark, sf):
+    """The zone lookup landed as CSV and read back with its declared schema."""
+    layout = jobs.scratch_layout(spark)
+    lake.land_zones(spark, fixture.zones(spark, sf), layout)
+    return lake.read_zones(spark, layout)
+
+
+def q_schema_gate(spark, sf):
+    """Raw trips without a required column: all are quarantined as they arrived, with the reason."""
+    fx = Fixture(spark, sf)
+    return cleansing.cleanse(fx.raw.drop("fare_amount"), fx.months).quarantined
+
+
 def q_orphans(spark, sf):
     fx = Fixture(spark, sf)
     checks = [

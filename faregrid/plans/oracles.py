@@ -505,6 +505,16 @@ ORACLES: dict[str, str] = {
     "q_dq_range": _range_sql(),
     "q_dq_row_count": _row_count_sql(),
     "q_orphans": _orphans_sql(),
+    "q_orphan_rows": with_(
+        ["clean", "fact", "dim_location"],
+        "\nUNION ALL\n".join(
+            f"SELECT '{c}' AS \"column\", {c} AS key, count(*) AS rows FROM {t} "
+            f"WHERE NOT EXISTS (SELECT 1 FROM dim_location WHERE {k} = {c}) GROUP BY {c}"
+            for t, c, k in (("clean", "PULocationID", "location_id"), ("clean", "DOLocationID", "location_id"),
+                            ("fact", "pickup_location_sk", "location_sk"), ("fact", "dropoff_location_sk", "location_sk"))
+        ),
+    ),
+    "q_schema_gate": with_(["raw_trips"], f"SELECT {RAW_COLS.replace('fare_amount, ', '')}, 'fare_amount' AS quarantine_reason FROM raw_trips"),
     "q_dq_results": _gate_sql(),
     "q_expectation_suite": _suite_sql(),
     "q_boroughs": with_(
@@ -526,3 +536,6 @@ ORACLES: dict[str, str] = {
         f"CAST(epoch(TIMESTAMP '{FRESHNESS_AS_OF}') - epoch(max(tpep_pickup_datetime)) AS BIGINT) AS lag_seconds FROM clean",
     ),
 }
+# Landing, running in batches and re-running change nothing.
+ORACLES["q_whole_run"] = ORACLES["q_rolling_7d"]
+ORACLES["q_zones_csv"] = ORACLES["q_zones"]

@@ -24,6 +24,7 @@ says which months of which source files have landed.
 
 from __future__ import annotations
 
+import logging
 import re
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -38,6 +39,9 @@ from faregrid.schemas import RAW_TRIP_SCHEMA, ZONE_RENAMES, ZONE_SCHEMA
 from faregrid.sources import publish
 
 
+log = logging.getLogger(__name__)
+
+
 @dataclass(frozen=True)
 class Layout:
     """Paths of the lake. ``raw_root`` places the raw zone elsewhere (default: below ``root``)."""
@@ -222,7 +226,7 @@ def land(
         .select(F.col(SOURCE).alias("source"), F.coalesce(F.col("year"), home["year"]).alias("to_year"), F.coalesce(F.col("month"), home["month"]).alias("to_month"),
                 "year", "month", "rows")
     )
-    run = publish.new_run()
+    run = publish.new_run(spark, layout.raw_trips)
     stage = publish.staging(layout.raw_trips, run)
     plan = f"{stage}/_plan"
     pairs.write.parquet(plan)  # what lands is decided once, however often a later step is repeated
@@ -271,13 +275,19 @@ _WIDENING = ["tinyint", "smallint", "int", "bigint", "float", "double"]
 
 
 def _month_schemas(spark: SparkSession, dirs: list[str]) -> list[T.StructType]:
-    """Schema of each month's directory from the footer of one of its files, a few at a time."""
-
-    def footer(path: str) -> T.StructType:
-        return spark.read.parquet(sorted(_matches(spark, f"{path}/*.parquet"))[0]).schema
+    """A schema for each month's directory, from the footer of one file a month.
 
+    One job merges the footers: months whose types agree share the merged schema (a month without a column reads it
+    as NULL). Only where they do not merge is each footer looked at alone, a few at a time.
+    """
+    files = [sorted(_matches(spark, f"{d}/*.parquet"))[0] for d in dirs]
+    if len(set(files)) > 1:
+        try:
+            return [spark.read.option("mergeSchema", "true").parquet(*files).schema] * len(dirs)
+        except Exception as e:  # types differ; a footer that cannot be read fails below
+            log.info("footers of %d months do not merge: %s", len(dirs), str(e)[:200])
     with ThreadPoolExecutor(8) as pool:
-        return list(pool.map(footer, dirs))
+        return list(pool.map(lambda f: spark.read.parquet(f).schema, files))
 
 
 def _common_type(kinds: set[str], contract: str | None) -> str:
@@ -303,7 +313,8 @@ def read_raw(
     casts quarantine them. The partition predicate prunes directories.
 
     The columns are those of the first month and, of the contract's columns, all that any month has; ``merge_schema``
-    adds every other column of any month (NULL where a month lacks it).
+    adds every other column of any month (NULL where a month lacks it). A month lacks a contract column for all its
+    rows, which are then quarantined.
     """
     publish.recover(spark, layout.raw_trips)
     wanted = sorted(set(months) & stored_months(spark, layout.raw_trips))
@@ -319,7 +330,8 @@ def read_raw(
     for schema in schemas:
         for f in schema:
             kinds.setdefault(f.name, set()).add(f.dataType.simpleString())
-    columns = [c for c in kinds if merge_schema or c in contract or c in schemas[0].names]
+    leading = schemas[0].names if merge_schema or len(groups) > 1 else spark.read.parquet(dirs[0]).columns
+    columns = [c for c in kinds if merge_schema or c in contract or c in leading]
     frames = []
     for members in groups.values():
         schema = schemas[members[0]]
@@ -378,8 +390,7 @@ def replace_months(df: DataFrame, path: str, months: Iterable[tuple[int, int]])
     nothing of an earlier run stays.
     """
     spark, months = df.sparkSession, set(months)
-    publish.recover(spark, path)
-    run = publish.new_run()
+    run = publish.new_run(spark, path)
     df.write.partitionBy("year", "month").parquet(publish.staging(path, run))
     got = publish.replace_partitions(spark, path, run, map(month_name, months))
     return {m for m in months if month_name(m) in got}

@@ -3,9 +3,9 @@
 Rows are first written to a staging folder inside the table (``_staging-ID``, which readers
 skip). Then an intent (``_intent-ID``, a small text file that lists every move) is
 written, and only then are folders and files moved. A run that is stopped before the intent
-leaves the table as it was; a run that is stopped later is finished by the next reader or
+leaves the table as it was, and the next writer drops its staging folder; a run that is stopped later is finished by the next reader or
 writer of the table (``recover``): every move is done if it has not been done yet. One
-writer at a time is assumed for a table.
+writer at a time is assumed for a table, beside any number of readers.
 
 Moves are renames in one file system (cheap on HDFS; on an object store, where a rename is a copy,
 each moved file is copied once).
@@ -56,7 +56,7 @@ class Files:
 
     def move(self, source: str, target: str) -> None:
         self.fs.mkdirs(self.at(target).getParent())
-        if not self.fs.rename(self.at(source), self.at(target)):
+        if not self.fs.rename(self.at(source), self.at(target)) and (self.exists(source) or not self.exists(target)):
             raise OSError(f"cannot move {source} to {target} in {self.table}")
 
     def delete(self, name: str) -> None:
@@ -79,7 +79,12 @@ class Files:
             stream.close()
 
 
-def new_run() -> str:
+def new_run(spark: SparkSession, table: str) -> str:
+    """A writer begins: runs stopped after their intent are finished, those stopped before it are dropped."""
+    recover(spark, table)
+    files = Files(spark, table)
+    for name in [*files.names(f"{INTENT}*.tmp"), *files.names(f"{STAGING}*")]:
+        files.delete(name)
     return uuid.uuid4().hex[:12]
 
 

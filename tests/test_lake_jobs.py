@@ -1,4 +1,4 @@
-"""End-to-end over an on-disk lake (the original integration test, plus re-runs)."""
+"""End-to-end over an on-disk lake, with re-runs."""
 
 from datetime import datetime
 
@@ -7,87 +7,87 @@ from pyspark.sql import functions as F
 
 from faregrid.plans import jobs
 from faregrid.plans.metrics import MetricsRecorder
-from faregrid.sources import lake
+from faregrid.sources import lake, publish
 from tests.conftest import TYPED_TRIP, plan_text, trip
 
 MONTH = [(2023, 1)]
+RUN = [(2021, 6), (2021, 7)]
 
 
 @pytest.fixture(scope="module")
 def lake_run(spark):
+    """Two months: a trip delivered three times, one at a zone nobody knows, one without a fare, one over the month's end."""
     layout = jobs.scratch_layout(spark)
+    june, july = datetime(2021, 6, 30, 23, 50), datetime(2021, 7, 2, 14, 5)
     feed = spark.createDataFrame(
-        [
-            trip(1, datetime(2023, 1, 10, 8, 0), datetime(2023, 1, 10, 8, 30), 2, 3.5, 132, 236, 12.5, 15.0, 1.5, 0.0),
-            trip(2, datetime(2023, 1, 10, 9, 0), datetime(2023, 1, 10, 9, 20), 1, 2.0, 236, 132, 9.0, 11.0, 1.0, 0.0),
-            trip(1, datetime(2023, 1, 10, 8, 0), datetime(2023, 1, 10, 8, 30), 2, 3.5, 132, 236, 12.5, 15.0, 1.5, 0.0),
-        ],
+        [trip(2, june, datetime(2021, 7, 1, 0, 20), 3, 6.25, 7, 8, 21.0, 26.5, 4.0, 0.0)] * 3
+        + [trip(1, july, datetime(2021, 7, 2, 14, 25), 1, 1.5, 8, 99, 7.5, 9.0, 0.0, 0.0),
+           trip(1, datetime(2021, 7, 3, 14, 0), datetime(2021, 7, 3, 14, 9), 1, 1.0, 7, 7, None, 9.0, 0.0, 0.0)],
         TYPED_TRIP,
     )
     zones = spark.createDataFrame(
-        [(1, "EWR", "Newark Airport", "EWR"), (132, "Queens", "JFK Airport", "Airports"),
-         (236, "Manhattan", "Upper East Side North", "Yellow Zone"), (237, "Manhattan", "Upper East Side South", "Yellow Zone")],
+        [(7, "Brooklyn", "Astoria Park", "Boro Zone"), (8, "Bronx", "Bay Terrace", "Boro Zone")],
         "LocationID int, Borough string, Zone string, service_zone string",
     )
-    report = jobs.run_all(spark, layout, feed, zones, MONTH, min_rows=1)
+    report = jobs.run_all(spark, layout, feed, zones, RUN, min_rows=1)
     return spark, layout, feed, zones, report
 
 
-def test_silver_deduplicated(lake_run):
+def test_each_month_of_the_run_reaches_silver_once(lake_run):
     spark, layout, *_ = lake_run
-    assert spark.read.parquet(layout.silver_trips).count() == 2
+    silver = spark.read.parquet(layout.silver_trips)
+    assert {(r["year"], r["month"]): r["count"] for r in silver.groupBy("year", "month").count().collect()} == {m: 1 for m in RUN}
+    assert spark.read.parquet(layout.quarantine).select("quarantine_reason").first()[0] == "fare_amount"
 
 
-def test_enriched_has_boroughs(lake_run):
+def test_unknown_zones_stay_null_when_enriched(lake_run):
     spark, layout, *_ = lake_run
-    r = spark.read.parquet(layout.enriched).filter("PULocationID = 132").first()
-    assert r["pickup_borough"] == "Queens"
+    found = {r["month"]: (r["pickup_borough"], r["dropoff_borough"]) for r in spark.read.parquet(layout.enriched).collect()}
+    assert found == {6: ("Brooklyn", "Bronx"), 7: ("Bronx", None)}
 
 
-def test_daily_has_revenue(lake_run):
+def test_daily_gold_is_rolled_over_the_end_of_the_month(lake_run):
     spark, layout, *_ = lake_run
-    daily = lake.read_partitioned(spark, layout.daily_stats)
-    assert daily.count() > 0 and "revenue" in daily.columns and "rolling_7d_revenue" in daily.columns
+    daily = {r["pickup_borough"]: (r["revenue"], r["rolling_7d_revenue"]) for r in lake.read_partitioned(spark, layout.daily_stats).collect()}
+    assert daily == {"Brooklyn": (26.5, 26.5), "Bronx": (9.0, 9.0)}
 
 
-def test_gate_passed_and_stored(lake_run):
+def test_gate_warns_of_the_orphan_and_is_stored(lake_run):
     spark, layout, _, _, report = lake_run
-    assert {r["status"] for r in report.dq} == {"PASS"}
-    assert spark.read.parquet(layout.quality_results).count() == 7
+    by = {(r["month"], r["check"], r["column"]): r["status"] for r in report.dq}
+    assert by[7, "foreign_key", "dropoff_location_sk"] == "WARN" and set(by.values()) == {"PASS", "WARN"}
+    assert spark.read.parquet(layout.quality_results).count() == 14
 
 
-def test_metrics_recorded_and_written(lake_run):
+def test_metrics_of_the_run(lake_run):
     spark, layout, _, _, report = lake_run
     rec = report.metrics
-    assert rec.get("cleansing_records_in", year=2023, month=1) == [3.0]
-    assert rec.get("cleansing_records_out", year=2023, month=1) == [2.0]
-    assert rec.get("cleansing_drop_rate", year=2023, month=1) == [round(1 - 2 / 3, 4)]
-    assert rec.get("dedup_removed") == [1.0]
-    assert rec.get("fact_trips_rows") == [2.0]
-    jobs_timed = {r["tags"]["job"] for r in rec.records if r["metric"] == "job_duration_seconds"}
-    assert {"ingestion", "cleansing_job", "join_job", "windowed_agg_job", "dim_tables", "fact_tables",
-            "data_quality"} <= jobs_timed
-    assert rec.get("dq_duplicate_count", column="trip_id", year=2023, month=1) == [0.0]
-    assert rec.get("dq_referential_orphans", column="pickup_location_sk", year=2023, month=1) == [0.0]
+    assert [rec.get("cleansing_records_in", year=y, month=m) for y, m in RUN] == [[3.0], [2.0]]
+    assert [rec.get("cleansing_drop_rate", year=y, month=m) for y, m in RUN] == [[0.6667], [0.5]]
+    assert rec.get("dedup_removed") == [2.0] and rec.get("dedup_remaining") == [2.0] and rec.get("fact_trips_rows") == [2.0]
+    assert rec.get("ingestion_rows") == [5.0] and rec.get("ingestion_rows_outside") == [0.0]
+    timed = {r["tags"]["job"] for r in rec.records if r["metric"] == "job_duration_seconds"}
+    assert timed >= {"ingestion", "cleansing_job", "join_job", "windowed_agg_job", "dim_tables", "fact_tables", "data_quality"}
+    assert rec.get("dq_referential_orphans", column="dropoff_location_sk", year=2021, month=7) == [1.0]
     assert spark.read.json(layout.metrics).count() >= len(rec.records)
 
 
 def test_reports_over_gold(lake_run):
     spark, layout, *_ = lake_run
-    assert jobs.report_revenue(spark, layout).count() == 1
-    assert [tuple(r) for r in jobs.report_peak_hours(spark, layout, "Manhattan").collect()] == [(9, 1)]
+    assert {r["pickup_date"].day for r in jobs.report_revenue(spark, layout).collect()} == {30, 2}
+    assert [tuple(r) for r in jobs.report_peak_hours(spark, layout, "Bronx").collect()] == [(14, 1)]
     assert jobs.report_fare_by_distance(spark, layout).count() == 2
 
 
 def test_landing_skips_present_months(lake_run):
     spark, layout, feed, zones, _ = lake_run
-    assert lake.landed_months(spark, layout) == {(2023, 1)}
-    assert lake.land_raw(spark, feed, layout, MONTH) == []
+    assert lake.landed_months(spark, layout) == set(RUN)
+    assert lake.land_raw(spark, feed, layout, RUN) == []
 
 
 def test_partition_pruning_on_silver(lake_run):
     spark, layout, *_ = lake_run
-    plan = plan_text(spark.read.parquet(layout.silver_trips).filter(lake.months_filter(MONTH)))
+    plan = plan_text(lake.read_months(spark, layout.silver_trips, RUN[:1]))
     assert "PartitionFilters: [isnotnull(year" in plan and "(month" in plan
 
 
@@ -247,13 +247,10 @@ def test_reports_without_gold_tables_are_empty(spark):
 def test_gate_results_of_other_months_stay(lake_run):
     spark, layout, _, _, _ = lake_run
     before = spark.read.parquet(layout.quality_results).collect()
-    jobs.quality_gate(spark, layout, [(2023, 2)], MetricsRecorder(), enforce=False)
+    jobs.quality_gate(spark, layout, [(2021, 8)], MetricsRecorder(), enforce=False)
     after = spark.read.parquet(layout.quality_results)
-    assert sorted(map(str, after.filter("month = 1").collect())) == sorted(map(str, before))
-    assert after.filter("month = 2").count() == 7
-    jobs.quality_gate(spark, layout, [(2023, 1)], MetricsRecorder(), min_rows=1)
-    assert spark.read.parquet(layout.quality_results).count() == 14
-    fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(layout.quality_results)
-    found = fs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(
-        spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{layout.quality_results}/year=*/*.parquet"))
-    assert len(found) == 1
+    assert sorted(map(str, after.filter("month < 8").collect())) == sorted(map(str, before))
+    assert after.filter("month = 8").count() == 7
+    jobs.quality_gate(spark, layout, [(2021, 6)], MetricsRecorder(), min_rows=1)
+    assert spark.read.parquet(layout.quality_results).count() == 21
+    assert len(publish.Files(spark, layout.quality_results).names("year=*/*.parquet")) == 1
