@@ -14,21 +14,39 @@ def _address(url: str, prefix: str) -> str:
     return f"coalesce({host}, '') AS {prefix}host, coalesce({path}, '') AS {prefix}path, {key} AS {prefix}key"
 
 
+def _attribute(tag: str, name: str) -> str:
+    pattern = f"""(?is)[\\s"''/]{name}\\s*=\\s*(?:"([^"]*)"|''([^'']*)''|([^\\s"''<>]+))"""
+    parts = " || ".join(f"regexp_extract({tag}, '{pattern}', {i})" for i in (1, 2, 3))
+    return f"trim({parts}, ' ' || chr(9) || chr(10) || chr(13) || chr(12))"
+
+
+def _against(p: str) -> str:
+    """Target ``t`` resolved against the address with the columns {p}host and {p}path."""
+    return (
+        f"CASE WHEN t IS NULL OR t = '' OR t LIKE '#%' THEN NULL WHEN instr(t, '://') > 0 THEN t WHEN t LIKE '//%' THEN 'http:' || t "
+        f"WHEN t LIKE '/%' THEN 'http://' || {p}host || t WHEN regexp_matches(t, '(?i)^[a-z][a-z0-9+.-]*:') THEN NULL "
+        f"WHEN t LIKE '?%' THEN 'http://' || {p}host || {p}path || t "
+        f"ELSE 'http://' || {p}host || regexp_extract(CASE WHEN {p}path = '' THEN '/' ELSE {p}path END, '(?s)^(.*/)', 1) || t END"
+    )
+
+
 OP2 = f"""
 WITH RECURSIVE
 rules(verdict, h, p) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
                                 ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
 own AS (SELECT page_id, {_address('url', '')} FROM pages),
-raw AS (
-  SELECT {_address('url', 's_')}, replace(unnest([
-    regexp_extract(regexp_extract(html, '(?is)(<link\\b[^<>]*?\\brel\\s*=\\s*["'']?canonical\\b[^<>]*>)', 1), '(?is)\\bhref\\s*=\\s*["'']?\\s*([^"''\\s<>]+)', 1),
-    regexp_extract(regexp_extract(html, '(?is)(<meta\\b[^<>]*?\\bhttp-equiv\\s*=\\s*["'']?refresh\\b[^<>]*>)', 1), '(?is)\\burl\\s*=\\s*["'']?\\s*([^"''\\s<>]+)', 1)]),
-    '&amp;', '&') AS t FROM pages),
-resolved AS (
-  SELECT s_key, CASE WHEN t = '' OR t LIKE '#%' THEN NULL WHEN instr(t, '://') > 0 THEN t WHEN t LIKE '//%' THEN 'http:' || t
-    WHEN t LIKE '/%' THEN 'http://' || s_host || t WHEN regexp_matches(t, '(?i)^[a-z][a-z0-9+.-]*:') THEN NULL
-    WHEN t LIKE '?%' THEN 'http://' || s_host || s_path || t
-    ELSE 'http://' || s_host || regexp_extract(CASE WHEN s_path = '' THEN '/' ELSE s_path END, '(?s)^(.*/)', 1) || t END AS url FROM raw),
+shown AS (SELECT url, regexp_replace(html, '(?s)<!--.*?(?:-->|\\z)', ' ', 'g') AS html FROM pages),
+declared AS (
+  SELECT url, list_filter(list_transform(regexp_extract_all(html, '(?is)<base\\b[^<>]*>'), lambda t: {_attribute('t', 'href')}), lambda h: h <> '')[1] AS base,
+    list_concat(
+      list_transform(list_filter(regexp_extract_all(html, '(?is)<link\\b[^<>]*>'),
+        lambda t: list_contains(string_split_regex(lower({_attribute('t', 'rel')}), '\\s+'), 'canonical')), lambda t: {_attribute('t', 'href')}),
+      list_transform(list_filter(regexp_extract_all(html, '(?is)<meta\\b[^<>]*>'), lambda t: lower({_attribute('t', 'http-equiv')}) = 'refresh'),
+        lambda t: regexp_extract(t, '(?is)\\burl\\s*=\\s*["'']?\\s*([^"''\\s<>]+)', 1))) AS targets FROM shown),
+rooted AS (SELECT url, {_address('url', 'p_')}, replace(base, '&amp;', '&') AS t, targets FROM declared WHERE len(targets) > 0),
+based AS (SELECT url, targets, coalesce({_against('p_')}, url) AS base FROM rooted),
+raw AS (SELECT {_address('url', 'f_')}, {_address('base', 's_')}, replace(unnest(targets), '&amp;', '&') AS t FROM based),
+resolved AS (SELECT f_key AS s_key, {_against('s_')} AS url FROM raw),
 edges AS (SELECT DISTINCT s_key AS a, b_key AS b FROM (SELECT s_key, {_address('url', 'b_')} FROM resolved) WHERE s_key <> b_key),
 both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
 reach(a, b) AS (SELECT a, a FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a),

@@ -28,12 +28,23 @@ RULES = (
     ("block", "com", "/de/"),
 )
 
-_CANONICAL = r"""(?is)(<link\b[^<>]*?\brel\s*=\s*["']?canonical\b[^<>]*>)"""
-_REFRESH = r"""(?is)(<meta\b[^<>]*?\bhttp-equiv\s*=\s*["']?refresh\b[^<>]*>)"""
-_HREF = r"""(?is)\bhref\s*=\s*["']?\s*([^"'\s<>]+)"""
+_COMMENT = r"(?s)<!--.*?(?:-->|\z)"
+_TAG = r"(?is)(<{0}\b[^<>]*>)"
+# An attribute's value: quoted either way, or bare.
+_VALUE = r"""(?is)[\s"'/]{0}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'<>]+))"""
 _TARGET = r"""(?is)\burl\s*=\s*["']?\s*([^"'\s<>]+)"""
 
 
+def _attribute(tag: Column, name: str) -> Column:
+    """The attribute's value without white space around it; empty if the tag has none."""
+    pattern = _VALUE.format(name)
+    return F.trim(F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)]), F.lit(" \t\n\r\f"))
+
+
+def _tags(html: Column, name: str) -> Column:
+    return F.regexp_extract_all(html, F.lit(_TAG.format(name)), F.lit(1))
+
+
 def _after_scheme(url: Column) -> Column:
     """What follows the first ``://``; empty where there is none or the url is null."""
     at = F.instr(url, "://")
@@ -68,7 +79,7 @@ def _resolved(base_url: Column, base_host: Column, base_path: Column, target: Co
     t = F.replace(target, F.lit("&amp;"), F.lit("&"))
     folder = F.regexp_extract(F.when(base_path == "", "/").otherwise(base_path), r"(?s)^(.*/)", 1)
     return (
-        F.when(t == "", None)
+        F.when(t.isNull() | (t == ""), None)
         .when(F.instr(t, "://") > 0, t)
         .when(t.startswith("//"), F.concat(F.lit("http:"), t))
         .when(t.startswith("/"), F.concat(F.lit("http://"), base_host, t))
@@ -80,16 +91,22 @@ def _resolved(base_url: Column, base_host: Column, base_path: Column, target: Co
 
 
 def declared_links(pages: DataFrame) -> DataFrame:
-    """(from_url, to_url): first canonical link and first redirect that each page declares."""
-    src = _split(pages.select("url", "html"), "url", "s_")
-    found = src.select(
-        "url", "s_host", "s_path",
-        F.explode(F.array(
-            F.regexp_extract(F.regexp_extract("html", _CANONICAL, 1), _HREF, 1),
-            F.regexp_extract(F.regexp_extract("html", _REFRESH, 1), _TARGET, 1),
-        )).alias("target"),
-    ).filter("target is not null and target != ''")
-    return found.select(
+    """(from_url, to_url): every canonical link and every redirect that a page declares outside of comments.
+
+    A link is canonical if ``canonical`` is one of the words of its ``rel``. Targets are resolved against the first
+    ``<base href>`` of the page, itself resolved against the page's address; without one against the address.
+    """
+    shown = _split(pages.select("url", F.regexp_replace("html", _COMMENT, " ").alias("html")), "url", "p_")
+    canonical = F.filter(_tags(F.col("html"), "link"), lambda t: F.array_contains(F.split(F.lower(_attribute(t, "rel")), r"\s+"), "canonical"))
+    refresh = F.filter(_tags(F.col("html"), "meta"), lambda t: F.lower(_attribute(t, "http-equiv")) == "refresh")
+    bases = F.filter(F.transform(_tags(F.col("html"), "base"), lambda t: _attribute(t, "href")), lambda h: h != "")
+    found = shown.select(
+        "url", "p_host", "p_path", F.get(bases, F.lit(0)).alias("base"),
+        F.concat(F.transform(canonical, lambda t: _attribute(t, "href")), F.transform(refresh, lambda t: F.regexp_extract(t, _TARGET, 1))).alias("targets"),
+    ).filter(F.size("targets") > 0)
+    based = found.withColumn("base_url", F.coalesce(_resolved(F.col("url"), F.col("p_host"), F.col("p_path"), F.col("base")), F.col("url")))
+    each = _split(based, "base_url", "s_").select("url", "s_host", "s_path", F.explode("targets").alias("target")).filter("target != ''")
+    return each.select(
         F.col("url").alias("from_url"), _resolved(F.col("url"), F.col("s_host"), F.col("s_path"), F.col("target")).alias("to_url")
     )
 

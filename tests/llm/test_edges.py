@@ -220,6 +220,47 @@ def test_toxicity(spark, docs, none):
         assert (r["score"] >= 0.7) == toxic and [s["sentence"] for s in r["offending"]] == [1] * toxic and (r["n_sentences"] > 0 or r["score"] == 0)
 
 
+DECLARED = [
+    # (address, html, targets as resolved)
+    ("http://a.net/x/1", '<link rel="nofollow canonical" href="/one"><LINK href=two REL=canonical>', ["a.net/one", "a.net/x/two"]),
+    ("http://a.net/x/2", "<base target=_top><base href='http://b.com/de/'><base href=/no><link rel=canonical href='3'>", ["b.com/de/3"]),
+    ("http://a.net/x/3", "<base href='/y/z'><meta http-equiv=\"refresh\" content=\"0; url=w\"><meta content='1;URL=v?a=1&amp;b=2' http-equiv=Refresh>",
+     ["a.net/y/w", "a.net/y/v?a=1&b=2"]),
+    ("http://a.net/x/4", "<!-- <link rel=canonical href=/no> --><link rel='canonical' href=' /yes '><!-- <link rel=canonical href=/open>", ["a.net/yes"]),
+    ("http://a.net/x/5", "<link rel=canonicals href=/no><link data-rel=canonical href=/no><link rel=alternate href=/no><a rel=canonical href=/no>", []),
+    ("http://a.net/x/6", "<link rel=canonical href='?q'><link rel=canonical href='#top'><link rel=canonical href='mailto:x'><link rel=canonical>", ["a.net/x/6?q"]),
+]
+
+
+def test_every_declared_link_counts(spark):
+    pages = spark.createDataFrame([(u, h) for u, h, _ in DECLARED] + [("none", None), (None, "<link rel=canonical href='http://q.org/'>")], "url string, html string")
+    found = url_filter.declared_links(pages)
+    for url, _, targets in DECLARED:
+        got_ = sorted(r["to_url"].split("://")[1] for r in found.filter(F.col("from_url") == url).collect() if r["to_url"])
+        assert got_ == sorted(targets), url
+    # a block carried over the second canonical link, and over a base address
+    pages = spark.createDataFrame([(1, "http://m.io/1", '<link rel=canonical href=/o><link rel="x canonical" href="http://s.com/de/9">'),
+                                   (2, "http://m.io/2", "<base href=http://s.com/de/><link rel=canonical href=7>"), (3, "http://m.io/3", "<!--<link rel=canonical href=http://s.com/de/>-->")],
+                                  "page_id long, url string, html string")
+    assert {r["page_id"]: (r["verdict"], r["reason"]) for r in got(url_filter.judge(pages))} == {1: ("block", "alias"), 2: ("block", "alias"), 3: ("allow", "default")}
+
+
+def test_declared_links_against_sql(spark, tmp_path):
+    """The query's SQL over pages that declare links."""
+    import duckdb
+
+    from faregrid.llm.oracles import ORACLES
+
+    pages = spark.createDataFrame([(i, u, h) for i, (u, h, _) in enumerate(DECLARED)] + [(90, "http://b.com/de/3", ""), (91, "http://a.net/one", "<link rel=canonical href=http://k.com/fr/1>")],
+                                  "page_id long, url string, html string")
+    mine = {tuple(r[c] for c in ("page_id", "host", "path", "rule", "verdict", "reason")) for r in got(url_filter.judge(pages))}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", [tuple(r) for r in pages.collect()])
+    assert mine == {tuple(r) for r in con.execute(f"SELECT page_id, host, path, rule, verdict, reason FROM ({ORACLES['op2_url_filters']})").fetchall()}
+    assert {r[0] for r in mine if r[4] == "block"} == {1, 90}
+
+
 def test_url_filter_aliases(spark):
     page = lambda i, url, html="": (i, url, html, "extra")
     pages = spark.createDataFrame([
