@@ -100,21 +100,35 @@ def word_ids(path: str) -> WordIds:
 
 
 def text_ids(column: pa.Array, lookup: WordIds) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts in a row, and where each text begins (and the end)."""
+    """Ids of all texts in a row, and where each text begins (and the end).
+
+    A last full stop or comma after a letter is a pre-token of its own, so a word and the same word at the end of a
+    sentence are looked up as one.
+    """
     words = pc.ascii_split_whitespace(column)
     coded = pc.ascii_lower(words.flatten()).dictionary_encode()
     offsets = words.offsets.to_numpy().astype(np.int64)
     offsets = offsets - offsets[0]
-    known = list(map(lookup.packed, coded.dictionary.to_pylist()))
+    spelled, codes = coded.dictionary, coded.indices.to_numpy()
+    stems = pc.replace_substring_regex(spelled, r"([a-z])[.,]$", r"\1").dictionary_encode()
+    known = [*map(lookup.packed, stems.dictionary.to_pylist()), lookup.packed("."), lookup.packed(",")]
     size = np.fromiter(map(len, known), np.int64, len(known)) // 4
     flat = np.frombuffer(b"".join(known), "<u4")
     begin = np.cumsum(size) - size
-    codes = coded.indices.to_numpy()
-    n = size[codes]
+    # every word is one part, or two: its stem and the stop (the last two of ``known``)
+    stem = stems.indices.to_numpy().astype(np.int64)
+    cut = pc.not_equal(pc.binary_length(spelled), pc.binary_length(stems.dictionary.take(stems.indices))).to_numpy(zero_copy_only=False)
+    stop = np.where(pc.ends_with(spelled, ".").to_numpy(zero_copy_only=False), len(known) - 2, len(known) - 1)
+    at = np.concatenate([[0], np.cumsum(1 + cut[codes])])
+    part = np.empty(int(at[-1]), np.int64)
+    part[at[:-1]] = stem[codes]
+    two = np.flatnonzero(cut[codes])
+    part[at[two] + 1] = stop[codes[two]]
+    n = size[part]
     ends = np.cumsum(n)
     total = int(ends[-1]) if len(ends) else 0
-    ids = flat[np.repeat(begin[codes] - (ends - n), n) + np.arange(total)]
-    return ids, np.concatenate([[0], ends])[offsets]
+    ids = flat[np.repeat(begin[part] - (ends - n), n) + np.arange(total)]
+    return ids, np.concatenate([[0], ends])[at[offsets]]
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
