@@ -198,10 +198,11 @@ class Aligner:
 
     def tokens_of(self, units: list[bytes]) -> list[tuple[bytes, bytes]]:
         """For each unit its A and B tokens as packed (id, end) pairs, both empty if its bytes do not come back."""
-        out = [self.recent.get(u) for u in units]
+        out = list(map(self.recent.young.get, units))
         new = []
-        for i, v in enumerate(out):
-            if v is None:
+        for i in [i for i, v in enumerate(out) if v is None]:
+            out[i] = self.recent.get(units[i])
+            if out[i] is None:
                 inner = units[i][1:].decode()
                 if len(inner.strip()) == len(inner) > 0:
                     new.append(i)
@@ -239,13 +240,14 @@ class Aligner:
         coded = column.dictionary_encode()
         found = self.tokens_of(coded.dictionary.to_pylist())
         codes = coded.indices.to_numpy()
-        bad = np.fromiter((not v[0] for v in found), bool, len(found))
+        packed = [[v[0] for v in found], [v[1] for v in found]]
+        counts = [np.fromiter(map(len, p), np.int64, len(p)) // 8 for p in packed]
+        bad = counts[0] == 0
         gone = np.bincount(text_of, bad[codes], len(texts)) > 0
         gone |= size == 1
         out = []
-        for k in (0, 1):
-            count = np.fromiter((len(v[k]) // 8 for v in found), np.int64, len(found))
-            flat = np.frombuffer(b"".join(v[k] for v in found), "<i4").reshape(-1, 2)
+        for count, own in zip(counts, packed):
+            flat = np.frombuffer(b"".join(own), "<i4").reshape(-1, 2)
             begin = np.cumsum(count) - count
             n = np.where(gone[text_of], 0, count[codes])
             at = np.repeat(begin[codes] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
