@@ -166,7 +166,9 @@ def links(distinct_fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     spark = distinct_fps.sparkSession
     records = distinct_fps.count() * (len(_masks(max_bits)) + 65) // 2
     tasks = max(shuffle_partitions(spark), -(-records // _TASK_RECORDS))
-    emitted = python_ready(distinct_fps).mapInArrow(_emitter(max_bits, 8 * tasks), "bucket long, variants binary")
+    # a table of few files would leave the emission of all variants to as few tasks
+    dealt = python_ready(distinct_fps).repartition(tasks, distinct_fps.columns[0])
+    emitted = dealt.mapInArrow(_emitter(max_bits, 8 * tasks), "bucket long, variants binary")
     return emitted.repartition(tasks, "bucket").mapInArrow(_meeter(max_bits), "a long, b long")
 
 
