@@ -33,6 +33,7 @@ FIT_ROWS = 8192
 CELL_ROWS = 16  # classes per cell that the codebook size aims at
 MAX_CODEWORDS = 256
 BLOCK_ROWS = 256
+_SHARDS = 16
 _SEED = 5
 
 
@@ -62,18 +63,25 @@ class Index:
         return a * len(self.books[1]) + b
 
     def visits(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(vector, cell) for every cell that a vector visits, nearest first."""
+        """(vector, cell) for every cell that a vector visits, by a multi-sequence traversal.
+
+        Each vector goes from its nearest pair of codewords to the next nearest one on the
+        front of the sorted grid, and stops at the first beyond ``reach``; all vectors step at once.
+        """
         first, second = self.moves(unit)
-        rows, cells = [], []
         order_1, order_2 = first.argsort(1, kind="stable"), second.argsort(1, kind="stable")
-        for v in range(len(unit)):
-            a, b = first[v, order_1[v]], second[v, order_2[v]]
-            depth = np.searchsorted(b, self.reach - a[a <= self.reach], "right")  # cells of each row of the grid
-            i = np.repeat(np.arange(len(depth)), depth)
-            j = np.arange(depth.sum()) - np.repeat(np.cumsum(depth) - depth, depth)
-            at = np.argsort(a[i] + b[j], kind="stable")
-            cells.append(order_1[v, i[at]] * len(self.books[1]) + order_2[v, j[at]])
-            rows.append(np.full(len(at), v))
+        a, b = np.take_along_axis(first, order_1, 1), np.take_along_axis(second, order_2, 1)
+        b = np.concatenate([b, np.full((len(b), 1), np.inf)], axis=1)  # behind the last codeword
+        depth = np.zeros(a.shape, np.int64)  # of each row of the sorted grid: the first column not yet visited
+        live, rows, cells = np.arange(len(unit)), [], []
+        while len(live):
+            ahead = a[live] + b[live[:, None], depth[live]]
+            i = ahead.argmin(1)  # of equal ones the first: a row never gets ahead of the one before it
+            near = ahead[np.arange(len(live)), i] <= self.reach
+            live, i = live[near], i[near]
+            rows.append(live)
+            cells.append(order_1[live, i] * len(self.books[1]) + order_2[live, depth[live, i]])
+            depth[live, i] += 1
         return np.concatenate(rows), np.concatenate(cells)
 
     def sees(self, unit: np.ndarray, cells: np.ndarray) -> np.ndarray:
@@ -229,18 +237,33 @@ def near_duplicates(vectors: DataFrame, min_cosine: float = MIN_COSINE, recall:
 
 
 def _links(classes: DataFrame, index: Index, min_cosine: float, block_rows: int) -> DataFrame:
-    """(class, to, links): link counts and spanning edges of all pairs of blocks that meet."""
+    """(class, to, links): link counts and spanning edges of all pairs of blocks that meet.
+
+    A cell of more than ``block_rows`` probes or homes is dealt into blocks; every pair of
+    blocks has a join key of its own, so no task gets a whole cell.
+    """
     label = classes.schema["label"].dataType.simpleString()
     schema = f"class long, label {label}, vec array<double>, n long, cell long"
+    sides = ("probes", "homes")
+    dealt = {
+        side: materialize(classes.mapInArrow(_cells(index, side == "probes"), schema), side).withColumn("shard", F.pmod(F.xxhash64("class", F.lit(1)), F.lit(_SHARDS)))
+        for side in sides
+    }
+    counts = {side: dealt[side].groupBy("label", "cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias(side)).filter(F.col(side) > 1) for side in sides}
+    # the cells of several blocks, once a shard: a large table of them would not gather a cell in one task either
+    slots = materialize(
+        counts["probes"].join(counts["homes"], ["label", "cell"], "full").na.fill(1, list(sides)).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(_SHARDS - 1)))),
+        "blocks",
+    )
 
-    def blocks(kind: str) -> DataFrame:
-        dealt = materialize(classes.mapInArrow(_cells(index, kind == "probes"), schema), kind)
-        full = dealt.groupBy("label", "cell").count().filter(F.col("count") > block_rows)
-        slots = F.ceil(F.coalesce("count", F.lit(1)) / block_rows)
+    def blocks(side: str, other: str) -> DataFrame:
+        placed = dealt[side].join(slots, ["label", "cell", "shard"], "left").na.fill(1, list(sides))
+        rows = F.collect_list(F.struct("class", "vec", "n")).alias(f"{side}_rows")
         return (
-            dealt.join(full, ["label", "cell"], "left").withColumn("slot", F.pmod(F.xxhash64("class"), slots))
-            .groupBy("label", "cell", "slot").agg(F.collect_list(F.struct("class", "vec", "n")).alias(kind)).drop("slot")
+            placed.withColumn(side, F.pmod(F.xxhash64("class"), F.col(side)))
+            .groupBy("label", "cell", side, other).agg(rows)
+            .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)))
         )
 
-    pairs = blocks("probes").join(blocks("homes"), ["label", "cell"]).select("probes", "homes")
-    return pairs.mapInArrow(_verify(index, min_cosine), "class long, to long, links long")
+    pairs = blocks("probes", "homes").join(blocks("homes", "probes"), ["label", "cell", "probes", "homes"])
+    return pairs.select(F.col("probes_rows").alias("probes"), F.col("homes_rows").alias("homes")).mapInArrow(_verify(index, min_cosine), "class long, to long, links long")

@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing extra columns."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -295,6 +296,32 @@ def test_embeddings(spark):
     assert got(embedding_dedup.near_duplicates(df.limit(0))) == []
 
 
+def test_embedding_cells_visited_nearest_first():
+    rng = np.random.default_rng(3)
+    unit = embedding_dedup._units(rng.standard_normal((300, 8)))
+    index = embedding_dedup.fit_index(unit, 4000, 0.9, 0.99)
+    first, second = index.moves(unit)
+    far = first[:, :, None] + second[:, None]  # every cell of the grid
+    rows, cells = index.visits(unit)
+    for v in range(len(unit)):
+        mine = cells[rows == v]
+        assert sorted(mine) == sorted(np.flatnonzero(far[v].ravel() <= index.reach))
+        assert (np.diff(far[v].ravel()[mine]) >= 0).all() and index.homes(unit[v : v + 1])[0] in mine
+
+
+def test_embedding_hot_cell_in_blocks(spark):
+    rng = np.random.default_rng(4)
+    hot = np.eye(6)[0] + 0.05 * rng.standard_normal((150, 6))  # nearly all in one cell
+    vectors = np.concatenate([hot, rng.standard_normal((50, 6))])
+    df = spark.createDataFrame([(i, [float(x) for x in v], 1) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
+    unit = embedding_dedup._units(vectors)
+    want = ((unit @ unit.T >= 0.98).sum(1) - 1).tolist()
+    by = {r["vec_id"]: r["n_links"] for r in got(embedding_dedup.near_duplicates(df, recall=1.0, block_rows=16))}
+    whole = {r["vec_id"]: r["n_links"] for r in got(embedding_dedup.near_duplicates(df, recall=1.0))}
+    assert by == whole and sum(want) > 1000
+    assert sum(by.values()) >= 0.99 * sum(want) and all(by[i] <= n for i, n in enumerate(want))
+
+
 def test_language_id(docs, none, spark):
     names, table = language_id.fit_text(docs)
     assert names == ["de", "en", "fr"]
