@@ -128,12 +128,23 @@ def _units(vectors) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
+def _matrix(vectors: pa.ListArray) -> np.ndarray:
+    """Vectors of equal length without null components, one a row."""
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
+
+
+def _block(rows: pa.ListScalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Classes, unit vectors and row counts of a block."""
+    one, vec, n = rows.values.flatten()
+    return one.to_numpy(zero_copy_only=False), _units(_matrix(vec)), n.to_numpy(zero_copy_only=False)
+
+
 def _cells(index: Index, probe: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
-                unit = _units(part.column(2).to_pylist())
+                unit = _units(_matrix(part.column(2)))
                 row, cell = index.visits(unit) if probe else (np.arange(len(unit)), index.homes(unit))
                 yield pa.RecordBatch.from_arrays([*(c.take(pa.array(row)) for c in part.columns), pa.array(cell.astype(np.int64))],
                                                  ["class", "label", "vec", "n", "cell"])
@@ -162,11 +173,8 @@ def _verify(index: Index, min_cosine: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
-                probe, home = r["probes"], r["homes"]
-                x, y = _units([p["vec"] for p in probe]), _units([h["vec"] for h in home])
-                px, py = np.array([p["class"] for p in probe]), np.array([h["class"] for h in home])
-                nx, ny = np.array([p["n"] for p in probe]), np.array([h["n"] for h in home])
+            for probes, homes in zip(*batch.columns):
+                (px, x, nx), (py, y, ny) = _block(probes), _block(homes)
                 linked = (x @ y.T >= min_cosine) & (px[:, None] != py[None])
                 i, j = np.nonzero(linked)
                 if not len(i):
