@@ -6,7 +6,6 @@ codegen; nothing here is a Python UDF.
 
 from faregrid.functions.columns import (
     any_null,
-    distance_bucket,
     month_ranges,
     tolerant_double,
     tolerant_int,
@@ -18,7 +17,6 @@ from faregrid.functions.joins import checked_broadcast
 __all__ = [
     "any_null",
     "checked_broadcast",
-    "distance_bucket",
     "month_ranges",
     "tolerant_double",
     "tolerant_int",

@@ -103,13 +103,3 @@ def in_months(ts: str, months: Iterable[tuple[int, int]], bound: str = "half_ope
     if not preds:
         return F.lit(False)
     return reduce(lambda a, b: a | b, preds)
-
-
-def distance_bucket(c: str, inner_edges: Sequence[float]) -> Column:
-    """1-based right-closed bin index: 1 + number of inner edges strictly below ``c``.
-
-    Equal to a sorted-edge search with right-closed bins, so values on an edge
-    land in the lower bin exactly as in equal-width ``cut``.
-    """
-    col = F.col(c)
-    return reduce(lambda acc, e: acc + F.when(col > F.lit(float(e)), 1).otherwise(0), inner_edges, F.lit(1))

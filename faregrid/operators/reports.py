@@ -11,12 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faregrid.functions.columns import distance_bucket
 from faregrid.functions.joins import checked_broadcast
 from faregrid.schemas import (
     REPORT_DEFAULT_BOROUGHS,
@@ -67,15 +64,48 @@ def peak_hours(hourly: DataFrame, borough: str | None = None) -> DataFrame:
     )
 
 
-def equal_width_bins(lo: float, hi: float, bins: int = REPORT_DISTANCE_BINS) -> tuple[list[float], list[str]]:
-    """Edges and interval labels of ``bins`` equal-width, right-closed bins over ``[lo, hi]``.
+def bin_edges(lo: Column, hi: Column, bins: int = REPORT_DISTANCE_BINS) -> Column:
+    """The ``bins + 1`` edges of equal-width, right-closed bins over ``[lo, hi]``, as an array.
 
-    They depend only on the two extremes, so pandas' own ``cut`` over the two
-    values yields exactly the edges (lowest edge pushed down by 0.1 % of the
-    range; widened when lo == hi) and labels such as ``(0.951, 5.9]``.
+    The lowest edge lies 0.1 % of the range below ``lo``, so that ``lo`` itself is inside; where both
+    extremes are equal, both are moved by 0.1 % of the value (0.001 for zero). NULL extremes give NULL.
     """
-    cats, edges = pd.cut(np.array([lo, hi], dtype="float64"), bins=bins, retbins=True)
-    return [float(e) for e in edges], [str(iv) for iv in cats.categories]
+    same = lo == hi
+    room = F.when(same, F.when(lo != 0, 0.001 * F.abs(lo)).otherwise(F.lit(0.001))).otherwise(F.lit(0.0))
+    first, last = lo - room, hi + room
+    inner = [F.lit(float(i)) * ((last - first) / bins) + first for i in range(1, bins)]
+    lowest = F.when(same, first).otherwise(first - (last - first) * 0.001)
+    return F.when(lo.isNotNull(), F.array(lowest, *inner, last))
+
+
+def _rounded(edge: Column, digits: Column) -> Column:
+    """``edge`` to ``digits`` decimals; below one in size, to as many digits behind its leading zeros."""
+    small = (edge != 0) & (F.abs(edge) < 1)
+    scale = F.pow(F.lit(10.0), digits + F.when(small, -F.floor(F.log10(F.abs(edge))) - 1).otherwise(F.lit(0)))
+    return F.rint(edge * scale) / scale
+
+
+def _number(x: Column) -> Column:
+    """A number as it is usually printed: 0.0008 and 6e-05, where a cast gives 8.0E-4 and 6.0E-5."""
+    text = x.cast("string")
+    plain = F.regexp_replace(x.cast("decimal(38,20)").cast("string"), "0+$", "")
+    short = F.regexp_replace(F.regexp_replace(text, r"(\.0)?E-", "e-"), r"e-(\d)$", "e-0$1")
+    return F.when((x == 0) | (F.abs(x) >= 1e-3), text).when(F.abs(x) >= 1e-4, plain).otherwise(short)
+
+
+def bin_labels(edges: Column, bins: int = REPORT_DISTANCE_BINS) -> Column:
+    """Interval texts such as ``(0.951, 5.9]``, in the fewest digits (three or more) that keep all edges apart."""
+
+    def shown(digits: Column) -> Column:
+        return F.transform(edges, lambda e: _rounded(e, digits))
+
+    enough = F.filter(F.sequence(F.lit(3), F.lit(19)), lambda d: F.size(F.array_distinct(shown(d))) == bins + 1)
+    ends = shown(F.coalesce(F.get(enough, F.lit(0)), F.lit(3)))
+    labels = F.transform(
+        F.sequence(F.lit(0), F.lit(bins - 1)),
+        lambda i: F.concat(F.lit("("), _number(F.get(ends, i)), F.lit(", "), _number(F.get(ends, i + 1)), F.lit("]")),
+    )
+    return F.when(edges.isNotNull(), labels)
 
 
 def distance_histogram(
@@ -104,22 +134,18 @@ def distance_histogram(
 def fare_by_bin(histogram: DataFrame, bins: int = REPORT_DISTANCE_BINS) -> DataFrame:
     """Average fare per equal-width bin over the observed [min, max] distance; empty bins are omitted.
 
-    Reads the histogram twice (two numbers, the extremes, reach the driver first).
+    One plan: the edges and labels come from a scalar subquery over the histogram, so nothing runs
+    until the result is asked for. A value on an edge lies in the lower bin. No row for an empty histogram.
     """
-    extremes = histogram.agg(F.min("trip_distance").alias("lo"), F.max("trip_distance").alias("hi")).first()
-    if extremes["lo"] is None:
-        return histogram.select(
-            F.lit(None).cast("int").alias("bucket"),
-            F.lit(None).cast("string").alias("distance_bucket"),
-            F.lit(None).cast("double").alias("fare_amount"),
-        ).limit(0)
-    edges, labels = equal_width_bins(extremes["lo"], extremes["hi"], bins)
-    bucket = distance_bucket("trip_distance", edges[1:-1])
+    lo, hi = F.min("trip_distance"), F.max("trip_distance")
+    edges = histogram.agg(lo.alias("lo"), hi.alias("hi")).select(bin_edges(F.col("lo"), F.col("hi"), bins).alias("edges"))
+    grid = edges.select(F.struct("edges", bin_labels(F.col("edges"), bins).alias("labels"))).scalar()
+    below = F.filter(F.slice(F.col("grid.edges"), 2, bins - 1), lambda e: e < F.col("trip_distance"))
     return (
-        histogram.groupBy(bucket.alias("bucket"))
-        .agg((F.sum("fares") / F.sum("trips")).alias("fare_amount"))
-        .withColumn("distance_bucket", F.element_at(F.array(*[F.lit(s) for s in labels]), F.col("bucket")))
-        .select("bucket", "distance_bucket", "fare_amount")
+        histogram.withColumn("grid", grid)
+        .groupBy((F.size(below) + 1).alias("bucket"))
+        .agg((F.sum("fares") / F.sum("trips")).alias("fare_amount"), F.first("grid.labels").alias("labels"))
+        .select("bucket", F.element_at("labels", F.col("bucket")).alias("distance_bucket"), "fare_amount")
         .orderBy("bucket")
     )
 

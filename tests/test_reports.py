@@ -1,12 +1,14 @@
 from datetime import date
 
+import numpy as np
 import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from faregrid.operators import fare_by_distance, peak_hours, revenue_by_borough
-from faregrid.operators.reports import default_boroughs, equal_width_bins
+from faregrid.operators.reports import bin_edges, bin_labels, default_boroughs, fare_by_bin
 
 
 def pandas_reference(distances, fares):
@@ -62,11 +64,24 @@ def test_binning_excludes_out_of_window_and_null_borough(spark):
     assert len(rows) == 1 and rows[0]["fare_amount"] == 5.0
 
 
-def test_equal_width_bins_edges():
-    edges, labels = equal_width_bins(0.0, 10.0)
-    assert len(edges) == 11 and len(labels) == 10
-    assert edges[0] == pytest.approx(-0.01) and edges[-1] == 10.0
-    assert labels[0] == "(-0.01, 1.0]"
+def test_equal_width_bins_edges(spark):
+    rows = spark.createDataFrame([(0.0, 10.0), (0.013, 0.0131), (0.0, 0.0), (None, None), (1e-4, 49.99), (0.05, 49.99), (0.02, 19.5)], "lo double, hi double")
+    found = rows.select("lo", "hi", bin_edges(F.col("lo"), F.col("hi")).alias("edges")).withColumn("labels", bin_labels(F.col("edges"))).collect()
+    for r in found:
+        if r["lo"] is None:
+            assert r["edges"] is None and r["labels"] is None
+            continue
+        cats, edges = pd.cut(np.array([r["lo"], r["hi"]]), bins=10, retbins=True)
+        assert r["edges"] == [float(e) for e in edges] and r["labels"] == [str(c) for c in cats.categories]
+    assert found[0]["edges"][0] == pytest.approx(-0.01) and found[0]["labels"][0] == "(-0.01, 1.0]"
+
+
+def test_bins_run_no_job_while_planned(spark):
+    histogram = spark.range(3).select((F.col("id") + 1.0).alias("trip_distance"), F.lit(5.0).alias("fares"), F.raise_error(F.lit("read too early")).cast("long").alias("trips"))
+    planned = fare_by_bin(histogram)
+    assert planned.columns == ["bucket", "distance_bucket", "fare_amount"]
+    with pytest.raises(Exception, match="read too early"):
+        planned.collect()
 
 
 @pytest.fixture
