@@ -5,7 +5,7 @@ stage boundary by a committed table: a lost executor costs at most the
 current stage, never a recomputation from the raw feed. Stage totals are
 collected with ``DataFrame.observe`` on the write itself (no extra action),
 always in a result stage so task retries cannot count twice; per-month
-counts are read back from the written partitions (row-group metadata only).
+counts come from the footers of the stored files (``lake.month_counts``).
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ import time
 import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -37,26 +36,15 @@ def scratch_layout(spark: SparkSession, name: str | None = None) -> Layout:
     return Layout(f"{checkpoint_dir(spark).rstrip('/')}/{name or 'lake-' + uuid.uuid4().hex[:12]}")
 
 
-def partition_counts(
-    spark: SparkSession, tables: dict[str, str | DataFrame], months: Months
-) -> dict[str, dict[tuple[int, int], int]]:
-    """Rows per (year, month) partition of written tables, in one job.
+def partition_counts(spark: SparkSession, paths: dict[str, str], months: Months) -> dict[str, dict[tuple[int, int], int]]:
+    """Rows per (year, month) partition of stored tables (missing = empty), from the footers of their files.
 
-    Only partition columns are selected, so Parquet answers from row-group
-    metadata without decoding a data column; the result has one row per table
-    and month. A table is a path (read now; missing = empty) or a DataFrame
-    already planned over it (its file listing is reused).
+    A table that nothing is stored of starts no job; an answer has one row per month.
     """
-    parts = []
-    for name, path in tables.items():
-        table = path if isinstance(path, DataFrame) else lake.read_if_exists(spark, path)
-        if table is not None:
-            counted = table.filter(lake.months_filter(months)).groupBy("year", "month").count()
-            parts.append(counted.withColumn("table", F.lit(name)))
-    out: dict[str, dict[tuple[int, int], int]] = {name: {} for name in tables}
-    if parts:
-        for r in reduce(DataFrame.unionByName, parts).collect():
-            out[r["table"]][(r["year"], r["month"])] = r["count"]
+    out: dict[str, dict[tuple[int, int], int]] = {}
+    for name, path in paths.items():
+        counted = lake.month_counts(spark, path, months)
+        out[name] = {(r["year"], r["month"]): r["count"] for r in counted.collect()} if counted is not None else {}
     return out
 
 
@@ -105,8 +93,9 @@ def cleanse(spark: SparkSession, layout: Layout, months: Months, rec: MetricsRec
         last = obs.get["last_pickup"]
         if last is not None:
             rec.record(S.METRIC_FRESHNESS_LAG, time.time() - last, table="silver_trips")
+        # footers only: neither raw nor silver is scanned again for its numbers of rows
         counts = partition_counts(
-            spark, {"raw": raw, "clean": layout.silver_trips, "bad": layout.quarantine}, months
+            spark, {"raw": layout.raw_trips, "clean": layout.silver_trips, "bad": layout.quarantine}, months
         )
         raw_counts, out_counts, bad_counts = counts["raw"], counts["clean"], counts["bad"]
         for y, m in months:

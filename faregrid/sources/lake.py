@@ -350,6 +350,25 @@ def read_zones(spark: SparkSession, layout: Layout) -> DataFrame:
     return zones.withColumnsRenamed(ZONE_RENAMES)
 
 
+def month_counts(spark: SparkSession, path: str, months: Iterable[tuple[int, int]]) -> DataFrame | None:
+    """(year, month, count) of a table's stored months among ``months``, or None if it has none of them.
+
+    The counts are the row counts in the files' footers: the aggregate is pushed down to the Parquet reader,
+    which returns one row a file however many rows the file holds. Only the V2 reader does so, hence the
+    session of its own; the caller's settings stay as they are. Only the months' directories are listed, and as no
+    data column is named, months may differ in columns and types.
+    """
+    wanted = sorted(set(months) & stored_months(spark, path))
+    if not wanted:
+        return None
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    dirs = [f"{path}/{month_name(m)}" for m in wanted]
+    stored = own.read.option("basePath", path).schema("year int, month int").parquet(*dirs)
+    return stored.groupBy("year", "month").count()
+
+
 def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
     """Read a partitioned table with its partition columns (one listing, all files)."""
     return spark.read.option("basePath", path).parquet(path)

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from faregrid.operators import cleansing as C
 from faregrid.operators import quality as Q
@@ -105,3 +106,27 @@ def test_quarantine_write_is_shuffle_free(spark, landed):
     raw = lake.read_raw(spark, landed, [(1997, 3)])
     tree = plan_text(C.cleanse(raw, [(1997, 3)]).quarantined).split("\n\n")[0]
     assert "Exchange" not in tree and "PartitionFilters" in plan_text(raw)
+
+
+def test_month_counts_come_from_footers(spark, landed):
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    counted = lake.month_counts(spark, landed.raw_trips, [(1997, 3), (1997, 4), (1890, 1)])
+    plan = plan_text(counted)
+    # one row a file: the reader answers from the footers and reads no column
+    assert "PushedAggregation: [COUNT(*)]" in plan and "PushedGroupBy: [year, month]" in plan
+    assert re.findall(r"ReadSchema: struct<(.*)>", plan) == ["year:int,month:int,count(*):bigint"], plan
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+    rows = lake.read_raw(spark, landed, [(1997, 3), (1997, 4)]).groupBy("year", "month").count()
+    assert {tuple(r) for r in counted.collect()} == {tuple(r) for r in rows.collect()}
+    assert {r["month"] for r in counted.collect()} == {3, 4}
+    assert lake.month_counts(spark, landed.raw_trips, [(1890, 1)]) is None
+    assert lake.month_counts(spark, landed.raw_trips + "-none", [(1997, 3)]) is None
+
+
+def test_month_counts_of_months_that_differ_in_types(spark, landed):
+    path = landed.raw_trips + "-drift"
+    for month, kind in ((1, "int"), (2, "string"), (3, "bigint")):
+        rows = spark.range(10 * month).select(F.col("id").cast(kind).alias("VendorID"), F.lit(2001).alias("year"), F.lit(month).alias("month"))
+        rows.write.mode("append").partitionBy("year", "month").parquet(path)
+    counted = lake.month_counts(spark, path, [(2001, m) for m in range(1, 13)])
+    assert {tuple(r) for r in counted.collect()} == {(2001, 1, 10), (2001, 2, 20), (2001, 3, 30)}
