@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faregrid.llm import textops
-from faregrid.llm.common import fresh_names, materialize, python_ready, shuffle_partitions
+from faregrid.llm.common import fresh_names, materialize, python_ready
 from faregrid.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -163,11 +163,11 @@ def links(distinct_fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """
     if not 0 <= max_bits <= 3:
         raise ValueError("max_bits must be 0, 1, 2 or 3")
-    spark = distinct_fps.sparkSession
     records = distinct_fps.count() * (len(_masks(max_bits)) + 65) // 2
-    tasks = max(shuffle_partitions(spark), -(-records // _TASK_RECORDS))
+    # by volume alone: each chunk emits a row per bucket, so more tasks than that would only make more and smaller rows
+    tasks = max(1, -(-records // _TASK_RECORDS))
     # a table of few files would leave the emission of all variants to as few tasks
-    dealt = python_ready(distinct_fps).repartition(tasks, distinct_fps.columns[0])
+    dealt = python_ready(distinct_fps).repartition(tasks)
     emitted = dealt.mapInArrow(_emitter(max_bits, 8 * tasks), "bucket long, variants binary")
     return emitted.repartition(tasks, "bucket").mapInArrow(_meeter(max_bits), "a long, b long")
 
