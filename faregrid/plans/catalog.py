@@ -270,13 +270,17 @@ def q_orphan_rows(spark, sf):
 
 
 def q_whole_run(spark, sf):
-    """Daily gold of the jobs over a lake: the later months first, then the earlier ones, then one month again."""
+    """Daily gold of the jobs over a lake: the later months first, then the earlier ones, then one month again.
+
+    The trips are delivered as files once; every landing reads those files whole.
+    """
     fx = Fixture(spark, sf)
     layout, months = jobs.scratch_layout(spark), fx.months
     zones = fixture.zones(spark, sf)
     half = len(months) // 2
+    feed = jobs.deliver(spark, layout, fx.raw)
     for batch in (months[half:], months[:half], months[half : half + 1]):
-        jobs.run_all(spark, layout, fx.raw, zones, batch, enforce_gate=False)
+        jobs.run_all(spark, layout, feed, zones, batch, enforce_gate=False)
     daily = lake.read_if_exists(spark, layout.daily_stats)
     daily = fx.daily.limit(0) if daily is None else daily.drop("year", "month")
     return present(daily, DAILY_MONEY, DAILY_MEANS)

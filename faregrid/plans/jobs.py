@@ -36,6 +36,16 @@ def scratch_layout(spark: SparkSession, name: str | None = None) -> Layout:
     return Layout(f"{checkpoint_dir(spark).rstrip('/')}/{name or 'lake-' + uuid.uuid4().hex[:12]}")
 
 
+def deliver(spark: SparkSession, layout: Layout, feed: DataFrame) -> DataFrame:
+    """The feed written once as source files, each in order of pickup, for several landings to read.
+
+    A feed that is derived (here by a join) would be derived again by every pass of every landing.
+    """
+    path = f"{layout.root}/delivered"
+    feed.sortWithinPartitions(cleansing.PICKUP).write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(feed.schema).parquet(path)
+
+
 def partition_counts(spark: SparkSession, paths: dict[str, str], months: Months) -> dict[str, dict[tuple[int, int], int]]:
     """Rows per (year, month) partition of stored tables (missing = empty), from the footers of their files.
 

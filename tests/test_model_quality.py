@@ -137,3 +137,12 @@ def test_expectation_suite_compiles_in_order():
         ("row_count", None), ("not_null", "tpep_pickup_datetime"), ("between", "passenger_count"),
     ]
     assert checks[4].low == 100000 and checks[4].high == 50000000
+
+
+def test_uniqueness_tells_texts_apart_that_share_their_bytes(spark):
+    digest = "ab" * 32
+    ids = [digest, digest, digest.upper(), "ab", "", None, None, digest + "\n", bytes.fromhex(digest).decode("latin-1")]
+    df = spark.createDataFrame([(i,) for i in ids], "trip_id string")
+    assert run_checks(df, [Q.unique("trip_id")]).collect()[0]["observed"] == 2
+    # a digest in hex is shuffled as its bytes
+    assert "unhex" in plan_text(run_checks(df, [Q.unique("trip_id")]))
