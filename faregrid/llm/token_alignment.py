@@ -39,10 +39,10 @@ from faregrid.llm.common import materialize, python_ready
 from faregrid.llm.recent import Recent
 
 HOT_PAIRS = 1 << 16
-UNITS = 200_000  # units in one generation of a worker's cache
+UNITS = 300_000  # units in one generation of a worker's cache
 UNIT_BYTES = 64  # longer units are not kept
 CHUNK_BYTES = 2 << 20
-GROUP_BYTES = 1 << 16  # new units are encoded in texts of about this size
+GROUP_BYTES = 1 << 12  # new units are encoded in texts of about this size: longer ones take more time a byte
 _PAIR = 32  # a pair is (A id << 32) | B id
 
 
@@ -166,7 +166,13 @@ def unit_starts(raw: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
 
 
 class Aligner:
-    """Both sides, and the recent units with their tokens as (id, end) pairs."""
+    """Both sides, and the recent units with their tokens.
+
+    A unit's tokens are packed in one string of bytes: the number of its A tokens, then the (id, end) pairs of A and those of B,
+    eight bytes each; the number alone if its bytes do not come back.
+    """
+
+    NONE = bytes(8)
 
     def __init__(self, a: Side, b: Side, units: int = UNITS):
         self.a, self.b = a, b
@@ -175,39 +181,53 @@ class Aligner:
         wide = max(len(a.token_bytes), len(b.token_bytes))
         self.names = [f"{i}{sep}" for sep in ",|;" for i in range(wide)]
 
-    def _alone(self, unit: bytes) -> tuple[bytes, bytes] | None:
+    def _alone(self, unit: bytes) -> bytes:
         found = align_text(unit[1:].decode(), self.a, self.b)
-        return found and tuple(np.stack(found[i : i + 2], 1).astype("<i4").tobytes() for i in (0, 2))
+        if found is None:
+            return self.NONE
+        pairs = [np.stack(found[i : i + 2], 1).astype("<i4").tobytes() for i in (0, 2)]
+        return b"".join([len(found[0]).to_bytes(8, "little"), *pairs])
 
-    def _together(self, units: list[bytes]) -> list[tuple[bytes, bytes] | None]:
+    def _together(self, units: list[bytes]) -> list[bytes]:
         """Tokens of units encoded as one text; one by one where the bytes do not come back."""
         found = align_text(b"".join(units)[1:].decode(), self.a, self.b) if len(units) > 1 else None
         if found is None:
             return [self._alone(u) for u in units]
-        stops = np.cumsum([len(u) for u in units])
-        sides = []
+        stops = np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))
+        upto, own, pairs = [], [], []
         for ids, ends in (found[:2], found[2:]):
             last = np.searchsorted(ends, stops, "right")
             if not np.array_equal(ends[last - 1], stops):
                 raise ValueError("a token reaches over a space between two characters")
-            own = np.searchsorted(stops, ends)  # unit of each token
-            packed = np.stack([ids, ends - np.concatenate([[0], stops[:-1]])[own]], 1).astype("<i4").tobytes()
-            edge = [0, *(last * 8).tolist()]
-            sides.append([packed[x:y] for x, y in zip(edge, edge[1:])])
-        return list(zip(*sides))
-
-    def tokens_of(self, units: list[bytes]) -> list[tuple[bytes, bytes]]:
-        """For each unit its A and B tokens as packed (id, end) pairs, both empty if its bytes do not come back."""
+            upto.append(last)
+            own.append(np.searchsorted(stops, ends))  # unit of each token
+            pairs.append(ids | (ends - np.append(0, stops)[own[-1]]) << 32)
+        # a unit's number stands behind all tokens of earlier units, its B tokens behind its A tokens
+        n_a = np.diff(upto[0], prepend=0)
+        edge = np.append(0, upto[0] + upto[1] + np.arange(1, len(units) + 1))
+        flat = np.empty(edge[-1], "<i8")
+        flat[edge[:-1]] = n_a
+        flat[np.arange(len(pairs[0])) + np.append(0, upto[1])[own[0]] + own[0] + 1] = pairs[0]
+        flat[np.arange(len(pairs[1])) + upto[0][own[1]] + own[1] + 1] = pairs[1]
+        packed, edge = flat.tobytes(), (edge * 8).tolist()
+        return [packed[x:y] for x, y in zip(edge, edge[1:])]
+
+    def tokens_of(self, units: list[bytes]) -> list[bytes]:
+        """The packed tokens of each unit."""
         out = list(map(self.recent.young.get, units))
+        old = self.recent.old.get
         new = []
         for i in [i for i, v in enumerate(out) if v is None]:
-            out[i] = self.recent.get(units[i])
-            if out[i] is None:
-                inner = units[i][1:].decode()
-                if len(inner.strip()) == len(inner) > 0:
-                    new.append(i)
-                else:  # white space at its ends would run into its neighbours'
-                    out[i] = self._keep(units[i], self._alone(units[i]))
+            unit = units[i]
+            found = out[i] = old(unit)
+            if found is not None:
+                self.recent.put(unit, found)
+                old = self.recent.old.get
+            elif 32 < unit[-1] < 128 and 32 < unit[min(1, len(unit) - 1)] < 128 or len(unit[1:].decode().strip()) == len(unit[1:].decode()) > 0:
+                new.append(i)
+            else:  # white space at its ends would run into its neighbours'
+                out[i] = self._keep(unit, self._alone(unit))
+                old = self.recent.old.get
         at = 0
         while at < len(new):
             stop, size = at, 0
@@ -219,11 +239,10 @@ class Aligner:
             at = stop
         return out
 
-    def _keep(self, unit: bytes, tokens: tuple[bytes, bytes] | None) -> tuple[bytes, bytes]:
-        value = tokens or (b"", b"")
+    def _keep(self, unit: bytes, tokens: bytes) -> bytes:
         if len(unit) <= UNIT_BYTES:
-            self.recent.put(unit, value)
-        return value
+            self.recent.put(unit, tokens)
+        return tokens
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, ...]:
         """A ids, A ends, B ids, B ends and text ends, for texts laid one after the other with a space before each.
@@ -240,18 +259,19 @@ class Aligner:
         coded = column.dictionary_encode()
         found = self.tokens_of(coded.dictionary.to_pylist())
         codes = coded.indices.to_numpy()
-        packed = [[v[0] for v in found], [v[1] for v in found]]
-        counts = [np.fromiter(map(len, p), np.int64, len(p)) // 8 for p in packed]
-        bad = counts[0] == 0
+        flat = np.frombuffer(b"".join(found), "<i8")
+        size_of = np.fromiter(map(len, found), np.int64, len(found)) // 8
+        head = np.cumsum(size_of) - size_of
+        n_a = flat[head]
+        bad = n_a == 0
         gone = np.bincount(text_of, bad[codes], len(texts)) > 0
         gone |= size == 1
         out = []
-        for count, own in zip(counts, packed):
-            flat = np.frombuffer(b"".join(own), "<i4").reshape(-1, 2)
-            begin = np.cumsum(count) - count
+        for count, begin in ((n_a, head + 1), (size_of - 1 - n_a, head + 1 + n_a)):
             n = np.where(gone[text_of], 0, count[codes])
-            at = np.repeat(begin[codes] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            out += [flat[at, 0].astype(np.int64), flat[at, 1] + np.repeat(starts, n)]
+            done = np.cumsum(n)
+            pairs = flat[np.repeat(begin[codes] - (done - n), n) + np.arange(int(n.sum()))]
+            out += [pairs & 0xFFFFFFFF, (pairs >> 32) + np.repeat(starts, n)]
         return *out, stops
 
 

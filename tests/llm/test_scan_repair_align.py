@@ -377,3 +377,21 @@ def test_hot_pairs_change_nothing(spark):
     counts = token_alignment.pair_counts(aligned)
     results = [sorted(map(tuple, token_alignment.score(aligned, counts, n).collect())) for n in (1, 100, 1 << 16)]
     assert results[0] == results[1] == results[2] and results[0]
+
+
+def test_alignment_encodes_new_units_in_short_texts(monkeypatch):
+    both = token_alignment.aligner(queries.tokenizer_path(queries.BYTE_TOKENIZER), queries.tokenizer_path(queries.PIECE_TOKENIZER))
+    words = [f"w{i}x{i * 7919 % 1009}" for i in range(5000)]
+    text = " ".join(words)
+    whole = token_alignment.align_text(text, both.a, both.b)
+    sizes = []
+    align_text = token_alignment.align_text
+    monkeypatch.setattr(token_alignment, "align_text", lambda t, a, b: sizes.append(len(t)) or align_text(t, a, b))
+    fresh = token_alignment.Aligner(both.a, both.b, units=700)  # generations change within the text
+    for _ in range(2):
+        found = fresh.encode([text.encode(), b"", "\u2581 a".encode(), b"a"])
+        n = [len(x) for x in whole]
+        for got, want in zip(found[:4], whole):
+            assert got[: len(want)].tolist() == want.tolist()
+        assert [len(x) - y for x, y in zip(found[:4], n)] == [1, 1, 1, 1]  # the last text's token alone follows
+    assert 1000 < max(sizes) <= 1 << 12
