@@ -201,6 +201,26 @@ def test_lm(docs, none):
     assert got(lm.score(none, part != 0, part == 1)) == []
 
 
+def test_lm_blocks_follow_the_text(spark, monkeypatch):
+    """A large partition is several blocks, and its n-grams fall in many ranges; the scores are those of one block."""
+    rows = [(None if i % 50 == 0 else i % 170, None if i % 41 == 0 else " ".join(f"w{(i * k) % (7 + i % 90)}" for k in range(60))) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    part, made = fold("doc_id", 10), []
+    real = lm.materialize
+    monkeypatch.setattr(lm, "materialize", lambda df, name, **options: made.append(real(df, name, **options)) or made[-1])
+    key = lambda r: (r["doc_id"] or -1, r["n_tokens"], r["score"])
+    whole = sorted(got(lm.score(df, part != 0, part == 1)), key=key)
+    assert made[0].filter("kind = 2").count() == 1
+    made.clear()
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 5_000)
+    monkeypatch.setattr(lm, "RANGE_BYTES", 1_000)
+    split = sorted(got(lm.score(df, part != 0, part == 1)), key=key)
+    assert made[0].filter("kind = 2").count() >= 8 and made[0].filter("kind = 1").groupBy("block").max("n").agg({"max(n)": "max"}).first()[0] < 200
+    assert len(whole) == len(split) == 300
+    for a, b in zip(whole, split):
+        assert a == b
+
+
 def test_lm_probabilities_sum_to_one():
     import numpy as np
 
