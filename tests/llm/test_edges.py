@@ -387,3 +387,44 @@ def test_pipeline_stages_keep_the_columns(spark, docs, none):
             if name != "best_fit_packing":
                 assert now.columns == frame.columns
         now.count()
+
+
+@pytest.fixture(scope="module")
+def clustered(spark):
+    """2,000 vectors in single precision, of which 400 lie around one and 300 around others; some come twice."""
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((2000, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    of = np.concatenate([np.zeros(400, int), np.repeat(np.arange(1, 101), 3)])
+    x[1300:] = x[of] + rng.standard_normal((700, 32)) * 0.012
+    x = np.concatenate([x, x[1290:1310]]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), f"l{i % 2}") for i, v in enumerate(x)], "vec_id long, embedding array<float>, label string")
+    unit = embedding_dedup._units(x)
+    same = (unit @ unit.T >= embedding_dedup.MIN_COSINE) & (np.arange(len(x))[:, None] % 2 == np.arange(len(x)) % 2)
+    return df, same.sum(1) - 1
+
+
+def test_embedding_tables_hold_a_few_copies_of_the_vectors(clustered, monkeypatch):
+    df, want = clustered
+    written = []
+    real = embedding_dedup.materialize
+
+    def spy(frame, name, **options):
+        out = real(frame, name, **options)
+        cells = [f.name for f in out.schema if f.dataType.simpleString().startswith("array<")]
+        written.append((name, out.count() if cells else 0))
+        return out
+
+    monkeypatch.setattr(embedding_dedup, "materialize", spy)
+    found = got(embedding_dedup.near_duplicates(df, recall=1.0))
+    assert [r["n_links"] for r in sorted(found, key=lambda r: r["vec_id"])] == want.tolist()
+    assert sum(n for _, n in written) <= 2 * df.count(), written
+
+
+def test_embedding_rounds_and_equal_hashes(clustered, monkeypatch):
+    df, want = clustered
+    monkeypatch.setattr(embedding_dedup, "ROUND_COPIES", 0.5)
+    monkeypatch.setattr(embedding_dedup, "_TILE", 7)
+    monkeypatch.setattr(embedding_dedup, "_digest", lambda vec: F.size(vec).cast("long"))
+    found = got(embedding_dedup.near_duplicates(df, recall=1.0, block_rows=64))
+    assert [r["n_links"] for r in sorted(found, key=lambda r: r["vec_id"])] == want.tolist()
